@@ -237,37 +237,49 @@ def funnel(search_fact: DataFrame) -> DataFrame:
 SEGMENT_SETS = [["device_type"], ["traveller_type"], ["acquisition_channel"], ["device_type", "traveller_type"]]
 
 
-def product_segments(fact: DataFrame, sets: Sequence[Sequence[str]] = SEGMENT_SETS) -> DataFrame:
-    """PM-11: one pass over the fact with GROUPING SETS (Expand + one aggregate).
+def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], measures: dict[str, Column]) -> DataFrame:
+    """GROUPING SETS -> (dimension, segment_value, measures...) in one pass.
 
-    dimension labels join names with " x ", values with " | ".
+    Spark expands each row once per set and runs a single aggregate (one
+    shuffle) instead of one scan per set.  ``dimension`` joins the set's
+    column names with " x ", ``segment_value`` its values with " | ".  Rows
+    with a NULL dimension value are dropped, as a per-set group-by would.
     """
     dims = sorted({d for s in sets for d in s})
-    gs = ", ".join("(" + ", ".join(s) + ")" for s in sets)
-    fact.createOrReplaceTempView("__segments_fact")
-    spark = fact.sparkSession
-    gid = "grouping_id(" + ", ".join(dims) + ")"
-    agg = spark.sql(f"""
-        SELECT {', '.join(dims)}, {gid} AS __gid,
-               count(session_id) AS sessions, count(DISTINCT partner_id) AS partners,
-               sum(search_count) AS searches, sum(booking_count) AS bookings,
-               sum(booked_flag) AS booking_sessions, sum(zero_result_searches) AS zero_result_searches,
-               sum(selected_searches) AS selected_searches,
-               sum(successful_booking_value) AS successful_booking_value,
-               sum(platform_revenue) AS platform_revenue
-        FROM __segments_fact GROUP BY GROUPING SETS ({gs})""")
-    label = None
-    value = None
+    agg = df.groupingSets([list(s) for s in sets], *dims).agg(
+        *[m.alias(n) for n, m in measures.items()], F.grouping_id(*dims).alias("__gid"))
+    label = value = present = None
     for s in sets:
-        bits = sum(1 << (len(dims) - 1 - dims.index(d)) for d in dims if d not in s)
+        bits = sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in s)
         cond = F.col("__gid") == bits
         lab = F.lit(" x ".join(s))
         val = F.concat_ws(" | ", *[F.col(d).cast("string") for d in s])
+        ok = None
+        for d in s:
+            ok = F.col(d).isNotNull() if ok is None else ok & F.col(d).isNotNull()
         label = F.when(cond, lab) if label is None else label.when(cond, lab)
         value = F.when(cond, val) if value is None else value.when(cond, val)
+        present = F.when(cond, ok) if present is None else present.when(cond, ok)
+    out = agg.filter(present).withColumns({"dimension": label, "segment_value": value})
+    return out.select("dimension", "segment_value", *measures.keys())
+
+
+def product_segments(fact: DataFrame, sets: Sequence[Sequence[str]] = SEGMENT_SETS) -> DataFrame:
+    """PM-11: product segments over grouping sets with four ratios."""
+    measures = {
+        "sessions": F.count("session_id"),
+        "partners": F.count_distinct("partner_id"),
+        "searches": F.sum("search_count"),
+        "bookings": F.sum("booking_count"),
+        "booking_sessions": F.sum("booked_flag"),
+        "zero_result_searches": F.sum("zero_result_searches"),
+        "selected_searches": F.sum("selected_searches"),
+        "successful_booking_value": money_sum("successful_booking_value"),
+        "platform_revenue": money_sum("platform_revenue"),
+    }
+    agg = grouping_sets(fact, sets, measures)
     return agg.select(
-        label.alias("dimension"), value.alias("segment_value"), "sessions", "partners", "searches",
-        "bookings",
+        "dimension", "segment_value", "sessions", "partners", "searches", "bookings",
         safe_div("booking_sessions", "sessions").alias("session_booking_conversion"),
         safe_div("bookings", "searches").alias("search_to_book_conversion"),
         safe_div("zero_result_searches", "searches").alias("no_result_rate"),

@@ -32,3 +32,46 @@ class Context:
     def session_fact(self) -> DataFrame:
         v = self.views
         return facts.build_session_fact(v.sessions, v.searches, v.bookings)
+
+    # ------------------------------------------------------------ marts
+    @cached_property
+    def milestones(self) -> DataFrame:
+        from kestrel.operators import growth
+        v = self.views
+        return growth.derive_milestones(v.searches, v.bookings, v.partner_events)
+
+    @cached_property
+    def activation(self) -> DataFrame:
+        from kestrel.operators import growth
+        from kestrel.sources.views import OBSERVATION_END
+        return growth.partner_activation(self.views.partners, self.milestones, OBSERVATION_END)
+
+    @cached_property
+    def performance(self) -> DataFrame:
+        from kestrel.operators import metrics
+        return metrics.partner_performance(self.views.partners, self.session_fact)
+
+    @cached_property
+    def weekly(self) -> DataFrame:
+        from kestrel.operators import metrics
+        return metrics.partner_weekly(self.session_fact)
+
+    @cached_property
+    def retention(self) -> DataFrame:
+        from kestrel.operators import metrics
+        return metrics.retention(self.session_fact)
+
+    @cached_property
+    def routes(self) -> DataFrame:
+        from kestrel.operators import metrics
+        return metrics.route_performance(self.search_fact)
+
+    @cached_property
+    def growth(self) -> DataFrame:
+        from kestrel.operators import growth
+        return growth.partner_growth(self.weekly, self.performance)
+
+    @cached_property
+    def opportunities(self) -> DataFrame:
+        from kestrel.operators import growth
+        return growth.partner_opportunities(self.growth)
