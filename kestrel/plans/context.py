@@ -75,3 +75,15 @@ class Context:
     def opportunities(self) -> DataFrame:
         from kestrel.operators import growth
         return growth.partner_opportunities(self.growth)
+
+    @cached_property
+    def experiment(self) -> dict:
+        from kestrel.operators import experiment
+        from kestrel.sources.views import EXPERIMENT_END, EXPERIMENT_NAME, EXPERIMENT_START
+        return experiment.select_population(self.session_fact, self.search_fact, self.views.bookings,
+                                            EXPERIMENT_NAME, EXPERIMENT_START, EXPERIMENT_END)
+
+    @cached_property
+    def cuped_data(self) -> DataFrame:
+        from kestrel.operators import experiment
+        return experiment.cuped_frame(self.experiment["session"], self.experiment["preperiod"])
