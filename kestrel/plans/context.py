@@ -87,3 +87,46 @@ class Context:
     def cuped_data(self) -> DataFrame:
         from kestrel.operators import experiment
         return experiment.cuped_frame(self.experiment["session"], self.experiment["preperiod"])
+
+    # ------------------------------------------------------------ network
+    @cached_property
+    def net_routes(self) -> DataFrame:
+        from kestrel.operators import network
+        return network.enrich_routes(self.routes, self.views.stations)
+
+    @cached_property
+    def net_edges(self) -> DataFrame:
+        from kestrel.operators import network
+        return network.graph_edges(self.net_routes)
+
+    @cached_property
+    def net_undirected(self) -> DataFrame:
+        from kestrel.operators import network
+        return network.undirected_edges(self.net_edges)
+
+    @cached_property
+    def net_strength(self) -> DataFrame:
+        from kestrel.operators import network
+        return network.strengths(self.views.stations, self.net_edges)
+
+    @cached_property
+    def net_degree(self) -> DataFrame:
+        from kestrel.operators import network
+        return network.degree(self.views.stations, self.net_undirected)
+
+    @cached_property
+    def strength_centrality(self) -> DataFrame:
+        """Oracle-comparable centrality inputs: weighted strengths."""
+        from pyspark.sql import functions as F
+        return self.net_strength.select(
+            "station_id", F.col("inbound_search_strength").alias("pagerank_search_demand"),
+            F.col("outbound_search_strength").alias("betweenness_centrality"))
+
+    @cached_property
+    def centrality(self) -> DataFrame:
+        """PageRank and betweenness (both computed eagerly: iterative / driver-planned)."""
+        from kestrel.operators import network
+        v = self.views
+        pr = network.pagerank(v.stations, self.net_edges)
+        bt = network.betweenness(v.stations, self.net_undirected)
+        return pr.join(bt, "station_id", "outer")

@@ -226,3 +226,14 @@ def _act_segment(dim: str) -> str:
 
 ACT_SEGMENTS = "o_act_segments AS (\n  " + "\n  UNION ALL ".join(
     _act_segment(d) for d in ["partner_type", "country", "integration_type", "contract_tier"]) + ")"
+
+
+ROUTES = f"""o_routes AS (
+  SELECT origin_station_id, destination_station_id, count(search_id) AS searches,
+         CAST(sum(booked_flag) AS BIGINT) AS booked_searches, CAST(sum(booking_count) AS BIGINT) AS bookings,
+         CAST(sum(no_result_flag) AS BIGINT) AS zero_result_searches, avg(search_latency_ms) AS avg_search_latency_ms,
+         round(sum(booking_value), 2) AS booking_value, round(sum(successful_booking_value), 2) AS successful_booking_value,
+         round(sum(platform_revenue), 2) AS platform_revenue,
+         {sd('sum(booked_flag)', 'count(search_id)')} AS search_to_book_conversion,
+         {sd('sum(no_result_flag)', 'count(search_id)')} AS no_result_rate
+  FROM fct_search GROUP BY origin_station_id, destination_station_id)"""

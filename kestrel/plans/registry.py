@@ -57,5 +57,5 @@ def register(name: str, sql: str | None = None, r2=(), r6=(), ids=()):
 
 def load_all() -> dict[str, Query]:
     # importing the query modules fills REGISTRY
-    from kestrel.plans import queries_core, queries_experiment, queries_marts  # noqa: F401
+    from kestrel.plans import queries_core, queries_experiment, queries_marts, queries_network  # noqa: F401
     return REGISTRY
