@@ -130,3 +130,29 @@ class Context:
         pr = network.pagerank(v.stations, self.net_edges)
         bt = network.betweenness(v.stations, self.net_undirected)
         return pr.join(bt, "station_id", "outer")
+
+    # ------------------------------------------------------------ anomaly triage
+    @cached_property
+    def daily(self) -> DataFrame:
+        from kestrel.operators import metrics
+        return metrics.daily_metrics(self.session_fact)
+
+    @cached_property
+    def anomaly_scores(self) -> DataFrame:
+        from kestrel.operators import anomaly
+        return anomaly.rolling_scores(anomaly.metric_long(self.daily))
+
+    @cached_property
+    def anomalies(self) -> DataFrame:
+        from kestrel.operators import anomaly
+        return anomaly.detect(self.anomaly_scores)
+
+    @cached_property
+    def driver(self) -> DataFrame:
+        from kestrel.operators import anomaly
+        return anomaly.primary_driver(self.anomalies, self.session_fact)
+
+    @cached_property
+    def lookup(self) -> DataFrame:
+        from kestrel.operators import anomaly
+        return anomaly.metric_lookup(self.spark)

@@ -32,8 +32,9 @@ class Query:
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        # round through DECIMAL so ties round half-up on the decimal value, as Spark does
-        parts = [f"CAST(round(CAST({c} AS DECIMAL(38,12)), {d}) AS DOUBLE) AS {c}"
+        # Spark rounds the shortest decimal form of a double half-up; DuckDB's
+        # VARCHAR cast gives that same shortest form, so round it as DECIMAL
+        parts = [f"CAST(round(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,17)), {d}) AS DOUBLE) AS {c}"
                  for c, d in [*[(c, 2) for c in self.r2], *[(c, 6) for c in self.r6]]]
         if not parts:
             return self.sql
@@ -57,5 +58,6 @@ def register(name: str, sql: str | None = None, r2=(), r6=(), ids=()):
 
 def load_all() -> dict[str, Query]:
     # importing the query modules fills REGISTRY
-    from kestrel.plans import queries_core, queries_experiment, queries_marts, queries_network  # noqa: F401
+    from kestrel.plans import (  # noqa: F401
+        queries_anomaly, queries_core, queries_experiment, queries_marts, queries_network)
     return REGISTRY
