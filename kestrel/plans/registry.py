@@ -59,5 +59,6 @@ def register(name: str, sql: str | None = None, r2=(), r6=(), ids=()):
 def load_all() -> dict[str, Query]:
     # importing the query modules fills REGISTRY
     from kestrel.plans import (  # noqa: F401
-        queries_anomaly, queries_core, queries_experiment, queries_marts, queries_ml, queries_network)
+        queries_anomaly, queries_core, queries_experiment, queries_marts, queries_ml, queries_network,
+        queries_serving)
     return REGISTRY
