@@ -67,15 +67,21 @@ def zscore(df: DataFrame, columns: Sequence[str], prefix: str = "z_") -> DataFra
 
 
 def composite_score(df: DataFrame, components: Iterable[tuple[float, Column]],
-                    name: str) -> DataFrame:
+                    name: str, materialize: bool = True) -> DataFrame:
     """Weighted sum of population z-scores of arbitrary component expressions.
 
     ``components`` is a list of (weight, expression); each expression is
-    materialised, z-scored over the whole frame and weighted.
+    z-scored over the whole frame and weighted.  Scoring runs on mart-grain
+    frames (entities, routes, markets); with ``materialize`` the frame is
+    written once (reliable checkpoint) so the statistics joined back to it
+    do not re-derive its upstream plan once per statistic.
     """
     comps = list(components)
     tmp = [f"__comp{i}" for i in range(len(comps))]
     df = df.withColumns({t: e.cast("double") for t, (_, e) in zip(tmp, comps)})
+    if materialize:
+        from kestrel.session import cut_lineage
+        df = cut_lineage(df)
     df = zscore(df, tmp, prefix="z")
     score = None
     for t, (w, _) in zip(tmp, comps):

@@ -6,13 +6,32 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark import StorageLevel
+
 from kestrel.operators import facts
+from kestrel.session import cut_lineage
 from kestrel.sources.tables import Tables
 from kestrel.sources.views import domain_views
 
 
+_SHARED: dict = {}
+
+
 class Context:
-    """Domain views and facts over one test-data folder (nothing is executed here)."""
+    """Domain views, facts and marts over one data folder.
+
+    One context is shared by all queries of a session over the same folder
+    (``Context.shared``): views are analysed once, the facts are computed
+    once and kept, and marts are materialised once at their stage boundary,
+    as a staged warehouse build would.
+    """
+
+    @classmethod
+    def shared(cls, spark: SparkSession, base: str) -> "Context":
+        key = (spark.sparkContext.applicationId, base)
+        if key not in _SHARED:
+            _SHARED[key] = cls(spark, base)
+        return _SHARED[key]
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -25,13 +44,24 @@ class Context:
 
     @cached_property
     def search_fact(self) -> DataFrame:
+        # the facts feed every mart: computed once per run and kept (memory, spilling to disk)
         v = self.views
-        return facts.build_search_fact(v.searches, v.sessions, v.bookings)
+        return facts.build_search_fact(v.searches, v.sessions, v.bookings).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def session_fact(self) -> DataFrame:
         v = self.views
-        return facts.build_session_fact(v.sessions, v.searches, v.bookings)
+        return facts.build_session_fact(v.sessions, v.searches, v.bookings).persist(StorageLevel.MEMORY_AND_DISK)
+
+    @staticmethod
+    def mart(df: DataFrame) -> DataFrame:
+        """Materialise a mart at a stage boundary (reliable checkpoint = a written table).
+
+        Scoring operators attach one-row statistics of a mart back to it;
+        materialising the mart first keeps that from re-deriving the whole
+        upstream chain for every statistic.
+        """
+        return cut_lineage(df)
 
     # ------------------------------------------------------------ marts
     @cached_property
@@ -49,12 +79,12 @@ class Context:
     @cached_property
     def performance(self) -> DataFrame:
         from kestrel.operators import metrics
-        return metrics.partner_performance(self.views.partners, self.session_fact)
+        return self.mart(metrics.partner_performance(self.views.partners, self.session_fact))
 
     @cached_property
     def weekly(self) -> DataFrame:
         from kestrel.operators import metrics
-        return metrics.partner_weekly(self.session_fact)
+        return self.mart(metrics.partner_weekly(self.session_fact))
 
     @cached_property
     def retention(self) -> DataFrame:
@@ -64,17 +94,17 @@ class Context:
     @cached_property
     def routes(self) -> DataFrame:
         from kestrel.operators import metrics
-        return metrics.route_performance(self.search_fact)
+        return self.mart(metrics.route_performance(self.search_fact))
 
     @cached_property
     def growth(self) -> DataFrame:
         from kestrel.operators import growth
-        return growth.partner_growth(self.weekly, self.performance)
+        return self.mart(growth.partner_growth(self.weekly, self.performance))
 
     @cached_property
     def opportunities(self) -> DataFrame:
         from kestrel.operators import growth
-        return growth.partner_opportunities(self.growth)
+        return self.mart(growth.partner_opportunities(self.growth))
 
     @cached_property
     def experiment(self) -> dict:
@@ -92,7 +122,7 @@ class Context:
     @cached_property
     def net_routes(self) -> DataFrame:
         from kestrel.operators import network
-        return network.enrich_routes(self.routes, self.views.stations)
+        return self.mart(network.enrich_routes(self.routes, self.views.stations))
 
     @cached_property
     def net_edges(self) -> DataFrame:
@@ -107,12 +137,12 @@ class Context:
     @cached_property
     def net_strength(self) -> DataFrame:
         from kestrel.operators import network
-        return network.strengths(self.views.stations, self.net_edges)
+        return self.mart(network.strengths(self.views.stations, self.net_edges))
 
     @cached_property
     def net_degree(self) -> DataFrame:
         from kestrel.operators import network
-        return network.degree(self.views.stations, self.net_undirected)
+        return self.mart(network.degree(self.views.stations, self.net_undirected))
 
     @cached_property
     def strength_centrality(self) -> DataFrame:
@@ -129,13 +159,13 @@ class Context:
         v = self.views
         pr = network.pagerank(v.stations, self.net_edges)
         bt = network.betweenness(v.stations, self.net_undirected)
-        return pr.join(bt, "station_id", "outer")
+        return self.mart(pr.join(bt, "station_id", "outer"))
 
     # ------------------------------------------------------------ anomaly triage
     @cached_property
     def daily(self) -> DataFrame:
         from kestrel.operators import metrics
-        return metrics.daily_metrics(self.session_fact)
+        return self.mart(metrics.daily_metrics(self.session_fact))
 
     @cached_property
     def anomaly_scores(self) -> DataFrame:
@@ -145,12 +175,12 @@ class Context:
     @cached_property
     def anomalies(self) -> DataFrame:
         from kestrel.operators import anomaly
-        return anomaly.detect(self.anomaly_scores)
+        return self.mart(anomaly.detect(self.anomaly_scores))
 
     @cached_property
     def driver(self) -> DataFrame:
         from kestrel.operators import anomaly
-        return anomaly.primary_driver(self.anomalies, self.session_fact)
+        return self.mart(anomaly.primary_driver(self.anomalies, self.session_fact))
 
     @cached_property
     def lookup(self) -> DataFrame:

@@ -26,7 +26,7 @@ class Query:
     ids: tuple[str, ...] = field(default_factory=tuple)
 
     def run(self, spark: SparkSession, base: str) -> DataFrame:
-        df = self.build(Context(spark, base))
+        df = self.build(Context.shared(spark, base))
         return round_columns(df, {**{c: 6 for c in self.r6}, **{c: 2 for c in self.r2}})
 
     def oracle(self) -> str | None:
