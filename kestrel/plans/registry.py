@@ -60,5 +60,5 @@ def load_all() -> dict[str, Query]:
     # importing the query modules fills REGISTRY
     from kestrel.plans import (  # noqa: F401
         queries_anomaly, queries_core, queries_experiment, queries_marts, queries_ml, queries_network,
-        queries_serving)
+        queries_io, queries_serving)
     return REGISTRY

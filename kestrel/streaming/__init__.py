@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch-only (no watermarks, windows over event time,
+state or sinks of a stream), so no streaming operator is built here.
+"""
