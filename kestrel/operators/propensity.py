@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -128,7 +129,7 @@ def candidate_pipelines(n_train: int, n_features: int, seed: int = 42, rf_trees:
                             elasticNetParam=0.0, standardization=False, maxIter=1500)
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=rf_trees, maxDepth=14,
                                 minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=seed,
-                                maxMemoryInMB=1024)
+                                maxMemoryInMB=1024, cacheNodeIds=True)
     mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", layers=[n_features, 64, 32, 2],
                                          maxIter=mlp_iter, seed=seed, solver="l-bfgs")
     return {name: Pipeline(stages=preprocessor() + [m]) for name, m in
@@ -154,9 +155,12 @@ def fit_candidates(train: DataFrame, validation: DataFrame, rf_trees: int = 350,
     tr = _labelled(train)
     n = tr.count()
     width = n_encoded_features(train)
+    pipes = candidate_pipelines(n, width, seed, rf_trees)
+    # the candidates are independent jobs: fit them concurrently (small L-BFGS jobs overlap the forest)
+    with ThreadPoolExecutor(max_workers=len(pipes)) as pool:
+        models = dict(zip(pipes, pool.map(lambda p: p.fit(tr), pipes.values())))
     fitted, rows = {}, None
-    for name, pipe in candidate_pipelines(n, width, seed, rf_trees).items():
-        model = pipe.fit(tr)
+    for name, model in models.items():
         fitted[name] = model
         scored = model.transform(_labelled(validation)).select("session_id", "booked_flag",
                                                                 probability().alias("p"))
@@ -169,7 +173,14 @@ def fit_candidates(train: DataFrame, validation: DataFrame, rf_trees: int = 350,
 
 
 def metric_row(scored: DataFrame, model: str, split: str, threshold=None) -> DataFrame:
-    """ML-10/11/12 combined into one row for a scored split."""
+    """ML-10/11/12 combined into one row for a scored split.
+
+    The scored split is materialised once: every metric below is another
+    aggregate over it, and re-running the model transform for each would
+    multiply the scoring cost.
+    """
+    from kestrel.session import cut_lineage
+    scored = cut_lineage(scored.select("session_id", "booked_flag", "p"))
     rank = ml_metrics.ranking_metrics(scored, "booked_flag", "p")
     if threshold is None:
         thr = ml_metrics.best_f1_threshold(scored, "booked_flag", "p").select("threshold")

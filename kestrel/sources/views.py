@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -193,7 +194,8 @@ def partner_events_view(t: Tables) -> DataFrame:
 
 def domain_views(spark: SparkSession, base: str) -> DomainViews:
     t = Tables(spark, base)
-    raw = searches_view(t)
+    # searches and bookings both derive from the same 4-way join: compute it once
+    raw = searches_view(t).persist(StorageLevel.MEMORY_AND_DISK)
     return DomainViews(
         partners=partners_view(t),
         stations=stations_view(t),
