@@ -199,14 +199,16 @@ def primary_driver(anomalies: DataFrame, fact: DataFrame, dimensions: Sequence[s
     eligible segment ``none/insufficient_segment_data``.
     """
     cols = [F.col(d).cast("string").alias(d) for d in dimensions]
-    base = fact.select("session_date", "partner_id", "booked_flag", "search_count", "booking_count",
-                       "zero_result_searches", "total_search_latency_ms", "cancellations", "refunds",
-                       "successful_booking_value", *cols)
+    ex = _exploded(anomalies, lookback, date)
+    needed = F.broadcast(ex.select("session_date").distinct())   # <= anomalies x (lookback + 1) dates
+    base = fact.join(needed, "session_date", "left_semi").select(
+        "session_date", "partner_id", "booked_flag", "search_count", "booking_count",
+        "zero_result_searches", "total_search_latency_ms", "cancellations", "refunds",
+        "successful_booking_value", *cols)
     long = base.unpivot([c for c in base.columns if c not in dimensions], list(dimensions), "dimension", "segment")
     long = long.filter(F.col("segment").isNotNull())
     # pre-aggregate once to (date, dimension, segment, entity); entity kept for the distinct-based metric
     pre = long.groupBy("session_date", "dimension", "segment", "partner_id").agg(*_sums())
-    ex = _exploded(anomalies, lookback, date)
     j = pre.join(ex, "session_date")
 
     def side(cond, p):
@@ -228,7 +230,7 @@ def primary_driver(anomalies: DataFrame, fact: DataFrame, dimensions: Sequence[s
     best = best.filter("__rn = 1").select(
         "case_id", "dimension", "segment", "current_value", "baseline_value", "adverse_gap",
         F.col("cur_sessions").alias("current_sessions"), F.col("base_sessions").alias("baseline_sessions"))
-    has_data = fact.select("session_date").distinct().join(ex, "session_date").select("case_id").distinct().withColumn(
+    has_data = base.select("session_date").distinct().join(ex, "session_date").select("case_id").distinct().withColumn(
         "__has", F.lit(True))
     out = anomalies.select("case_id").join(best, "case_id", "left").join(has_data, "case_id", "left")
     fill_dim = F.when(F.col("dimension").isNull(), F.lit("none")).otherwise(F.col("dimension"))
@@ -240,7 +242,8 @@ def primary_driver(anomalies: DataFrame, fact: DataFrame, dimensions: Sequence[s
 
 def top_partners(anomalies: DataFrame, fact: DataFrame, k: int = 5, date: str = "metric_date") -> DataFrame:
     """AN-10: top-k entities of the anomaly day by units, ties by id."""
-    per = fact.groupBy("session_date", "partner_id").agg(
+    days = F.broadcast(anomalies.select(F.col(date).alias("session_date")).distinct())
+    per = fact.join(days, "session_date", "left_semi").groupBy("session_date", "partner_id").agg(
         F.count(F.lit(1)).alias("sessions"), F.sum("search_count").alias("searches"),
         F.sum("booking_count").alias("bookings"),
         F.avg(F.col("booked_flag").cast("double")).alias("session_booking_conversion"),
@@ -255,7 +258,9 @@ def top_partners(anomalies: DataFrame, fact: DataFrame, k: int = 5, date: str =
 
 def top_routes(anomalies: DataFrame, search_fact: DataFrame, k: int = 5, date: str = "metric_date") -> DataFrame:
     """AN-11: top-k routes of the anomaly day by items."""
-    per = search_fact.groupBy("search_date", "origin_station_id", "destination_station_id").agg(
+    days = F.broadcast(anomalies.select(F.col(date).alias("search_date")).distinct())
+    per = search_fact.join(days, "search_date", "left_semi").groupBy(
+        "search_date", "origin_station_id", "destination_station_id").agg(
         F.count(F.lit(1)).alias("searches"), F.sum("booked_flag").alias("booked_searches"),
         F.avg(F.col("no_result_flag").cast("double")).alias("no_result_rate"),
         F.avg(F.col("search_latency_ms").cast("double")).alias("avg_search_latency_ms"))
