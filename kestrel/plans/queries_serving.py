@@ -66,15 +66,23 @@ def q_sv06(c):
     return S.ordered(metrics.funnel(c.search_fact), "stage_order")
 
 
-@register("sv06_latest_daily_metrics", ids=("SV-06",),
+@register("sv06_daily_by_date", ids=("SV-06",),
           r2=("booking_value", "successful_booking_value", "platform_revenue"),
           r6=("session_booking_conversion", "search_to_book_conversion", "no_result_rate", "result_selection_rate",
               "alternatives_exposure_rate", "avg_search_latency_ms", "cancellation_rate", "refund_rate",
               "successful_booking_value_per_active_partner"),
-          sql=sql("SELECT * FROM o_daily ORDER BY metric_date DESC LIMIT 90", DAILY))
+          sql=sql("SELECT * FROM o_daily ORDER BY metric_date", DAILY))
 def q_sv06_daily(c):
-    from pyspark.sql import functions as F
-    return S.ordered(c.daily, F.col("metric_date").desc(), n=90)
+    return S.ordered(c.daily, "metric_date")
+
+
+@register("sv06_top_feature_importance", ids=("SV-06",), r6=("importance_mean_pr_auc", "importance_std"))
+def q_sv06_importance(c):
+    from kestrel.plans.queries_ml import trained
+    from kestrel.operators.propensity import permutation_importance
+    t = trained(c)
+    imp = permutation_importance(t["fitted"][t["champion"]], t["splits"]["validation"])
+    return S.ordered(imp, "importance_rank", n=15)
 
 
 @register("sv07_activation_bars", ids=("SV-07",),
