@@ -95,12 +95,14 @@ def rank_unique(df: DataFrame, order: Sequence[Column], name: str,
     """Unique 1..n rank; ``order`` must end with a key so ties are stable.
 
     pandas ``rank(method="first")`` breaks ties by row order, which a
-    distributed frame does not have: the caller's key replaces it.
-    Without ``partition_by`` this is a global ordering; it is only used on
-    mart-sized frames (entities, routes), never on unit-grain facts.
+    distributed frame does not have: the caller's key replaces it.  A global
+    rank is computed over range partitions with per-partition offsets
+    (``kestrel.functions.ranking``), never in a single task.
     """
-    w = Window.partitionBy(*partition_by).orderBy(*order) if partition_by else Window.orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w))
+    if partition_by:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order)))
+    from kestrel.functions.ranking import global_row_number
+    return global_row_number(df, order, name)
 
 
 def classify(rules: Sequence[tuple[Column, str]], default: str) -> Column:
