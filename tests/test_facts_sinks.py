@@ -57,3 +57,13 @@ def test_sinks_round_trip(spark):
     assert spark.read.json(os.path.join(out, "j")).count() == 3
     rec = sinks.records_json(fact.select("session_id", "session_date")).first().record
     assert json.loads(rec)["session_date"] == "2024-01-03"
+
+
+def test_pipeline_stages_2_3_write_marts(spark):
+    from kestrel.plans import pipeline
+    out = tempfile.mkdtemp(prefix="kestrel-wh-")
+    written = pipeline.run(spark, "/root/testdata/sf0.001", out, stages=(2, 3))
+    assert "mart_stage3_partner_opportunities" in written and "fct_session_journey" in written
+    assert spark.read.parquet(written["mart_daily_product_metrics"]).count() > 0
+    opp = spark.read.parquet(written["mart_stage3_partner_opportunities"])
+    assert opp.count() == opp.select("priority_rank").distinct().count()
