@@ -252,7 +252,7 @@ def top_partners(anomalies: DataFrame, fact: DataFrame, k: int = 5, date: str =
     a = F.broadcast(anomalies.select("case_id", F.col(date).alias("session_date")))
     j = per.join(a, "session_date")
     j = j.withColumn("context_rank", F.row_number().over(
-        Window.partitionBy("case_id").orderBy(F.col("sessions").desc(), F.col("partner_id"))))
+        Window.partitionBy("case_id").orderBy(F.col("sessions").desc(), F.col("partner_id"))).cast("bigint"))
     return j.filter(F.col("context_rank") <= k).drop("session_date")
 
 
@@ -268,7 +268,7 @@ def top_routes(anomalies: DataFrame, search_fact: DataFrame, k: int = 5, date: s
     j = per.join(a, "search_date")
     j = j.withColumn("context_rank", F.row_number().over(
         Window.partitionBy("case_id").orderBy(F.col("searches").desc(), F.col("origin_station_id"),
-                                              F.col("destination_station_id"))))
+                                              F.col("destination_station_id"))).cast("bigint"))
     return j.filter(F.col("context_rank") <= k).drop("search_date")
 
 

@@ -48,7 +48,7 @@ def case_queue(cases: DataFrame) -> DataFrame:
     """SV-04: severity order, newest first."""
     # cases are few (bounded by metrics x days): a global ordering is fine
     return cases.withColumn("queue_position", F.row_number().over(
-        Window.orderBy(severity_rank(), F.col("metric_date").desc(), F.col("case_id"))))
+        Window.orderBy(severity_rank(), F.col("metric_date").desc(), F.col("case_id"))).cast("bigint"))
 
 
 def top_stations(stations: DataFrame, n: int = 30) -> DataFrame:

@@ -62,7 +62,7 @@ def _mv(p):
 
 def _side(cond, p):
     cols = ["sessions", "booked", "searches", "bookings", "zero_results", "latency", "cancellations", "refunds"]
-    out = [f"sum({c}) FILTER (WHERE {cond}) AS {p}{c}" for c in cols]
+    out = [f"CAST(sum({c}) FILTER (WHERE {cond}) AS BIGINT) AS {p}{c}" for c in cols]
     out.append(f"round(sum(value) FILTER (WHERE {cond}), 2) AS {p}value")
     out.append(f"count(DISTINCT partner_id) FILTER (WHERE {cond}) AS {p}partners")
     return ", ".join(out)
