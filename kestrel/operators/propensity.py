@@ -10,7 +10,6 @@ are therefore compared by invariants, not equality.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -243,9 +242,6 @@ def fit_probit(train: DataFrame, max_iter: int = 100) -> tuple[PipelineModel, Da
     return model, table
 
 
-def probit_probability(model: PipelineModel, df: DataFrame) -> Column:
-    return F.least(F.greatest(F.col("prediction"), F.lit(1e-6)), F.lit(1 - 1e-6))
-
 
 def permutation_importance(model: PipelineModel, validation: DataFrame, features: Sequence[str] = FEATURES,
                            repeats: int = 5, sample: int = 2500, seed: int = 42) -> DataFrame:
@@ -356,5 +352,3 @@ def registry_row(spark, champion: str, threshold: float, split_dates: dict, feat
         "leakage_exclusions array<string>, prediction_point string")
 
 
-def ceil_share(n: int, share: float = 0.10) -> int:
-    return max(1, int(math.ceil(n * share)))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from kestrel.operators import facts, metrics
 from kestrel.plans.oracle_views import with_prelude
 from kestrel.plans.registry import register

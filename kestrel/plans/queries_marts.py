@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.core import zscore
 from kestrel.operators import growth, metrics, quality
 from kestrel.plans import oracle_marts as M
-from kestrel.plans.queries_core import MONEY, RATIOS6, ROLLUP_R2, rollup_sql, sql
+from kestrel.plans.queries_core import MONEY, rollup_sql, sql
 from kestrel.plans.registry import register
 
 PERF_R6 = ("session_booking_conversion", "no_result_rate", "alternatives_exposure_rate", "avg_search_latency_ms")

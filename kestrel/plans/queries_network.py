@@ -8,8 +8,6 @@ row count here and by the hand-solved fixtures in the tests.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from kestrel.operators import network as N
 from kestrel.plans import oracle_network as ON
 from kestrel.plans.queries_core import MONEY, sql
