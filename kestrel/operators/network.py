@@ -97,28 +97,28 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     base = cut_lineage(base)
     trans = cut_lineage(trans)
     ranks = base.withColumn("rank", F.lit(1.0 / n))
+    # dangling mass of the current ranks, carried as a scalar between rounds
+    dm = base.agg(F.count_if("__dangling").alias("c")).first()["c"] * (1.0 / n)
     for it in range(1, max_iter + 1):
         contrib = ranks.join(trans, ranks.id == trans.src).groupBy("dst").agg(
             F.sum(F.col("rank") * F.col("p")).alias("__c"))
-        dmass = ranks.agg(F.coalesce(F.sum(F.when(F.col("__dangling"), F.col("rank"))), F.lit(0.0)).alias("__dm"))
-        new = (base.join(contrib, base.id == contrib.dst, "left").crossJoin(F.broadcast(dmass))
-               .select("id", "__dangling",
-                       (F.lit(alpha) * (F.coalesce(F.col("__c"), F.lit(0.0)) + F.col("__dm") / n)
-                        + F.lit((1.0 - alpha) / n)).alias("rank")))
+        new = base.join(contrib, base.id == contrib.dst, "left").select(
+            "id", "__dangling",
+            (F.lit(alpha) * (F.coalesce(F.col("__c"), F.lit(0.0)) + F.lit(dm) / n)
+             + F.lit((1.0 - alpha) / n)).alias("rank"))
         if it % checkpoint_every == 0:
             new = cut_lineage(new)          # reliable: written to the shared checkpoint folder
         else:
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
-        if tol is not None:
-            err = new.alias("a").join(ranks.alias("b"), "id").agg(
-                F.sum(F.abs(F.col("a.rank") - F.col("b.rank"))).alias("e")).first()["e"]
-            ranks.unpersist()
-            ranks = new
-            if err < n * tol:
-                break
-        else:
-            ranks.unpersist()
-            ranks = new
+        # one job per round: L1 change and the next round's dangling mass
+        row = new.alias("a").join(ranks.alias("b"), "id").agg(
+            F.sum(F.abs(F.col("a.rank") - F.col("b.rank"))).alias("e"),
+            F.coalesce(F.sum(F.when(F.col("a.__dangling"), F.col("a.rank"))), F.lit(0.0)).alias("dm")).first()
+        ranks.unpersist()
+        ranks = new
+        dm = row["dm"]
+        if tol is not None and row["e"] < n * tol:
+            break
     return ranks.select(F.col("id").alias(node), F.col("rank").alias("pagerank_search_demand"))
 
 
