@@ -1,8 +1,8 @@
 """Global row numbers and running sums without a single-partition window.
 
 A window with no PARTITION BY moves every row into one task.  Instead the
-rows are range-partitioned on the ordering, materialised once (reliable
-checkpoint, so partition ids are stable), each partition's count / sums
+rows are range-partitioned on the ordering, kept once (partition ids are
+stable: the range bounds are fixed when the shuffle is planned), each partition's count / sums
 are aggregated (one row per partition), turned into offsets, broadcast
 (bounded by the partition count) and added to a window that is local to
 each range partition.
@@ -12,17 +12,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.session import cut_lineage
-
 
 def _ranged(df: DataFrame, order: Sequence[Column], parts: int | None) -> DataFrame:
+    # The range bounds are sampled once and fixed in the shuffle, so a lost
+    # cached partition is recomputed into the same partition id: persisting
+    # is enough to keep ids stable between the totals and the local window.
     spark = df.sparkSession
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
-    return cut_lineage(r)
+    return r.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str, parts: int | None = None) -> DataFrame:
