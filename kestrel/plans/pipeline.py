@@ -99,6 +99,12 @@ def run(spark: SparkSession, data: str, out: str, stages=(2, 3, 4, 5, 6, 7), csv
     c = Context.shared(spark, data)
     if 2 in stages:
         quality.assert_checks(_checks(c), allow=allow)
+        # IN-12: fact grains must be unique (the reference validates its merges)
+        grains = quality.grain_check(c.session_fact, ["session_id"], "fct_session_journey").unionByName(
+            quality.grain_check(c.search_fact, ["search_id"], "fct_search_journey"))
+        dups = [r for r in grains.collect() if r["duplicates"]]   # two rows
+        if dups:
+            raise RuntimeError(f"fact grain not unique: {[(r['table_name'], r['duplicates']) for r in dups]}")
     written = {}
     marts = stage_marts(c)
     for st in stages:
