@@ -300,3 +300,15 @@ def q_clusters(c):
               "median_successful_booking_value", "median_platform_revenue"))
 def q_profile(c):
     return _clusters(c)[1]
+
+
+@register("ml04_preprocessed_features", ids=("ML-04",))
+def q_preprocess(c):
+    """One-hot (unseen levels -> all zeros) + standardised numerics, fitted on train only."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    s = splits(c)
+    model = Pipeline(stages=P.preprocessor()).fit(s["train"])
+    out = model.transform(s["validation"])
+    return out.select("session_id", F.size(vector_to_array("features")).alias("width"),
+                      vector_to_array("features").alias("features"))
