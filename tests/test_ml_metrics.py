@@ -80,3 +80,17 @@ def test_top_decile(spark):
     top_pos = label[order[:n_top]].sum()
     assert r.top_sessions == n_top and r.top_positives == top_pos
     assert abs(r.top_decile_lift - (top_pos / n_top) / label.mean()) < 1e-12
+
+
+def test_batch_scoring_contract_rejects_unknown_and_leakage_columns(spark):
+    import pytest
+
+    from kestrel.operators import propensity as P
+    row = {c: "x" for c in P.CATEGORICAL} | {c: 1 for c in P.NUMERIC}
+    base = spark.createDataFrame([row])
+    with pytest.raises(ValueError, match="extra"):
+        P.batch_score(None, base.withColumn("unexpected", base["passengers"]), 0.5)
+    with pytest.raises(ValueError, match="leakage"):
+        P.batch_score(None, base.withColumn("booking_value", base["passengers"]), 0.5)
+    with pytest.raises(ValueError, match="missing"):
+        P.batch_score(None, base.drop("search_hour"), 0.5)
