@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,19 +42,41 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python
+    workers can import it wherever the driver was started from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_kestrel_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(top):      # not already running from a zip sent with --py-files
+        target = os.path.join(tempfile.mkdtemp(prefix="kestrel-pkg-"), "kestrel.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, os.path.dirname(top)))
+        sc.addPyFile(target)
+    sc._kestrel_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) do we create our own
-    folder; a machine-local folder is never chosen on a cluster because the
-    cluster setting always wins.
+    Only a local master without that setting (tests) gets a folder of its own;
+    on a cluster the setting is required, as no machine-local folder would be
+    seen by every executor.
     """
     sc = spark.sparkContext
+    ship_package(spark)
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
