@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bottomk
+from kestrel.llm import bottomk, bpe_stream, langid
 from kestrel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,22 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+#: The vocabulary of the queries that need tokens.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op3_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through the streaming encoder and decoder."""
+    return bpe_stream.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query
+def op7_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by out-of-place distance."""
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k fingerprints of every document and of its edited text."""
