@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +63,27 @@ def seeds(n: int, seed: int) -> np.ndarray:
     """``n`` fixed odd 64-bit multipliers."""
     with np.errstate(over="ignore"):
         return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """64-bit arrays of any lengths as one compressed block, byte planes apart (small values cost little)."""
+    head = np.array([len(arrays), *map(len, arrays)], dtype="<i8")
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]
+    return zstandard.compress(head.tobytes() + b"".join(planes), 1)
+
+
+def unpack(block: bytes) -> list[np.ndarray]:
+    """The arrays of `pack`, as int64."""
+    raw = np.frombuffer(zstandard.decompress(block), dtype=np.uint8)
+    n = int(raw[:8].view("<i8")[0])
+    sizes = raw[8:8 + 8 * n].view("<i8")
+    out, at = [], 8 + 8 * n
+    for size in sizes:
+        out.append(np.ascontiguousarray(raw[at:at + 8 * size].reshape(8, -1).T).view("<i8").reshape(-1))
+        at += 8 * int(size)
+    return out
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Groups to deal work over: a few for each shuffle partition, which is how a cluster's size is stated."""
+    return 4 * max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))

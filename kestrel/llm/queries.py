@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bottomk, bpe_stream, langid
+from kestrel.llm import bottomk, bpe_stream, langid, suffix_dedup
 from kestrel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op3_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+@query
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that an earlier one has."""
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by out-of-place distance."""
