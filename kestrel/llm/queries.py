@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bottomk, bpe_stream, langid, suffix_dedup
+from kestrel.llm import bottomk, bpe_stream, jaccard_forest, langid, suffix_dedup
 from kestrel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op2_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links (5-word shingles, Jaccard 0.8 or more) of every document."""
+    return jaccard_forest.classes_of(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document through the streaming encoder and decoder."""
