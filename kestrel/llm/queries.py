@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bottomk, bpe_stream, jaccard_forest, langid, suffix_dedup
+from kestrel.llm import bottomk, bpe_stream, jaccard_forest, langid, pii, suffix_dedup
 from kestrel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,9 @@ def op7_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k fingerprints of every document and of its edited text."""
     return bottomk.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, by rules and by the network."""
+    return pii.digest(table(spark, sf_dir, "documents"))
