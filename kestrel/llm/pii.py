@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm import lstm
 from kestrel.llm.common import map_batches, text_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -119,46 +120,10 @@ def initial(seed: int = SEED) -> dict[str, np.ndarray]:
     return p
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + np.tanh(0.5 * x))
-
-
-def _lstm(p: dict, d: str, x: np.ndarray) -> tuple[np.ndarray, list]:
-    """States (time, batch, HIDDEN) over symbols (time, batch); what the way back needs."""
-    n = x.shape[1]
-    h, c = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
-    out, kept = np.empty((len(x), n, HIDDEN)), []
-    for t in range(len(x)):
-        g = p["x" + d][x[t]] + h @ p["h" + d] + p["c" + d]
-        i, f, o = (_sigmoid(g[:, k * HIDDEN:(k + 1) * HIDDEN]) for k in range(3))
-        a = np.tanh(g[:, 3 * HIDDEN:])
-        before, last = c, h
-        c = f * c + i * a
-        tc = np.tanh(c)
-        h = o * tc
-        out[t] = h
-        kept.append((i, f, o, a, before, tc, last))
-    return out, kept
-
-
-def _lstm_back(p: dict, d: str, x: np.ndarray, kept: list, dout: np.ndarray, grad: dict) -> None:
-    n = x.shape[1]
-    dh, dc = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
-    for t in range(len(x) - 1, -1, -1):
-        i, f, o, a, before, tc, last = kept[t]
-        dh = dh + dout[t]
-        dc = dc + dh * o * (1 - tc * tc)
-        dg = np.concatenate([dc * a * i * (1 - i), dc * before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - a * a)], axis=1)
-        np.add.at(grad["x" + d], x[t], dg)
-        grad["h" + d] += last.T @ dg
-        grad["c" + d] += dg.sum(0)
-        dh, dc = dg @ p["h" + d].T, dc * f
-
-
-def _emissions(p: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
-    forward, kf = _lstm(p, "f", x)
-    backward, kb = _lstm(p, "b", x[::-1])
-    both = np.concatenate([forward, backward[::-1]], axis=2)
+def _emissions(p: dict, x: np.ndarray, keep: bool = False) -> tuple[np.ndarray, np.ndarray, tuple]:
+    ahead, kf = lstm.forward(p["xf"][x] + p["cf"], p["hf"], keep)
+    behind, kb = lstm.forward(p["xb"][x[::-1]] + p["cb"], p["hb"], keep)
+    both = np.concatenate([ahead, behind[::-1]], axis=2)
     return both @ p["o"] + p["ob"], both, (kf, kb)
 
 
@@ -169,7 +134,7 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 def gradient(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
     """Mean negative log likelihood of tags y under the CRF, and its gradient; both (time, batch)."""
-    e, both, (kf, kb) = _emissions(p, x)
+    e, both, (kf, kb) = _emissions(p, x, keep=True)
     trans = p["t"] + _allowed()
     steps, n = x.shape
     alpha, beta = np.empty_like(e), np.zeros_like(e)
@@ -193,15 +158,17 @@ def gradient(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
     grad["o"] = np.einsum("tbh,tbk->hk", both, de)
     grad["ob"] = de.sum((0, 1))
     dboth = de @ p["o"].T
-    _lstm_back(p, "f", x, kf, dboth[:, :, :HIDDEN], grad)
-    _lstm_back(p, "b", x[::-1], kb, dboth[::-1, :, HIDDEN:], grad)
+    for d, seen, kept, dout in (("f", x, kf, dboth[:, :, :HIDDEN]), ("b", x[::-1], kb, dboth[::-1, :, HIDDEN:])):
+        dz, grad["h" + d] = lstm.back(dout, kept, p["h" + d])
+        np.add.at(grad["x" + d], seen, dz)
+        grad["c" + d] = dz.sum((0, 1))
     return float((z - score).mean()), {k: g / n for k, g in grad.items()}
 
 
 def train(windows: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = EPOCHS, seed: int = SEED) -> dict[str, np.ndarray]:
     """Parameters from windows of at most WINDOW characters with their spans (Adam)."""
     p, r = initial(seed), np.random.default_rng(seed)
-    first, second, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
+    adam = lstm.Adam(p)
     x = np.full((len(windows), WINDOW), 95)
     y = np.zeros((len(windows), WINDOW), dtype=np.int64)
     for i, (text, spans) in enumerate(windows):
@@ -218,12 +185,7 @@ def train(windows: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = E
         for at in range(0, len(order), BATCH):
             pick = order[at:at + BATCH]
             _, grad = gradient(p, seen[pick].T, y[pick].T)
-            step += 1
-            for k, g in grad.items():
-                g = np.clip(g, -1, 1)
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.99 * second[k] + 0.01 * g * g
-                p[k] -= rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-8)
+            adam.apply(grad, rate)
     return p
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bottomk, bpe_stream, jaccard_forest, langid, pii, suffix_dedup
+from kestrel.llm import bottomk, bpe_stream, html_blocks, jaccard_forest, langid, pii, projection_passes, suffix_dedup
 from kestrel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_blocks.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links (5-word shingles, Jaccard 0.8 or more) of every document."""
@@ -42,6 +48,12 @@ def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links (cosine 0.95 or more) and component of every vector."""
+    return projection_passes.link(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by out-of-place distance."""
