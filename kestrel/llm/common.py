@@ -17,8 +17,7 @@ ARROW_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings the operators rely on: bounded Arrow batches, a shared checkpoint folder,
-    and shuffle files that go when the statement that wrote them has ended."""
+    """Session settings the operators rely on: bounded Arrow batches and a shared checkpoint folder."""
     ensure_checkpoint_dir(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) not in range(1, ARROW_ROWS + 1):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
@@ -31,8 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Write an intermediate result to the shared checkpoint folder and go on from there."""
-    return cut_lineage(df)
+    """Write an intermediate result to the shared checkpoint folder and go on from there.
+
+    The shuffle files that it came from are deleted once it is written: nothing reads them again.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return cut_lineage(df)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
 
 
 def text_of(col: str) -> Column:
