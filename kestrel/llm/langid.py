@@ -27,6 +27,8 @@ TOP = 400
 #: Documents that a language's profile is counted on: a sample of about this many, chosen by a hash of the id.
 TRAIN_DOCS = 3000
 UNDETERMINED = "und"
+#: Least score of a document in one of the learned languages; texts in them score 0.4 and more, foreign scripts 0.
+MIN_SCORE = 0.1
 
 _BLANK = 32
 
@@ -112,40 +114,48 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return out
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text",
-             keep: tuple[str, ...] = ()) -> DataFrame:
-    """``keep`` columns, lang_pred and score (1: all n-grams in the profile's places; 0: none is in it)."""
-    names = sorted(profiles)
-    codes = np.unique(np.array([c for p in profiles.values() for c in p], dtype=np.uint64))
-    places = np.full((len(names), len(codes) + 1), -1, dtype=np.int64)
-    for i, name in enumerate(names):
-        places[i, np.searchsorted(codes, np.array(profiles[name], dtype=np.uint64))] = np.arange(len(profiles[name]))
+class Profiles:
+    """Profiles of several languages, ready to measure distances to all of them at once."""
 
-    def best(text: str | None) -> tuple[str, float]:
+    def __init__(self, profiles: dict[str, list[int]]):
+        self.names = sorted(profiles)
+        self.codes = np.unique(np.array([c for p in profiles.values() for c in p], dtype=np.uint64))
+        self.places = np.full((len(self.names), len(self.codes) + 1), -1, dtype=np.int64)
+        for i, name in enumerate(self.names):
+            self.places[i, np.searchsorted(self.codes, np.array(profiles[name], dtype=np.uint64))] = np.arange(len(profiles[name]))
+
+    def best(self, text: str | None) -> tuple[str, float]:
+        """The nearest language, and 1 less the mean distance in units of TOP."""
         found = ranked(grams(text))
-        if not len(found) or not names:
+        if not len(found) or not self.names:
             return UNDETERMINED, 0.0
-        at = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
-        at = np.where(codes[at] == found, at, len(codes))
-        place = places[:, at]
+        at = np.minimum(np.searchsorted(self.codes, found), len(self.codes) - 1)
+        place = self.places[:, np.where(self.codes[at] == found, at, len(self.codes))]
         out = np.where(place < 0, TOP, np.minimum(np.abs(place - np.arange(len(found))), TOP)).sum(axis=1)
         win = int(out.argmin())
-        return names[win], 1.0 - float(out[win]) / (TOP * len(found))
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        got = [best(t) for t in batch.column(0).to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([g[0] for g in got], pa.string()),
-                                           pa.array([g[1] for g in got], pa.float64())],
-                                          [*batch.schema.names[1:], "lang_pred", "score"])
-    kept = keep or (id_col,)
-    src = docs.select(F.col(text_col).alias("__text"), *kept)
-    types = ", ".join(f"`{c}` {t}" for c, t in src.select(*kept).dtypes)
-    return map_batches(src, f"{types}, lang_pred string, score double", run)
+        return self.names[win], 1.0 - float(out[win]) / (TOP * len(found))
 
 
 def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document, learned from those not held out."""
-    profiles = learn(docs, id_col, text_col, lang_col)
+    sent = docs.sparkSession.sparkContext.broadcast(Profiles(learn(docs, id_col, text_col, lang_col)))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        got = [sent.value.best(t) for t in batch.column(2).to_pylist()]
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([g[0] for g in got], pa.string()),
+                                           pa.array([g[1] for g in got], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("held_out", held_out("doc_id"))
-    return identify(rows, profiles, "doc_id", "text", ("doc_id", "held_out"))
+    rows = rows.select("doc_id", held_out("doc_id").alias("held_out"), "text")
+    return map_batches(rows, "doc_id long, held_out boolean, lang_pred string, score double", run)
+
+
+def known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          least: float = MIN_SCORE) -> DataFrame:
+    """The documents, all columns, without those that are undetermined or nearer than ``least`` to no language."""
+    sent = docs.sparkSession.sparkContext.broadcast(Profiles(learn(docs, id_col, text_col, lang_col)))
+    at = docs.columns.index(text_col)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        got = [sent.value.best(t) for t in batch.column(at).to_pylist()]
+        return batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in got], pa.bool_()))
+    return map_batches(docs, docs.schema, run)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bottomk, bpe_stream, html_blocks, jaccard_forest, langid, pii, projection_passes, suffix_dedup
+import corpus_pipeline
+from kestrel.llm import bottomk, bpe_stream, html_blocks, jaccard_forest, langid, pii, projection_passes, suffix_dedup, tokenpack, varpack
 from kestrel.llm.common import table
+from kestrel.llm.vocab import BYTE_BPE, BYTE_RANKS, PATTERN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL of the queries that SQL can express.
@@ -20,10 +21,6 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
-#: The vocabulary of the queries that need tokens.
-BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query
 def op1_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
@@ -54,6 +51,12 @@ def op5_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_passes.link(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op6_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document, or piece of one, in sequences of several lengths."""
+    return varpack.pack_documents(table(spark, sf_dir, "documents"), BYTE_RANKS, PATTERN)
+
+
 @query
 def op7_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by out-of-place distance."""
@@ -70,3 +73,15 @@ def op8_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document, by rules and by the network."""
     return pii.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document as rows of packed matrices."""
+    return tokenpack.packed_matrix(table(spark, sf_dir, "documents"), BYTE_RANKS, PATTERN)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py, one after the other, over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
