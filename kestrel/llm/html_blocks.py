@@ -35,8 +35,8 @@ from kestrel.llm import lstm
 from kestrel.llm.common import map_batches, text_of
 from kestrel.llm.shingles import span_hashes
 
-#: Pages that the network is trained on at most, and layouts drawn for each.
-TRAIN_PAGES, LAYOUTS = 250, 3
+#: Pages that the network is trained on at most, and layouts drawn for all of them together.
+TRAIN_PAGES, LAYOUTS = 250, 750
 PATH_DIMS, WORD_DIMS, MEASURES = 192, 32, 6
 UNITS, EPOCHS, BATCH, RATE, SEED = 24, 6, 32, 0.01, 3
 #: Pages read by the network at once.
@@ -60,6 +60,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|svg|title|iframe|object|canvas|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|</?[a-zA-Z][^\s/>]*(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+\Z"
     r"|</?[a-zA-Z!?][^>]*(?:>|\Z)", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -329,7 +330,7 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", mos
     for page in read:
         out.append((page, [not b.aside for b in page]))
         content = [b.text for b in page if not b.aside]
-        for _ in range(LAYOUTS):
+        for _ in range(-(-LAYOUTS // len(read))):
             # sections may hold as much prose as the article does
             strange = read[r.integers(len(read))]
             out.append(_layout(content, [*other[:50], *(b.text for b in strange)] if content else other, r))

@@ -39,7 +39,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 #: Windows that the network is trained on at most; characters in a window and shared by neighbours; on each side of a trigger.
 TRAIN_WINDOWS, WINDOW, OVERLAP, AROUND = 1000, 96, 32, 24
-HIDDEN, EPOCHS, BATCH, RATE, SEED = 16, 14, 100, 0.03, 5
+HIDDEN, STEPS, BATCH, RATE, SEED = 16, 240, 100, 0.03, 5
 #: Windows decoded at once.
 DECODE = 256
 _TRIGGER = re.compile("[0-9@]")
@@ -165,7 +165,7 @@ def gradient(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
     return float((z - score).mean()), {k: g / n for k, g in grad.items()}
 
 
-def train(windows: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = EPOCHS, seed: int = SEED) -> dict[str, np.ndarray]:
+def train(windows: list[tuple[str, list[tuple[str, int, int]]]], steps: int = STEPS, seed: int = SEED) -> dict[str, np.ndarray]:
     """Parameters from windows of at most WINDOW characters with their spans (Adam)."""
     p, r = initial(seed), np.random.default_rng(seed)
     adam = lstm.Adam(p)
@@ -178,12 +178,14 @@ def train(windows: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = E
             y[i, a:b] = 2 + 2 * k
             y[i, a] = 1 + 2 * k
     letters = (x >= ord("A") - 32) & (x <= ord("z") - 32) & (y == 0)
-    for epoch in range(epochs):
-        order, rate = r.permutation(len(windows)), RATE * (1 - epoch / epochs)
+    done = 0
+    while done < steps:
+        order = r.permutation(len(windows))
         # words around the spans are not to be learned: other letters in half of the windows
         seen = np.where(letters & (r.random((len(x), 1)) < 0.5), r.integers(65, 91, x.shape), x)
         for at in range(0, len(order), BATCH):
-            pick = order[at:at + BATCH]
+            pick, rate = order[at:at + BATCH], RATE * max(0.02, 1 - done / steps)
+            done += 1
             _, grad = gradient(p, seen[pick].T, y[pick].T)
             adam.apply(grad, rate)
     return p

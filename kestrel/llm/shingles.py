@@ -75,7 +75,7 @@ def shingle_hashes(texts: list[str | None], width: int = 5) -> tuple[np.ndarray,
             left = np.repeat(np.cumsum(counts), counts) - np.arange(n)     # words to the text's end
             for j in range(width):
                 shifted = np.zeros(n, dtype=np.uint64)
-                shifted[: n - j] = words[j:]
+                shifted[:max(n - j, 0)] = words[j:]
                 total += np.where(left > j, shifted, np.uint64(0)) * mult[j]
             first = np.repeat(np.cumsum(counts) - counts, counts) == np.arange(n)
             keep = (left >= width) | first
