@@ -1,51 +1,62 @@
 """Global row numbers and running sums without a single-partition window.
 
-A window with no PARTITION BY moves every row into one task.  Instead the
-rows are range-partitioned on the ordering, kept once (partition ids are
-stable: the range bounds are fixed when the shuffle is planned), each partition's count / sums
-are aggregated (one row per partition), turned into offsets, broadcast
-(bounded by the partition count) and added to a window that is local to
-each range partition.
+A window with no PARTITION BY moves every row into one task.  Instead the rows
+are range-partitioned on the ordering, sorted inside their partitions and written
+to the checkpoint folder, which fixes who is where.  A row's place in its
+partition is then known without another shuffle; each partition's count or sums
+(one row per partition) become offsets that are broadcast and added.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kestrel.session import cut_lineage
 
 
 def _ranged(df: DataFrame, order: Sequence[Column], parts: int | None) -> DataFrame:
-    # The range bounds are sampled once and fixed in the shuffle, so a lost
-    # cached partition is recomputed into the same partition id: persisting
-    # is enough to keep ids stable between the totals and the local window.
-    spark = df.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
-    return r.persist(StorageLevel.MEMORY_AND_DISK)
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+
+
+def _offsets(totals: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Running sums over the partitions before each one; a row for each partition."""
+    prev = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("__pid", *[F.coalesce(F.sum(c).over(prev), F.lit(0)).alias(f"__o_{c}") for c in cols])
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str, parts: int | None = None) -> DataFrame:
     """1..n in ``order`` (which must be a total order, e.g. end with a key)."""
-    r = _ranged(df, order, parts)
-    counts = r.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
-    off = counts.withColumn("__off", F.coalesce(F.sum("__c").over(
-        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__c")
+    r = _ranged(df, order, parts).withColumn("__m", F.monotonically_increasing_id())
+    r = r.withColumns({"__pid": F.shiftright("__m", 33), "__at": F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))})
+    off = _offsets(r.groupBy("__pid").agg(F.count(F.lit(1)).alias("c")), ["c"])
     r = r.join(F.broadcast(off), "__pid")
-    w = Window.partitionBy("__pid").orderBy(*order)
-    return r.withColumn(name, F.row_number().over(w) + F.col("__off")).drop("__pid", "__off")
+    return r.withColumn(name, (F.col("__at") + 1 + F.col("__o_c")).cast("bigint")).drop("__pid", "__at", "__m", "__o_c")
 
 
 def global_cumsum(df: DataFrame, order: Sequence[Column], cols: Sequence[str], prefix: str = "cum_",
                   parts: int | None = None) -> DataFrame:
     """Inclusive running sums of ``cols`` in ``order`` (a total order)."""
-    r = _ranged(df, order, parts)
-    tot = r.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
-    prev = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(prev), F.lit(0)).alias(f"__o_{c}") for c in cols])
-    r = r.join(F.broadcast(off), "__pid")
-    w = Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    r = r.withColumns({f"{prefix}{c}": F.sum(c).over(w) + F.col(f"__o_{c}") for c in cols})
+    r = _ranged(df, order, parts).withColumn("__pid", F.spark_partition_id())
+    off = _offsets(r.groupBy("__pid").agg(*[F.sum(c).alias(c) for c in cols]), cols)
+    fields = r.schema.fields + [T.StructField(f"{prefix}{c}", r.schema[c].dataType) for c in cols]
+
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = dict.fromkeys(cols, 0)
+        for b in batches:
+            out = list(b.columns)
+            for c in cols:
+                col = b.column(b.schema.get_field_index(c))
+                sums = np.cumsum(col.fill_null(0).to_numpy(zero_copy_only=False)) + before[c]
+                before[c] = sums[-1] if len(sums) else before[c]
+                out.append(pa.array(sums, col.type))
+            yield pa.RecordBatch.from_arrays(out, [*b.schema.names, *[f"{prefix}{c}" for c in cols]])
+    r = r.mapInArrow(running, T.StructType(fields)).join(F.broadcast(off), "__pid")
+    r = r.withColumns({f"{prefix}{c}": F.col(f"{prefix}{c}") + F.col(f"__o_{c}") for c in cols})
     return r.drop("__pid", *[f"__o_{c}" for c in cols])

@@ -139,7 +139,7 @@ def detect(scores: DataFrame, threshold: float = Z_THRESHOLD, prefix: str = "CAS
     # anomalies are few (bounded by metrics x days): a global ordering is fine here
     n = F.row_number().over(Window.orderBy(order, F.col(date), F.col("metric")))
     return a.withColumn("case_id", F.concat(F.lit(prefix + "-"), F.date_format(date, "yyyyMMdd"), F.lit("-"),
-                                            F.lpad(n.cast("string"), 3, "0")))
+                                            F.format_string("%03d", n)))
 
 
 SEGMENT_SUMS = ["sessions", "booked", "searches", "bookings", "zero_results", "latency", "cancellations", "refunds",
@@ -299,8 +299,11 @@ def case_register(anomalies: DataFrame, driver: DataFrame, lookup: DataFrame, da
 
 
 def evidence_packets(anomalies: DataFrame, driver: DataFrame, partners: DataFrame, routes: DataFrame,
-                     lookup: DataFrame, date: str = "metric_date") -> DataFrame:
-    """AN-13 (nested): evidence packet per case as a struct and its JSON text."""
+                     lookup: DataFrame, date: str = "metric_date", classification: str = "unclassified") -> DataFrame:
+    """AN-13 (nested): evidence packet per case as a struct and its JSON text.
+
+    ``classification`` states what kind of data the packets hold.
+    """
     pc = partners.groupBy("case_id").agg(F.sort_array(F.collect_list(F.struct(
         "context_rank", "partner_id", "sessions", "searches", "bookings", "session_booking_conversion",
         "no_result_rate", "successful_booking_value"))).alias("top_partner_context"))
@@ -310,7 +313,7 @@ def evidence_packets(anomalies: DataFrame, driver: DataFrame, partners: DataFram
     a = enrich_lookup(anomalies, lookup).join(driver, "case_id", "left").join(pc, "case_id", "left").join(
         rc, "case_id", "left")
     packet = F.struct(
-        F.col("case_id"), F.lit("synthetic portfolio data").alias("data_classification"),
+        F.col("case_id"), F.lit(classification).alias("data_classification"),
         F.date_format(date, "yyyy-MM-dd").alias("metric_date"), F.col("metric"), F.col("severity"),
         F.struct("observed_value", "baseline_median", "absolute_delta", "relative_delta", "robust_z").alias("observation"),
         F.struct("dimension", "segment", "current_value", "baseline_value", "adverse_gap").alias("primary_segment_driver"),

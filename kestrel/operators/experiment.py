@@ -198,7 +198,8 @@ def welch_columns(df: DataFrame, mean_t: str, var_t: str, n_t: str, mean_c: str,
     out = df.withColumns({
         "absolute_effect": F.col(mean_t) - F.col(mean_c),
         "standard_error": F.sqrt(a + b),
-        "__df": (a + b) ** 2 / (a ** 2 / (F.col(n_t) - 1) + b ** 2 / (F.col(n_c) - 1)),
+        # NULL when an arm has one unit or neither varies
+        "__df": F.try_divide((a + b) ** 2, F.try_divide(a ** 2, F.col(n_t) - 1) + F.try_divide(b ** 2, F.col(n_c) - 1)),
     })
     out = out.withColumns({
         "ci_low": F.col("absolute_effect") - F.lit(Z_975) * F.col("standard_error"),

@@ -92,14 +92,19 @@ def top_decile(df: DataFrame, label: str, score: str, key: str, share: float = 0
     })
 
 
-def calibration(df: DataFrame, label: str, score: str, key: str, bins: int = 10) -> DataFrame:
-    """ML-16: equal-frequency bins of the score rank, as ``qcut`` of ranks 1..n (Q6)."""
-    ranked = global_row_number(df.select(key, label, score), [F.col(score).asc(), F.col(key).asc()], "__r")
+def with_bins(df: DataFrame, score: str, key: str, bins: int = 10) -> DataFrame:
+    """Every row with ``probability_bin``: equal-frequency bins of the score rank, as ``qcut`` of ranks 1..n (Q6)."""
+    ranked = global_row_number(df, [F.col(score).asc(), F.col(key).asc()], "__r")
     n = df.agg(F.count(F.lit(1)).alias("__n"))
     j = ranked.crossJoin(F.broadcast(n))
     q = F.least(F.lit(bins), F.col("__n"))
-    raw = F.floor(((F.col("__r") - 1) * q + F.col("__n") - 2) / (F.col("__n") - 1)) - 1
+    raw = F.floor(F.try_divide((F.col("__r") - 1) * q + F.col("__n") - 2, F.col("__n") - 1)) - 1
     b = F.when(F.col("__n") <= 1, F.lit(0)).otherwise(F.greatest(raw, F.lit(0))).cast("bigint")
-    return j.withColumn("probability_bin", b).groupBy("probability_bin").agg(
+    return j.withColumn("probability_bin", b).drop("__r", "__n")
+
+
+def calibration(df: DataFrame, label: str, score: str, key: str, bins: int = 10) -> DataFrame:
+    """ML-16: predicted and observed rates per bin."""
+    return with_bins(df.select(key, label, score), score, key, bins).groupBy("probability_bin").agg(
         F.count(F.lit(1)).alias("sessions"), F.avg(F.col(score).cast("double")).alias("mean_predicted_probability"),
         F.avg(F.col(label).cast("double")).alias("observed_booking_rate"))

@@ -3,18 +3,13 @@
 Graph data lives in two DataFrames: ``nodes(station_id, ...)`` and
 ``edges(src, dst, weight, ...)``.  PageRank is an iterative join +
 aggregate over the edges with reliable checkpoints every few rounds;
-betweenness runs Brandes' algorithm with one source per unit of work
-inside ``mapInPandas`` (sources spread over tasks, adjacency broadcast
-after a size check), and partial dependencies are summed by a shuffle.
+betweenness is a series of joins over batches of sources.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +18,6 @@ from kestrel.functions.core import classify, composite_score, money_sum, rank_un
 from kestrel.session import cut_lineage
 
 EARTH_RADIUS_KM = 6371.0088
-MAX_BROADCAST_EDGES = 5_000_000
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -144,86 +138,70 @@ def degree(nodes: DataFrame, und: DataFrame, node: str = "station_id") -> DataFr
     return nodes.select(node).join(d, node, "left").fillna(0, subset=["network_degree"])
 
 
-def _brandes_partial(sources: list, adj: dict) -> dict:
-    """Brandes dependencies for the given sources on an undirected weighted graph."""
-    bc: dict = {}
-    for s in sources:
-        stack: list = []
-        preds: dict = {s: []}
-        sigma: dict = {s: 1.0}
-        dist: dict = {}
-        seen = {s: 0.0}
-        counter = 0
-        heap = [(0.0, counter, s, s)]
-        while heap:
-            d, _, pred, v = heapq.heappop(heap)
-            if v in dist:
-                continue
-            sigma[v] = sigma.get(v, 0.0) + (sigma[pred] if pred != v else 0.0)
-            stack.append(v)
-            dist[v] = d
-            for w, cost in adj.get(v, ()):
-                vw = d + cost
-                if w not in dist and (w not in seen or vw < seen[w]):
-                    seen[w] = vw
-                    counter += 1
-                    heapq.heappush(heap, (vw, counter, v, w))
-                    sigma[w] = 0.0
-                    preds[w] = [v]
-                elif vw == seen.get(w) and w not in dist:
-                    sigma[w] = sigma.get(w, 0.0) + sigma[v]
-                    preds[w].append(v)
-        delta = dict.fromkeys(stack, 0.0)
-        while stack:
-            w = stack.pop()
-            coeff = (1.0 + delta[w]) / sigma[w] if sigma[w] else 0.0
-            for v in preds.get(w, []):
-                delta[v] += sigma[v] * coeff
-            if w != s:
-                bc[w] = bc.get(w, 0.0) + delta[w]
-    return bc
+def _shortest_distances(sources: DataFrame, edges: DataFrame) -> DataFrame:
+    """(source, node, dist) of every node that a source reaches: relaxations until none improves."""
+    dist = sources.select("source", F.col("source").alias("node"), F.lit(0.0).alias("dist"))
+    dist = cut_lineage(dist.withColumn("fresh", F.lit(True)))
+    while True:
+        ahead = (dist.filter("fresh").join(edges, F.col("node") == F.col("u"))
+                 .select("source", F.col("v").alias("node"), (F.col("dist") + F.col("cost")).alias("new")))
+        best = ahead.groupBy("source", "node").agg(F.min("new").alias("new"))
+        better = F.col("new") < F.coalesce("dist", F.lit(float("inf")))
+        dist = cut_lineage(dist.drop("fresh").join(best, ["source", "node"], "full").select(
+            "source", "node", F.least("dist", "new").alias("dist"), F.coalesce(better, F.lit(False)).alias("fresh")))
+        if dist.filter("fresh").isEmpty():
+            return dist.drop("fresh")
+
+
+def _sum_over_paths(start: DataFrame, steps: DataFrame, at: str, to: str) -> DataFrame:
+    """(source, node, total): what all paths of ``steps`` carry to each node from the values of ``start``.
+
+    ``start`` has source, node and x; ``steps`` are edges without cycles, walked from ``at`` to
+    ``to``.  Round k holds what paths of k edges carry, until no path is longer.
+    """
+    wave = cut_lineage(start)
+    total = wave
+    while True:
+        wave = cut_lineage(wave.join(steps.select("source", F.col(at).alias("node"), F.col(to).alias("__to")), ["source", "node"])
+                           .groupBy("source", F.col("__to").alias("node")).agg(F.sum("x").alias("x")))
+        if wave.isEmpty():
+            return total.groupBy("source", "node").agg(F.sum("x").alias("total"))
+        total = total.unionByName(wave)
 
 
 def betweenness(nodes: DataFrame, und: DataFrame, cost: str = "inverse_demand_cost", node: str = "station_id",
-                normalized: bool = True, max_edges: int = MAX_BROADCAST_EDGES) -> DataFrame:
-    """NW-07: exact weighted shortest-path betweenness (undirected), Brandes per source.
+                normalized: bool = True, batch: int = 1000) -> DataFrame:
+    """NW-07: exact weighted shortest-path betweenness (undirected), as joins over batches of sources.
 
-    The adjacency is broadcast only after checking its size; sources are
-    hash-partitioned over tasks, each task emits one partial sum per node and
-    the partials are summed by node.  Work is O(n (m + n log n)) in total,
-    spread over tasks; there is no sampling of sources.
+    For every source: distances by relaxation; the edges on shortest paths; the number of
+    shortest paths to each node as a sum over paths from the source; and each node's share of
+    the paths beyond it as a sum over the same edges backwards.  The state is a row for each
+    (source, node) of a batch, keyed and joined like any fact; no source is sampled.
     """
-    spark = nodes.sparkSession
-    m = und.count()
-    if m > max_edges:
-        raise ValueError(f"betweenness: {m} edges exceed the broadcast bound {max_edges}")
-    pairs = und.select("u", "v", cost).collect()
-    adj: dict = {}
-    for r in pairs:
-        adj.setdefault(r["u"], []).append((r["v"], float(r[cost])))
-        adj.setdefault(r["v"], []).append((r["u"], float(r[cost])))
-    bc_adj = spark.sparkContext.broadcast(adj)
-    ids = nodes.select(F.col(node).alias("source")).distinct()
+    one = und.select("u", "v", F.col(cost).cast("double").alias("cost"))
+    edges = cut_lineage(one.unionByName(one.select(F.col("v").alias("u"), F.col("u").alias("v"), "cost")))
+    ids = cut_lineage(nodes.select(F.col(node).alias("source")).distinct())
     n = ids.count()
-    parts = max(1, min(n, spark.sparkContext.defaultParallelism * 4))
-    ids = ids.repartition(parts, "source")
-
-    def run(batches):
-        a = bc_adj.value
-        srcs = []
-        for b in batches:
-            srcs.extend(b["source"].tolist())
-        if srcs:
-            part = _brandes_partial(srcs, a)
-            if part:
-                yield pd.DataFrame({"node": list(part.keys()), "dep": np.array(list(part.values()), dtype=float)})
-
-    key_type = dict(nodes.dtypes)[node]
-    deps = ids.mapInPandas(run, f"node {key_type}, dep double").groupBy("node").agg(F.sum("dep").alias("raw"))
+    batches = max(1, -(-n // batch))
+    parts = None
+    for k in range(batches):
+        some = ids.filter(F.pmod(F.xxhash64("source"), F.lit(batches)) == k)
+        dist = _shortest_distances(some, edges)
+        ends = dist.select("source", F.col("node").alias("v"), F.col("dist").alias("__dv"))
+        steps = cut_lineage(dist.join(edges, F.col("node") == F.col("u")).join(ends, ["source", "v"])
+                            .filter(F.col("dist") + F.col("cost") == F.col("__dv")).select("source", "u", "v"))
+        first = some.select("source", F.col("source").alias("node"), F.lit(1.0).alias("x"))
+        sigma = cut_lineage(_sum_over_paths(first, steps, "u", "v").select("source", "node", F.col("total").alias("sigma")))
+        # a node's dependency over its path count is the sum, over what lies beyond it, of 1 / path count
+        beyond = _sum_over_paths(sigma.select("source", "node", (1.0 / F.col("sigma")).alias("x")), steps, "v", "u")
+        part = (beyond.join(sigma, ["source", "node"]).filter(F.col("source") != F.col("node"))
+                .groupBy("node").agg(F.sum(F.col("total") * F.col("sigma") - 1.0).alias("dep")))
+        part = cut_lineage(part)
+        parts = part if parts is None else parts.unionByName(part)
+    deps = parts.groupBy("node").agg(F.sum("dep").alias("raw"))
     scale = 1.0 / ((n - 1) * (n - 2)) if (normalized and n > 2) else (0.5 if not normalized else 1.0)
-    out = nodes.select(node).join(deps, F.col(node) == F.col("node"), "left").select(
+    return nodes.select(node).join(deps, F.col(node) == F.col("node"), "left").select(
         node, (F.coalesce(F.col("raw"), F.lit(0.0)) * F.lit(scale)).alias("betweenness_centrality"))
-    return out
 
 
 def station_network(stations: DataFrame, enriched: DataFrame, centrality: DataFrame, strength: DataFrame,

@@ -13,23 +13,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.stat import Correlation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions import special
 from kestrel.functions.core import rank_unique
+from kestrel.functions.ranking import global_cumsum, global_row_number
 from kestrel.operators import ml_metrics
 from kestrel.operators.facts import first_per_group
 
+# fixed values: the feature contract (names) and the columns that would leak the outcome
 CATEGORICAL = ["device_type", "acquisition_channel", "traveller_type", "partner_type", "partner_country",
                "integration_type", "contract_tier", "journey_type", "origin_country", "destination_country",
                "search_dow"]
@@ -38,6 +42,9 @@ NUMERIC = ["is_logged_in", "passengers", "days_before_travel", "result_count", "
 FEATURES = CATEGORICAL + NUMERIC
 LEAKAGE_EXCLUSIONS = ["selected_flag", "booking_count", "booking_value", "successful_booking_value",
                       "platform_revenue", "cancellations", "refunds", "experiment_variant", "alternatives_shown"]
+# fixed values: categorical terms of the probit benchmark's reduced formula
+REDUCED = ["device_type", "acquisition_channel", "traveller_type", "partner_type", "integration_type", "contract_tier",
+           "journey_type"]
 CANDIDATES = ["LogisticRegression", "RandomForest", "MLP"]
 # fixed values: feature contract ranges of the scoring interface
 RANGES = {"passengers": (1, 20), "days_before_travel": (0, 730), "result_count": (0, 500),
@@ -103,26 +110,19 @@ def assert_splits(summary: DataFrame, min_rows: int = 100) -> None:
 
 
 def preprocessor(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC,
-                 order: str = "alphabetAsc", drop_reference: bool = False) -> list:
-    """ML-04: one-hot (unknown levels -> all zeros) + standardised numerics.
-
-    ``drop_reference`` gives reference coding (first level dropped) for the
-    probit benchmark: indexer ordered alphabetDesc, last index dropped.
-    """
+                 order: str = "alphabetAsc") -> list:
+    """ML-04: one-hot (unknown levels -> all zeros) + standardised numerics."""
     idx = [f"{c}__idx" for c in categorical]
     oh = [f"{c}__oh" for c in categorical]
-    stages = [StringIndexer(inputCols=list(categorical), outputCols=idx,
-                            handleInvalid="error" if drop_reference else "keep",
-                            stringOrderType="alphabetDesc" if drop_reference else order),
-              OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True, handleInvalid="error"),
-              VectorAssembler(inputCols=list(numeric), outputCol="__num", handleInvalid="error"),
-              StandardScaler(inputCol="__num", outputCol="__num_scaled", withMean=True, withStd=True),
-              VectorAssembler(inputCols=oh + ["__num_scaled"], outputCol="features")]
-    return stages
+    return [StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep", stringOrderType=order),
+            OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True, handleInvalid="error"),
+            VectorAssembler(inputCols=list(numeric), outputCol="__num", handleInvalid="error"),
+            StandardScaler(inputCol="__num", outputCol="__num_scaled", withMean=True, withStd=True),
+            VectorAssembler(inputCols=oh + ["__num_scaled"], outputCol="features")]
 
 
 def candidate_pipelines(n_train: int, n_features: int, seed: int = 42, rf_trees: int = 350,
-                        mlp_iter: int = 100) -> dict[str, Pipeline]:
+                        mlp_iter: int = 400) -> dict[str, Pipeline]:
     """ML-06..ML-08: logistic (L2, C=1), random forest, MLP (64, 32)."""
     lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / max(n_train, 1),
                             elasticNetParam=0.0, standardization=False, maxIter=1500)
@@ -140,9 +140,19 @@ def _labelled(df: DataFrame) -> DataFrame:
 
 
 def n_encoded_features(train: DataFrame) -> int:
-    """Width of the encoded feature vector (distinct levels per categorical + numerics)."""
-    row = train.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL]).first()
-    return sum(int(row[c]) for c in CATEGORICAL) + len(NUMERIC)
+    """Width of the encoded feature vector (levels per categorical, as the indexer fits them, + numerics)."""
+    idx = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}__idx" for c in CATEGORICAL], handleInvalid="keep").fit(train)
+    return sum(len(labels) for labels in idx.labelsArray) + len(NUMERIC)
+
+
+def assert_model_frame(frame: DataFrame, features: Sequence[str] = FEATURES) -> None:
+    """IN-15 gate: an empty frame or any missing feature value fails (one aggregate, one row collected)."""
+    row = frame.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in features]).first()
+    if not row["__n"]:
+        raise RuntimeError("The model frame has no rows.")
+    bad = {c: row[c] for c in features if row[c]}
+    if bad:
+        raise RuntimeError(f"The model frame lacks feature values: {bad}")
 
 
 def probability() -> Column:
@@ -199,79 +209,106 @@ def select_champion(comparison: DataFrame, eligible: Sequence[str] = CANDIDATES)
     return best["m"]
 
 
+def lock(scored: DataFrame, threshold: float, score: str = "booking_probability", key: str = "session_id") -> DataFrame:
+    """ML-14: every scored row with the decision at the locked threshold and its probability bin."""
+    s = scored.withColumn("predicted_booking", (F.col(score) >= F.lit(threshold)).cast("bigint"))
+    return ml_metrics.with_bins(s, score, key)
+
+
 def score_locked(model: PipelineModel, test: DataFrame, threshold: float) -> DataFrame:
-    """ML-14: test scoring with the validation-locked threshold."""
+    """ML-14: test scoring with the validation-locked threshold, one row per unit."""
     s = model.transform(_labelled(test)).select("session_id", "partner_id", "session_ts", "booked_flag",
                                                 probability().alias("booking_probability"))
-    return s.withColumn("predicted_booking", (F.col("booking_probability") >= threshold).cast("bigint"))
+    return lock(s, threshold)
+
+
+PROBIT_CLIP = 1e-6
 
 
-def fit_probit(train: DataFrame, max_iter: int = 100) -> tuple[PipelineModel, DataFrame]:
-    """ML-09: probit GLM with reference-coded categoricals and Wald statistics.
+def independent_columns(corr, tolerance: float = 1e-9) -> list[int]:
+    """Columns of a correlation matrix, in order, that are not linear functions of those kept before.
 
-    Falls back to the numeric-only formula if the full design fails to fit.
+    Gram-Schmidt on the matrix itself: what remains of a column's variance after the kept
+    ones decides.  Constant columns (no correlation) are left out.
+    """
+    left, kept = np.array(corr, dtype=float), []
+    usable = np.isfinite(np.diag(left)) & (np.nan_to_num(left) != 0).any(axis=1)
+    off = np.isnan(left).sum(axis=1) >= len(left) - 1
+    left = np.nan_to_num(left)
+    for j in range(len(left)):
+        if usable[j] and not off[j] and left[j, j] > tolerance:
+            kept.append(j)
+            left = left - np.outer(left[:, j], left[j]) / left[j, j]
+    return kept
+
+
+def fit_probit(train: DataFrame, max_iter: int = 250) -> tuple[PipelineModel, DataFrame]:
+    """ML-09: probit GLM on raw numerics and reference-coded categoricals, with Wald statistics.
+
+    Each categorical gives one column for each level; the level that the others and the
+    intercept determine is left out as its reference, found by the rank of the design (a
+    k x k correlation matrix, k the number of columns).  When the full formula has more
+    dependent columns than that, the reduced formula is fitted instead.
     """
     tr = _labelled(train)
-    # a constant numeric column is collinear with the intercept: leave it out of the design
-    sd = tr.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in NUMERIC]).first()
-    numeric = [c for c in NUMERIC if sd[c] is not None and sd[c] > 0]
+    formula = "full"
+    for formula, categorical in (("full", CATEGORICAL), ("reduced", REDUCED)):
+        idx, oh = [f"{c}__idx" for c in categorical], [f"{c}__oh" for c in categorical]
+        design = Pipeline(stages=[
+            StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetDesc"),
+            OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True),
+            VectorAssembler(inputCols=[*NUMERIC, *oh], outputCol="__all")]).fit(tr)
+        matrix = Correlation.corr(design.transform(tr), "__all").first()[0].toArray()
+        kept = independent_columns(matrix)
+        constant = int(np.isnan(matrix).sum(axis=1).__ge__(len(matrix) - 1).sum())
+        if len(matrix) - len(kept) - constant <= len(categorical):
+            break
     glr = GeneralizedLinearRegression(family="binomial", link="probit", featuresCol="features", labelCol="label",
                                       maxIter=max_iter, fitIntercept=True)
-    formula = "full"
-    try:
-        model = Pipeline(stages=preprocessor(numeric=numeric, drop_reference=True) + [glr]).fit(tr)
-        model.stages[-1].summary.coefficientStandardErrors  # noqa: B018 - raises when the design was singular
-    except Exception:  # noqa: BLE001 - singular design: retry with the reduced formula
-        formula = "reduced"
-        model = Pipeline(stages=preprocessor(categorical=[], numeric=numeric, drop_reference=True)[2:4]
-                         + [VectorAssembler(inputCols=["__num_scaled"], outputCol="features"), glr]).fit(tr)
+    model = Pipeline(stages=[*design.stages, VectorSlicer(inputCol="__all", outputCol="features", indices=kept), glr]).fit(tr)
     g = model.stages[-1]
-    summ = g.summary
     attrs = model.transform(tr.limit(1)).schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-    names = [a["name"] for kind in ("binary", "numeric", "nominal") for a in attrs.get(kind, [])]
-    names_by_idx = {a["idx"]: a["name"] for kind in attrs for a in attrs[kind]}
-    names = [names_by_idx.get(i, f"x{i}") for i in range(len(g.coefficients))] + ["Intercept"]
-    coefs = list(g.coefficients) + [g.intercept]
-    ses = list(summ.coefficientStandardErrors)
-    ps = list(summ.pValues)
+    by_index = {a["idx"]: a["name"] for kind in attrs for a in attrs[kind]}
+    names = [by_index.get(i, f"x{i}") for i in range(len(g.coefficients))] + ["Intercept"]
     rows = [(n, float(b), float(se), float(p), float(b - special.Z_975 * se), float(b + special.Z_975 * se), formula)
-            for n, b, se, p in zip(names, coefs, ses, ps)]
+            for n, b, se, p in zip(names, [*g.coefficients, g.intercept], g.summary.coefficientStandardErrors, g.summary.pValues)]
     table = train.sparkSession.createDataFrame(
         rows, "term string, coefficient double, standard_error double, p_value double, ci_low double, "
               "ci_high double, formula_used string")
     return model, table
 
 
+def score_probit(model: PipelineModel, frame: DataFrame) -> DataFrame:
+    """Probabilities of the probit benchmark, kept off 0 and 1."""
+    p = F.least(F.greatest(F.col("prediction"), F.lit(PROBIT_CLIP)), F.lit(1 - PROBIT_CLIP))
+    return model.transform(_labelled(frame)).select("session_id", "booked_flag", p.alias("p"))
+
 
 def permutation_importance(model: PipelineModel, validation: DataFrame, features: Sequence[str] = FEATURES,
-                           repeats: int = 5, sample: int = 2500, seed: int = 42) -> DataFrame:
-    """ML-17: mean/std drop in average precision when one feature is shuffled.
-
-    The sample (at most ``sample`` rows, a feature of the method) is chosen
-    by a seeded hash order; each (feature, repeat) shuffle is a permutation
-    by a second hash order joined on row index, so it does not depend on the
-    partitioning.  All feature x repeat copies are scored in one transform
-    and AP is computed per group (groups are bounded by ``sample`` rows).
+                           repeats: int = 5, seed: int = 42) -> DataFrame:
+    """ML-17: mean/std drop in average precision when one feature is shuffled, over all validation rows.
+
+    A repeat is a permutation: rows numbered in one hash order take their values from the
+    rows of that number in another, so it does not depend on the partitioning.  Row
+    numbers come from range partitions, and all (feature, repeat) copies are ranked by
+    one range-partitioned running sum: no group is ever in one task.
     """
-    base = validation.withColumn("__h", F.xxhash64("session_id", F.lit(seed)))
-    smp = base.orderBy("__h", "session_id").limit(sample)
-    smp = smp.withColumn("__i", F.row_number().over(Window.orderBy("__h", "session_id")))
-    grid = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("rep"))
-                     for f in features for r in range(repeats)])
-    copies = smp.withColumn("__g", F.explode(grid)).select("*", "__g.feature", "__g.rep").drop("__g")
-    # permutation target: row j of the hash order for (feature, rep)
-    perm_key = F.xxhash64(F.col("session_id"), F.col("feature"), F.col("rep"), F.lit(seed))
-    donors = copies.withColumn("__j", F.row_number().over(
-        Window.partitionBy("feature", "rep").orderBy(perm_key, F.col("session_id"))))
-    donor_vals = donors.select("feature", "rep", F.col("__j").alias("__i"),
-                               *[F.col(f).alias(f"__d_{f}") for f in features])
-    shuffled = copies.join(donor_vals, ["feature", "rep", "__i"])
-    shuffled = shuffled.withColumns({f: F.when(F.col("feature") == f, F.col(f"__d_{f}")).otherwise(F.col(f))
-                                     for f in features}).drop(*[f"__d_{f}" for f in features])
-    scored = model.transform(_labelled(shuffled)).select("feature", "rep", "booked_flag",
-                                                         probability().alias("p"))
+    rows = validation.select("session_id", "booked_flag", *features)
+    key = F.xxhash64("session_id", F.lit(seed))
+    base = global_row_number(rows, [key, F.col("session_id")], "__i")
+    shuffled = None
+    for r in range(repeats):
+        other = F.xxhash64("session_id", F.lit(r), F.lit(seed + 1))
+        donors = global_row_number(rows, [other, F.col("session_id")], "__i").select(
+            "__i", *[F.col(f).alias(f"__d_{f}") for f in features])
+        part = base.join(donors, "__i").withColumn("rep", F.lit(r))
+        shuffled = part if shuffled is None else shuffled.unionByName(part)
+    copies = shuffled.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    copies = copies.withColumns({f: F.when(F.col("feature") == f, F.col(f"__d_{f}")).otherwise(F.col(f))
+                                 for f in features}).drop(*[f"__d_{f}" for f in features])
+    scored = model.transform(_labelled(copies)).select("feature", "rep", "booked_flag", probability().alias("p"))
     ap = grouped_ap(scored, ["feature", "rep"], "booked_flag", "p")
-    base_scored = model.transform(_labelled(smp)).select("booked_flag", probability().alias("p"))
+    base_scored = model.transform(_labelled(rows)).select("booked_flag", probability().alias("p"))
     base_ap = ml_metrics.ranking_metrics(base_scored, "booked_flag", "p").select(F.col("pr_auc").alias("__base"))
     imp = ap.crossJoin(F.broadcast(base_ap)).withColumn("drop", F.col("__base") - F.col("ap"))
     out = imp.groupBy("feature").agg(F.avg("drop").alias("importance_mean_pr_auc"),
@@ -280,13 +317,20 @@ def permutation_importance(model: PipelineModel, validation: DataFrame, features
 
 
 def grouped_ap(scored: DataFrame, groups: Sequence[str], label: str, score: str) -> DataFrame:
-    """Average precision per group; each group is bounded (windows stay per group)."""
+    """Average precision per group; NULL for a group without positives.
+
+    One running sum over all groups in order; what a group's predecessors add is taken off
+    again by the groups' totals (one row for each group).
+    """
     agg = scored.groupBy(*groups, F.col(score).alias("t")).agg(F.sum(F.col(label)).alias("pos"),
                                                                F.sum(1 - F.col(label)).alias("neg"))
-    w = Window.partitionBy(*groups).orderBy(F.col("t").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    c = agg.withColumns({"cp": F.sum("pos").over(w), "cn": F.sum("neg").over(w)})
-    return c.groupBy(*groups).agg((F.sum(F.col("pos") * F.col("cp") / (F.col("cp") + F.col("cn")))
-                                   / F.sum("pos")).alias("ap"))
+    c = global_cumsum(agg, [*[F.col(g).asc() for g in groups], F.col("t").desc()], ["pos", "neg"])
+    ends = c.groupBy(*groups).agg(F.max(F.col("cum_pos")).alias("__p"), F.max(F.col("cum_neg")).alias("__n"),
+                                  F.sum("pos").alias("__gp"), F.sum("neg").alias("__gn"))
+    c = c.join(F.broadcast(ends), list(groups))
+    cp = F.col("cum_pos") - (F.col("__p") - F.col("__gp"))
+    cn = F.col("cum_neg") - (F.col("__n") - F.col("__gn"))
+    return c.groupBy(*groups).agg(F.try_divide(F.sum(F.col("pos") * F.try_divide(cp, cp + cn)), F.sum("pos")).alias("ap"))
 
 
 def model_specific_importance(model: PipelineModel, frame: DataFrame) -> DataFrame:

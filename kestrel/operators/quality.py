@@ -160,5 +160,5 @@ def quality_snapshot(sessions: DataFrame, searches: DataFrame, bookings: DataFra
         F.avg(F.col("no_result_flag").cast("double")).alias("no_result_rate"),
     ).crossJoin(bookings.agg(F.count_distinct("booking_id").alias("distinct_bookings"))).crossJoin(
         sessions.agg(F.count_distinct(entity).alias("active_partners")))
-    glob = glob.withColumn("bookings_per_search", F.col("distinct_bookings") / F.col("distinct_searches"))
+    glob = glob.withColumn("bookings_per_search", F.try_divide(F.col("distinct_bookings"), F.col("distinct_searches")))
     return by_arm.crossJoin(F.broadcast(glob))

@@ -44,8 +44,7 @@ def fit_clusters(features: DataFrame, k_max: int = 6, restarts: int = 25, seed:
     prep = Pipeline(stages=[VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="__raw"),
                             StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True)])
     pm = prep.fit(features)
-    # entity-grain data: a few partitions keep per-iteration task overhead low
-    x = pm.transform(features).coalesce(max(1, min(8, n // 50_000 + 1))).cache()
+    x = pm.transform(features).cache()
     x.count()
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
                                     distanceMeasure="squaredEuclidean")

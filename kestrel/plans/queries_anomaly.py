@@ -37,9 +37,9 @@ a_det AS (
   WHERE robust_z IS NOT NULL AND baseline_median IS NOT NULL AND value IS NOT NULL
     AND ((adverse_direction = 'high' AND robust_z >= 3.5) OR (adverse_direction = 'low' AND robust_z <= -3.5))),
 a_anoms AS (
-  SELECT *, 'CASE-' || strftime(metric_date, '%Y%m%d') || '-' || lpad(CAST(row_number() OVER (
+  SELECT *, 'CASE-' || strftime(metric_date, '%Y%m%d') || '-' || printf('%03d', CAST(row_number() OVER (
            ORDER BY CASE severity WHEN 'critical' THEN 1 WHEN 'high' THEN 2 ELSE 3 END, metric_date, metric)
-           AS VARCHAR), 3, '0') AS case_id
+           AS BIGINT)) AS case_id
   FROM a_det)"""
 
 SUMS = """count(*) AS sessions, sum(booked_flag) AS booked, sum(search_count) AS searches,

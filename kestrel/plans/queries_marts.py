@@ -64,16 +64,12 @@ def _temporal_checks(c):
     v = c.views
     return quality.check_table(
         quality.temporal_violations(v.sessions, v.partners, "partner_id", "session_ts", "launch_date",
-                                    "sessions_before_partner_launch"),
-        quality.temporal_violations(v.searches, v.sessions, "session_id", "search_ts", "session_ts",
-                                    "searches_before_session"))
+                                    "sessions_before_partner_launch"))
 
 
 TEMPORAL_SQL = """SELECT 'sessions_before_partner_launch' AS "check",
   CAST(count(*) FILTER (WHERE s.session_ts < p.launch_date) AS BIGINT) AS violations
-  FROM v_sessions s LEFT JOIN v_partners p ON s.partner_id = p.partner_id
-UNION ALL SELECT 'searches_before_session', CAST(count(*) FILTER (WHERE q.search_ts < s.session_ts) AS BIGINT)
-  FROM v_searches q LEFT JOIN v_sessions s ON q.session_id = s.session_id"""
+  FROM v_sessions s LEFT JOIN v_partners p ON s.partner_id = p.partner_id"""
 
 
 def _outcome_checks(c):

@@ -37,15 +37,17 @@ def trained(c, rf_trees: int = 350):
     key = (c.spark.sparkContext.applicationId, c.base, rf_trees)
     if key not in _MODELS:
         s = splits(c)
+        P.assert_model_frame(frame(c))
         P.assert_splits(P.split_summary(s))
         tr = s["train"].cache()
         va = s["validation"].cache()
         fitted, comparison = P.fit_candidates(tr, va, rf_trees=rf_trees)
-        comparison = comparison.cache()
+        probit, coefficients = P.fit_probit(tr)
+        comparison = comparison.unionByName(P.metric_row(P.score_probit(probit, va), "Probit", "validation")).cache()
         champ = P.select_champion(comparison)
         thr = comparison.filter(F.col("model") == champ).first()["threshold"]
         _MODELS[key] = {"fitted": fitted, "comparison": comparison, "champion": champ, "threshold": thr,
-                        "splits": s}
+                        "splits": s, "probit": probit, "coefficients": coefficients}
     return _MODELS[key]
 
 
@@ -213,17 +215,37 @@ def q_comparison(c):
 @register("ml09_probit_coefficients", ids=("ML-09",),
           r6=("coefficient", "standard_error", "p_value", "ci_low", "ci_high"))
 def q_probit(c):
-    _, table = P.fit_probit(splits(c)["train"])
-    return table
+    return trained(c)["coefficients"]
 
 
-@register("ml14_test_scores", ids=("ML-14", "ML-16"), r6=("booking_probability",))
+@register("ml14_test_scores", ids=("ML-14",), r6=("booking_probability",))
 def q_test_scores(c):
     t = trained(c)
-    scored = P.score_locked(t["fitted"][t["champion"]], t["splits"]["test"], t["threshold"])
-    bins = MM.calibration(scored.select("session_id", "booked_flag", "booking_probability"), "booked_flag",
-                          "booking_probability", "session_id")
-    return bins
+    return P.score_locked(t["fitted"][t["champion"]], t["splits"]["test"], t["threshold"])
+
+
+@register("ml14_scored_units", ids=("ML-14",), r6=("score",), sql=sql("""
+SELECT key, label, score, CAST(score >= threshold AS BIGINT) AS predicted_booking,
+       CASE WHEN n <= 1 THEN 0 ELSE CAST(greatest(floor(((r - 1) * least(10, n) + n - 2) / (n - 1)) - 1, 0) AS BIGINT)
+       END AS probability_bin
+FROM (SELECT key, score, label, row_number() OVER (ORDER BY score, key) AS r, count(*) OVER () AS n FROM m_ev) AS a
+CROSS JOIN m_best""", OX.POPULATION, OX.CUPED, EV, CURVE))
+def q_scored_units(c):
+    """The locked decision and bin of every unit, on the SQL-reproducible score."""
+    e = ev(c)
+    return P.lock(e, MM.best_f1_threshold(e, "label", "score").first()["threshold"], "score", "key")
+
+
+@register("ml14_probit_test_metrics", ids=("ML-09", "ML-14"), r6=VAL_R6)
+def q_probit_test(c):
+    t = trained(c)
+    thr = t["comparison"].filter(F.col("model") == "Probit").first()["threshold"]
+    return P.metric_row(P.score_probit(t["probit"], t["splits"]["test"]), "Probit", "test", threshold=thr)
+
+
+@register("ml16_champion_calibration", ids=("ML-16",), r6=("mean_predicted_probability", "observed_booking_rate"))
+def q_champion_calibration(c):
+    return MM.calibration(q_test_scores(c), "booked_flag", "booking_probability", "session_id")
 
 
 @register("ml14_locked_threshold_metrics", ids=("ML-14", "ML-15"), r6=VAL_R6)
@@ -292,12 +314,14 @@ def _clusters(c):
 @register("ml20_partner_clusters", ids=("ML-20",))
 def q_clusters(c):
     clustered, prof, _, _ = _clusters(c)
-    return segments.label_entities(clustered, prof).select("partner_id", "cluster_id", "cluster_label")
+    return segments.label_entities(clustered, prof)
+
+
+PROFILE_R6 = ("median_sessions", "median_searches", "mean_conversion", "mean_no_result_rate", "mean_latency_ms",
+              "median_successful_booking_value", "median_platform_revenue")
 
 
-@register("ml21_cluster_profile", ids=("ML-21",),
-          r6=("median_sessions", "median_searches", "mean_conversion", "mean_no_result_rate", "mean_latency_ms",
-              "median_successful_booking_value", "median_platform_revenue"))
+@register("ml21_cluster_profile", ids=("ML-21",), r6=PROFILE_R6)
 def q_profile(c):
     return _clusters(c)[1]
 

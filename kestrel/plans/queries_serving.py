@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from kestrel.operators import growth, metrics, network
+from pyspark.sql import functions as F
+
 from kestrel.operators import anomaly as A
+from kestrel.operators import experiment as X
+from kestrel.operators import growth, metrics, network
 from kestrel.operators import serving as S
+from kestrel.plans import oracle_experiment as OX
 from kestrel.plans import oracle_marts as M
 from kestrel.plans import oracle_network as ON
 from kestrel.plans.queries_anomaly import ANOMS, DRIVER, _OWNER
 from kestrel.plans.queries_core import sql
-from kestrel.plans.queries_marts import DAILY
+from kestrel.plans.queries_experiment import TP6
+from kestrel.plans.queries_marts import DAILY, RET_R6
+from kestrel.plans.queries_ml import PROFILE_R6, VAL_R6, q_profile, trained
 from kestrel.plans.registry import register
 from kestrel.sources import sinks
 
@@ -78,13 +84,35 @@ def q_sv06_daily(c):
 
 @register("sv06_top_feature_importance", ids=("SV-06",), r6=("importance_mean_pr_auc", "importance_std"))
 def q_sv06_importance(c):
-    from kestrel.plans.queries_ml import trained
     from kestrel.operators.propensity import permutation_importance
     t = trained(c)
     imp = permutation_importance(t["fitted"][t["champion"]], t["splits"]["validation"])
     return S.ordered(imp, "importance_rank", n=15)
 
 
+@register("sv06_retention_by_cohort", ids=("SV-06",), r6=RET_R6,
+          sql=sql("SELECT * FROM o_ret_summary ORDER BY cohort_month", M.RETENTION, M.RETENTION_SUMMARY))
+def q_sv06_retention(c):
+    return S.ordered(metrics.retention_summary(c.retention), "cohort_month")
+
+
+@register("sv06_guardrails_by_metric", ids=("SV-06",), r6=TP6,
+          sql=sql("SELECT * FROM x_guard ORDER BY metric", OX.POPULATION, OX.GUARD))
+def q_sv06_guardrails(c):
+    e = c.experiment
+    return S.ordered(X.guardrails(e["searches"], e["bookings"], with_p=False), "metric")
+
+
+@register("sv06_validation_by_pr_auc", ids=("SV-06",), r6=VAL_R6)
+def q_sv06_validation(c):
+    return S.ordered(trained(c)["comparison"], F.desc("pr_auc"), "model")
+
+
+@register("sv06_clusters_by_id", ids=("SV-06",), r6=PROFILE_R6)
+def q_sv06_clusters(c):
+    return S.ordered(q_profile(c), "cluster_id")
+
+
 @register("sv07_activation_bars", ids=("SV-07",),
           r6=("integration_completion_rate", "first_search_rate", "first_booking_rate", "activation_30d_rate",
               "median_days_to_first_booking"),

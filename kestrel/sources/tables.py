@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -16,9 +15,12 @@ def table_path(base: str, name: str) -> str:
 def read_table(spark: SparkSession, base: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Scan one parquet table; projection is left to Catalyst's column pruning."""
     path = table_path(base, name)
-    if "://" not in path and not os.path.exists(path):
-        raise FileNotFoundError(f"missing table {name!r} at {path}")
-    df = spark.read.parquet(path)
+    try:        # only Spark knows the default file system: its reader finds out
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e.getCondition()):
+            raise FileNotFoundError(f"missing table {name!r} at {path}") from e
+        raise
     return df.select(*columns) if columns else df
 
 
