@@ -3,8 +3,8 @@
 Links are first contracted inside each task, then every node is linked to the
 smallest node around it, from the larger side and from the smaller side in turn,
 until nothing changes.  Every round is a join and two aggregations on the node;
-a node with very many links is summed before the shuffle and its join partition
-can be split.  Rounds are cut by checkpoints; only two sums for each reach the
+the links of a node with very many are summed before the shuffle and salted for
+the join.  Rounds are cut by checkpoints; only two sums for each reach the
 driver.
 """
 
@@ -20,6 +20,8 @@ from kestrel.llm.common import staged
 
 #: Links that a task contracts at once.
 LOCAL_LINKS = 200_000
+#: Tasks that the links of one node are dealt to.
+SALTS = 8
 
 
 def roots(links: Iterator[tuple[int, int]]) -> dict[int, int]:
@@ -57,6 +59,13 @@ def _contracted(links: DataFrame) -> DataFrame:
     return links.mapInArrow(run, "u long, v long")
 
 
+def _salted(links: DataFrame, low: DataFrame) -> DataFrame:
+    """Links with what ``low`` says of their node u; the links of one node are dealt to SALTS tasks."""
+    salt = F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int").alias("salt")
+    spread = low.select("u", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return links.select("u", "v", salt).join(spread, ["u", "salt"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links``, two columns of longs; component is its smallest node.
 
@@ -70,9 +79,9 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = now.union(now.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _salted(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _salted(large, low).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = staged(small.union(low.select("u", F.col("m").alias("v"))).distinct())
         found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == (found["n"], found["h"]):
