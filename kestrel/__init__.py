@@ -7,7 +7,6 @@ functions/  column helpers (safe ratios, z-scores, scores, ranks) and
             vectorised special functions for p-values
 operators/  the analytical operators, grouped by stage of the pipeline
 plans/      compositions of operators into marts and the query registry
-streaming/  micro-batch refresh of the unit fact marts
 """
 
 __all__ = ["session"]

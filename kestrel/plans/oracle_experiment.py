@@ -1,4 +1,4 @@
-"""DuckDB CTEs for the experiment stage (statistics without p-values)."""
+"""DuckDB CTEs for the experiment stage; tail probabilities by Simpson's rule over a list of steps."""
 
 from kestrel.plans.oracle_marts import sd
 
@@ -17,6 +17,33 @@ x_bookings AS (
 x_pre AS (SELECT * FROM fct_session WHERE session_ts < TIMESTAMP '1998-01-01 00:00:00')"""
 
 
+def _integral(upper: str, density: str, steps: int = 2000) -> str:
+    """Integral from 0 to ``upper`` (at least 0) of a density that writes @ for its variable."""
+    at = density.replace("@", f"(__i * ({upper}) / {steps})")
+    return (f"(({upper}) / {3 * steps} * list_sum([(CASE WHEN __i = 0 OR __i = {steps} THEN 1 WHEN __i % 2 = 1 THEN 4 ELSE 2 END) "
+            f"* {at} for __i in range({steps + 1})]))")
+
+
+def normal_cdf(x: str) -> str:
+    return f"(CAST(0.5 AS DOUBLE) + sign({x}) * {_integral(f'abs({x})', 'exp(-0.5 * @ * @)')} / sqrt(2 * pi()))"
+
+
+def p_normal(z: str) -> str:
+    """Two-sided p of a standard normal statistic."""
+    return f"(2 * (1 - {normal_cdf(f'abs({z})')}))"
+
+
+def p_t(t: str, df: str) -> str:
+    """Two-sided p of Student's t."""
+    area = _integral(f"abs({t})", f"pow(1 + @ * @ / ({df}), -(({df}) + 1) / 2)")
+    return f"(1 - 2 * exp(lgamma((({df}) + 1) / 2) - lgamma(({df}) / 2)) / sqrt(({df}) * pi()) * {area})"
+
+
+def welch_df(vt: str, nt: str, vc: str, nc: str) -> str:
+    a, b = f"({vt} / {nt})", f"({vc} / {nc})"
+    return f"(pow({a} + {b}, 2) / (pow({a}, 2) / ({nt} - 1) + pow({b}, 2) / ({nc} - 1)))"
+
+
 def two_prop(xt: str, nt: str, xc: str, nc: str, src: str, keep: str = "*") -> str:
     """SELECT over ``src`` adding the EX-07 columns (no p-value)."""
     inner = (f"SELECT {keep}, {sd(xc, nc)} AS control_rate, {sd(xt, nt)} AS variant_rate, "
@@ -153,3 +180,30 @@ x_sc AS (
 x_seg AS (
   {two_prop('variant_x', 'variant_n', 'control_x', 'control_n',
             '(SELECT * FROM x_sc WHERE control_n >= 50 AND variant_n >= 50) AS f')})"""
+
+
+GUARD_P = f"""x_guard_p AS (
+  SELECT g.*, CASE WHEN g.metric_type = 'binary' THEN {p_normal('g.z_stat')}
+                   ELSE {p_t('g.z_stat', welch_df('s.variant_v', 's.variant_n', 's.control_v', 's.control_n'))} END AS p_value
+  FROM x_guard g CROSS JOIN x_gs s)"""
+
+SRM = f"""x_srm AS (
+  SELECT *, {p_normal('sqrt(chi_square)')} AS p_value FROM (
+    SELECT control_sessions, variant_sessions, {sd('variant_sessions', 'control_sessions + variant_sessions')} AS variant_share,
+           CASE WHEN control_sessions + variant_sessions > 0 THEN
+             (pow(control_sessions - (control_sessions + variant_sessions) / 2.0, 2)
+              + pow(variant_sessions - (control_sessions + variant_sessions) / 2.0, 2))
+             / ((control_sessions + variant_sessions) / 2.0) END AS chi_square
+    FROM (SELECT count(*) FILTER (WHERE {ARM_C}) AS control_sessions,
+                 count(*) FILTER (WHERE {ARM_V}) AS variant_sessions FROM x_session) AS t) AS u)"""
+
+SEGMENTS_P = f"""x_seg_p AS (SELECT *, {p_normal('z_stat')} AS p_value FROM x_seg),
+x_bh AS (
+  SELECT *, least(min(p_value * m / i) OVER (ORDER BY p_value, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1) AS p_value_fdr_bh
+  FROM (SELECT *, count(*) OVER () AS m, row_number() OVER (ORDER BY p_value) AS i FROM x_seg_p) AS r)"""
+
+
+def power_of(h: str, n1: str, n2: str) -> str:
+    """Two-sided power of a two-sample normal test."""
+    shift = f"(({h}) / sqrt(CAST(1 AS DOUBLE) / ({n1}) + CAST(1 AS DOUBLE) / ({n2})))"
+    return f"(1 - {normal_cdf(f'({Z} - {shift})')} + {normal_cdf(f'(-{Z} - {shift})')})"

@@ -89,7 +89,8 @@ def q_srm_stats(c):
     return X.srm(c.experiment["session"], with_p=False)
 
 
-@register("ex05_srm", ids=("EX-05",), r6=("variant_share", "chi_square", "p_value"))
+@register("ex05_srm", ids=("EX-05",), r6=("variant_share", "chi_square", "p_value"),
+          sql=sql("SELECT *, p_value < 0.001 AS srm_flag FROM x_srm", OX.POPULATION, OX.SRM))
 def q_srm(c):
     return X.srm(c.experiment["session"])
 
@@ -121,7 +122,8 @@ def q_primary_stats(c):
     return X.primary_effect(c.experiment["session"], with_p=False)
 
 
-@register("ex08_primary_effect", ids=("EX-07", "EX-08"), r6=TP6 + ("p_value",))
+@register("ex08_primary_effect", ids=("EX-07", "EX-08"), r6=TP6 + ("p_value",),
+          sql=sql(f"SELECT *, {OX.p_normal('z_stat')} AS p_value FROM ({OX.PRIMARY_FINAL}) AS p", OX.POPULATION, OX.PRIMARY_COUNTS))
 def q_primary(c):
     return X.primary_effect(c.experiment["session"])
 
@@ -143,7 +145,9 @@ def q_cuped_stats(c):
     return X.cuped_effect(c.cuped_data, with_p=False)
 
 
-@register("ex10_cuped", ids=("EX-10",), r6=CUPED_R6 + ("p_value",))
+@register("ex10_cuped", ids=("EX-10",), r6=CUPED_R6 + ("p_value",),
+          sql=sql(f"SELECT p.*, {OX.p_t('p.t_stat', OX.welch_df('a.vv', 'a.vn', 'a.cv', 'a.cn'))} AS p_value "
+                  f"FROM ({OX.CUPED_FINAL}) AS p CROSS JOIN x_carm AS a", OX.POPULATION, OX.CUPED))
 def q_cuped(c):
     return X.cuped_effect(c.cuped_data)
 
@@ -160,7 +164,8 @@ def q_guard_stats(c):
     return X.guardrails(e["searches"], e["bookings"], with_p=False)
 
 
-@register("ex12_guardrails", ids=("EX-12",), r6=TP6 + ("p_value",))
+@register("ex12_guardrails", ids=("EX-12",), r6=TP6 + ("p_value",),
+          sql=sql("SELECT *, p_value < 0.05 AS significant_at_0_05 FROM x_guard_p", OX.POPULATION, OX.GUARD, OX.GUARD_P))
 def q_guard(c):
     e = c.experiment
     return X.guardrails(e["searches"], e["bookings"])
@@ -173,14 +178,33 @@ def q_segment_stats(c):
     return X.segment_effects(c.experiment["session"], c.views.partners, with_p=False)
 
 
-@register("ex14_segment_effects_fdr", ids=("EX-13", "EX-14"), r6=TP6 + ("p_value", "p_value_fdr_bh"))
+@register("ex14_segment_effects_fdr", ids=("EX-13", "EX-14"), r6=TP6 + ("p_value", "p_value_fdr_bh"), sql=sql("""
+SELECT dimension, segment, control_n, variant_n, control_rate, variant_rate, absolute_effect, relative_effect,
+       standard_error, ci_low, ci_high, z_stat, p_value, p_value_fdr_bh, p_value_fdr_bh <= 0.05 AS significant_after_fdr
+FROM x_bh""", OX.POPULATION, OX.SEGMENTS, OX.SEGMENTS_P))
 def q_segment(c):
     return X.segment_effects(c.experiment["session"], c.views.partners)
 
 
 @register("ex15_power_mde", ids=("EX-15",),
           r6=("allocation_ratio_variant_to_control", "control_baseline_rate", "observed_absolute_effect",
-              "observed_standardized_effect_size", "observed_approximate_power", "minimum_detectable_absolute_effect"))
+              "observed_standardized_effect_size", "observed_approximate_power", "minimum_detectable_absolute_effect"),
+          sql=sql(f"""
+SELECT CAST(0.05 AS DOUBLE) AS alpha, CAST(0.8 AS DOUBLE) AS target_power, control_n, variant_n,
+       CAST(variant_n AS DOUBLE) / control_n AS allocation_ratio_variant_to_control, control_rate AS control_baseline_rate,
+       absolute_effect AS observed_absolute_effect, h AS observed_standardized_effect_size,
+       {OX.power_of('h', 'control_n', 'variant_n')} AS observed_approximate_power,
+       abs(pow(sin(asin(sqrt(control_rate)) + mde / 2), 2) - control_rate) AS minimum_detectable_absolute_effect
+FROM (SELECT *, abs(2 * asin(sqrt(variant_rate)) - 2 * asin(sqrt(control_rate))) AS h FROM x_primary) AS p
+CROSS JOIN (SELECT (lo + hi) / 2 AS mde FROM x_bisect ORDER BY step DESC LIMIT 1) AS b""", OX.POPULATION, OX.PRIMARY_COUNTS,
+    f"""x_bisect AS (
+  WITH RECURSIVE b AS (
+    SELECT 0 AS step, CAST(0 AS DOUBLE) AS lo, CAST(8 AS DOUBLE) AS hi, control_n, variant_n FROM x_primary
+    UNION ALL
+    SELECT step + 1, CASE WHEN low THEN mid ELSE lo END, CASE WHEN low THEN hi ELSE mid END, control_n, variant_n
+    FROM (SELECT *, {OX.power_of('mid', 'control_n', 'variant_n')} < 0.8 AS low
+          FROM (SELECT *, (lo + hi) / 2 AS mid FROM b WHERE step < 50) AS m) AS n)
+  SELECT * FROM b)"""))
 def q_power(c):
     return X.power_mde(X.primary_effect(c.experiment["session"], with_p=False))
 
@@ -201,7 +225,14 @@ def q_impact(c):
     return X.business_impact(X.primary_effect(c.experiment["session"], with_p=False), c.experiment["session"])
 
 
-@register("ex17_decision", ids=("EX-17",), r6=("primary_p_value", "srm_p_value"))
+@register("ex17_decision", ids=("EX-17",), r6=("primary_p_value", "srm_p_value"), sql=sql(f"""
+SELECT primary_p_value, srm_p_value, srm_p_value < 0.001 AS srm_flag, adverse_guardrails,
+       CASE WHEN srm_p_value < 0.001 THEN 'stop_srm' WHEN primary_p_value < 0.05 AND adverse_guardrails = 0 THEN 'positive'
+            WHEN primary_p_value < 0.05 THEN 'review_guardrails' ELSE 'insufficient_evidence' END AS decision
+FROM (SELECT {OX.p_normal('z_stat')} AS primary_p_value FROM x_primary) AS p
+CROSS JOIN (SELECT p_value AS srm_p_value FROM x_srm) AS s
+CROSS JOIN (SELECT count(*) FILTER (WHERE p_value < 0.05 AND absolute_effect > 0) AS adverse_guardrails FROM x_guard_p) AS g""",
+    OX.POPULATION, OX.PRIMARY_COUNTS, OX.SRM, OX.GUARD, OX.GUARD_P))
 def q_decision(c):
     e = c.experiment
     return X.decision(X.primary_effect(e["session"]), X.srm(e["session"]), X.guardrails(e["searches"], e["bookings"]))
