@@ -60,3 +60,31 @@ def global_cumsum(df: DataFrame, order: Sequence[Column], cols: Sequence[str], p
     r = r.mapInArrow(running, T.StructType(fields)).join(F.broadcast(off), "__pid")
     r = r.withColumns({f"{prefix}{c}": F.col(f"{prefix}{c}") + F.col(f"__o_{c}") for c in cols})
     return r.drop("__pid", *[f"__o_{c}" for c in cols])
+
+
+def quantiles(df: DataFrame, wants: Sequence[tuple[str, str, float]], by: str | None = None) -> DataFrame:
+    """Exact quantiles (name, column, share), linear between neighbours, NULLs left out.
+
+    One row, or one for each value of ``by``.  Counts of distinct values get running sums over
+    range partitions, and a quantile is the least value whose sum passes its position: no
+    task sees all values of a column.
+    """
+    cols = list(dict.fromkeys(c for _, c, _ in wants))
+    group = F.col(by) if by else F.lit(0)
+    pairs = F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])
+    long = df.select(group.alias("__by"), F.explode(pairs).alias("s")).select("__by", "s.k", "s.v").filter("v IS NOT NULL")
+    counts = long.groupBy("__by", "k", "v").agg(F.count(F.lit(1)).alias("n"))
+    c = global_cumsum(counts, [F.col("__by").asc(), F.col("k").asc(), F.col("v").asc()], ["n"])
+    total = c.groupBy("__by", "k").agg(F.sum("n").alias("t"), F.max("cum_n").alias("e"))
+    c = c.join(total, ["__by", "k"]).withColumn("upto", F.col("cum_n") - (F.col("e") - F.col("t")))
+    aggs, out = [], []
+    for j, (name, col, share) in enumerate(wants):
+        mine, place = F.col("k") == cols.index(col), F.lit(float(share)) * (F.col("t") - 1)
+        aggs += [F.max(F.when(mine, place)).alias(f"__p{j}"),
+                 F.min(F.when(mine & (F.col("upto") > F.floor(place)), F.col("v"))).alias(f"__l{j}"),
+                 F.min(F.when(mine & (F.col("upto") > F.ceil(place)), F.col("v"))).alias(f"__h{j}")]
+        p, lo, hi = F.col(f"__p{j}"), F.col(f"__l{j}"), F.col(f"__h{j}")
+        out.append(F.when((F.floor(p) == F.ceil(p)) | (lo == hi), lo).otherwise((F.ceil(p) - p) * lo + (p - F.floor(p)) * hi).alias(name))
+    if by:
+        return c.groupBy("__by").agg(*aggs).select(F.col("__by").alias(by), *out)
+    return c.agg(*aggs).select(*out)

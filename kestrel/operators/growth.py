@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.core import classify, composite_score, money_sum, rank_unique, safe_div
+from kestrel.functions.ranking import quantiles
 from kestrel.operators.metrics import grouping_sets
 
 ACTIVATION_EVENTS = ["contract_signed", "api_key_created", "integration_test", "webhook_configured",
@@ -134,12 +135,9 @@ OPPORTUNITY_TYPES = ["High-volume conversion opportunity", "Search-result availa
 
 def partner_opportunities(growth: DataFrame) -> DataFrame:
     """PG-07..PG-10: composite score, first-match classification, unique rank."""
-    stats = growth.agg(
-        F.percentile("session_booking_conversion", 0.5).alias("__conv_med"),
-        F.percentile("no_result_rate", 0.5).alias("__nr_med"),
-        F.percentile("no_result_rate", 0.75).alias("__nr_p75"),
-        F.percentile("searches", 0.5).alias("__search_med"),
-    )
+    stats = quantiles(growth, [
+        ("__conv_med", "session_booking_conversion", 0.5), ("__nr_med", "no_result_rate", 0.5),
+        ("__nr_p75", "no_result_rate", 0.75), ("__search_med", "searches", 0.5)])
     g = growth.crossJoin(F.broadcast(stats))
     w = OPPORTUNITY_WEIGHTS
     g = composite_score(g, [

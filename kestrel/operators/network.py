@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.core import classify, composite_score, money_sum, rank_unique, safe_div
+from kestrel.functions.ranking import quantiles
 from kestrel.session import cut_lineage
 
 EARTH_RADIUS_KM = 6371.0088
@@ -220,7 +221,7 @@ def station_network(stations: DataFrame, enriched: DataFrame, centrality: DataFr
         "outbound_conversion": safe_div("outbound_bookings", "outbound_route_searches", null_as_zero=True),
         "outbound_no_result_rate": safe_div("outbound_no_result_searches", "outbound_route_searches", null_as_zero=True),
     })
-    med = m.agg(F.percentile("outbound_conversion", 0.5).alias("__med"))
+    med = quantiles(m, [("__med", "outbound_conversion", 0.5)])
     m = m.crossJoin(F.broadcast(med))
     m = composite_score(m, [
         (0.30, F.log1p("outbound_route_searches")), (0.20, F.col("pagerank_search_demand")),
@@ -245,10 +246,9 @@ def route_opportunities(enriched: DataFrame, centrality: DataFrame) -> DataFrame
                  F.col("pagerank_search_demand").alias("destination_pagerank"),
                  F.col("betweenness_centrality").alias("destination_betweenness"))
     out = enriched.join(o, "origin_station_id", "left").join(d, "destination_station_id", "left")
-    st = out.agg(F.percentile("search_to_book_conversion", 0.5).alias("__conv_med"),
-                 F.percentile("no_result_rate", 0.5).alias("__nr_med"),
-                 F.percentile("no_result_rate", 0.75).alias("__nr_p75"),
-                 F.percentile("searches", 0.75).alias("__s_p75"), F.percentile("searches", 0.5).alias("__s_med"))
+    st = quantiles(out, [
+        ("__conv_med", "search_to_book_conversion", 0.5), ("__nr_med", "no_result_rate", 0.5),
+        ("__nr_p75", "no_result_rate", 0.75), ("__s_p75", "searches", 0.75), ("__s_med", "searches", 0.5)])
     out = out.crossJoin(F.broadcast(st))
     endpoint = (F.col("origin_pagerank") + F.col("destination_pagerank") + F.col("origin_betweenness")
                 + F.col("destination_betweenness"))
@@ -277,7 +277,7 @@ def city_markets(routes_opp: DataFrame, priority_cut: int = 100) -> DataFrame:
         F.avg("underserved_opportunity_score").alias("average_route_score"),
         F.count_if(F.col("opportunity_rank") <= priority_cut).alias("high_priority_routes"))
     c = c.withColumn("conversion", safe_div("bookings", "searches"))
-    med = c.agg(F.percentile("conversion", 0.5).alias("__med"))
+    med = quantiles(c, [("__med", "conversion", 0.5)])
     c = c.crossJoin(F.broadcast(med))
     c = composite_score(c, [
         (0.35, F.log1p("searches")), (0.25, F.col("average_no_result_rate")),
@@ -302,7 +302,7 @@ def partner_route_opportunities(search_fact: DataFrame, routes_opp: DataFrame, t
         F.sum("booking_count").alias("bookings"), money_sum("successful_booking_value").alias("successful_booking_value"))
     pr = pr.withColumn("conversion", safe_div("booked_searches", "searches"))
     out = pr.join(F.broadcast(top), ["origin_station_id", "destination_station_id"], "inner")
-    med = out.agg(F.percentile("conversion", 0.5).alias("__med"))
+    med = quantiles(out, [("__med", "conversion", 0.5)])
     out = out.crossJoin(F.broadcast(med))
     out = composite_score(out, [
         (0.45, F.col("underserved_opportunity_score")), (0.30, F.log1p("searches")),

@@ -16,6 +16,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.functions.ranking import quantiles
+
 CLUSTER_FEATURES = ["log_sessions", "log_searches", "session_booking_conversion", "no_result_rate",
                     "avg_search_latency_ms", "log_successful_booking_value", "log_platform_revenue"]
 # fixed values: cluster names in precedence order
@@ -72,12 +74,13 @@ def fit_clusters(features: DataFrame, k_max: int = 6, restarts: int = 25, seed:
 def cluster_profile(clustered: DataFrame) -> DataFrame:
     """ML-21: per cluster medians and means, then precedence labels (Q22)."""
     prof = clustered.groupBy("cluster_id").agg(
-        F.count_distinct("partner_id").alias("partners"), F.median("sessions").alias("median_sessions"),
-        F.median("searches").alias("median_searches"), F.avg("session_booking_conversion").alias("mean_conversion"),
-        F.avg("no_result_rate").alias("mean_no_result_rate"), F.avg("avg_search_latency_ms").alias("mean_latency_ms"),
-        F.median("successful_booking_value").alias("median_successful_booking_value"),
-        F.median("platform_revenue").alias("median_platform_revenue"))
-    return label_clusters(prof)
+        F.count_distinct("partner_id").alias("partners"), F.avg("session_booking_conversion").alias("mean_conversion"),
+        F.avg("no_result_rate").alias("mean_no_result_rate"), F.avg("avg_search_latency_ms").alias("mean_latency_ms"))
+    medians = quantiles(clustered, [(f"median_{c}", c, 0.5) for c in (
+        "sessions", "searches", "successful_booking_value", "platform_revenue")], by="cluster_id")
+    return label_clusters(prof.join(medians, "cluster_id").select(
+        "cluster_id", "partners", "median_sessions", "median_searches", "mean_conversion", "mean_no_result_rate",
+        "mean_latency_ms", "median_successful_booking_value", "median_platform_revenue"))
 
 
 def label_clusters(prof: DataFrame) -> DataFrame:

@@ -70,3 +70,19 @@ def test_student_t_table_values():
     assert abs(float(special.two_sided_t_p(2.228138851986, 10)) - 0.05) < 1e-9
     assert abs(float(special.two_sided_t_p(2.0, 10)) - 0.0733880347707) < 1e-9
     assert abs(float(special.two_sided_t_p(1.959963984540054, 1e9)) - 0.05) < 1e-6
+
+
+def test_quantiles_equal_percentile(spark):
+    import random
+
+    from kestrel.functions.ranking import quantiles
+    r = random.Random(4)
+    rows = [(i % 3, r.choice([None, 1.5, r.random(), r.random() * 10]), r.randrange(50)) for i in range(500)] + [(9, 2.0, 1), (8, None, 4)]
+    df = spark.createDataFrame(rows, "g int, a double, b int")
+    wants = [("a50", "a", 0.5), ("a75", "a", 0.75), ("b10", "b", 0.1)]
+    aggs = [F.percentile(c, q).alias(n) for n, c, q in wants]
+    near = lambda x, y: all((p is None) == (q is None) and (p is None or abs(p - q) < 1e-12) for p, q in zip(x, y))
+    assert near(quantiles(df, wants).first(), df.agg(*aggs).first())
+    got = {x["g"]: tuple(x[n] for n, _, _ in wants) for x in quantiles(df, wants, by="g").collect()}
+    want = {x["g"]: tuple(x[n] for n, _, _ in wants) for x in df.groupBy("g").agg(*aggs).collect()}
+    assert got.keys() == want.keys() and all(near(got[k], want[k]) for k in want)
