@@ -26,6 +26,8 @@ from kestrel.llm.common import map_batches
 TOP = 400
 #: Documents that a language's profile is counted on: a sample of about this many, chosen by a hash of the id.
 TRAIN_DOCS = 3000
+#: Languages that are learned at most: the most frequent labels.
+LANGUAGES = 1000
 UNDETERMINED = "und"
 #: Least score of a document in one of the learned languages; texts in them score 0.4 and more, foreign scripts 0.
 MIN_SCORE = 0.1
@@ -89,7 +91,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id")))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     unit = F.pmod(F.xxhash64(F.lit("profile"), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.join(F.broadcast(sizes), "lang").where(unit * F.col("n") < train_docs).select("lang", "text")
 
