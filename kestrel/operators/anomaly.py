@@ -155,6 +155,11 @@ def _sums(prefix: str = "") -> list[Column]:
             money_sum("successful_booking_value").alias(prefix + "value")]
 
 
+def _resums() -> list[Column]:
+    """Sums of what ``_sums`` has counted, over a coarser grain."""
+    return [(money_sum if c == "value" else F.sum)(c).alias(c) for c in SEGMENT_SUMS]
+
+
 def metric_value(metric: Column, p: str = "") -> Column:
     """AN-08: the seven metrics from segment sums; NULL when the denominator is 0."""
     def ratio(n, d):
@@ -172,11 +177,10 @@ def segment_metrics(fact: DataFrame, dimensions: Sequence[str] = DRIVER_DIMENSIO
                     metrics: Sequence[str] = tuple(METRIC_RULES)) -> DataFrame:
     """AN-08 over whole segments: all metrics from one aggregate, then long."""
     cols = [F.col(d).cast("string").alias(d) for d in dimensions]
-    long = fact.select("partner_id", "booked_flag", "search_count", "booking_count", "zero_result_searches",
-                       "total_search_latency_ms", "cancellations", "refunds", "successful_booking_value", *cols)
-    long = long.unpivot([c for c in long.columns if c not in dimensions], list(dimensions), "dimension", "segment")
+    rolled = fact.withColumns(dict(zip(dimensions, cols))).groupBy(*dimensions, "partner_id").agg(*_sums())
+    long = rolled.unpivot(["partner_id", *SEGMENT_SUMS], list(dimensions), "dimension", "segment")
     agg = long.filter(F.col("segment").isNotNull()).groupBy("dimension", "segment").agg(
-        *_sums(), F.count_distinct("partner_id").alias("partners"))
+        *_resums(), F.count_distinct("partner_id").alias("partners"))
     ms = F.explode(F.array(*[F.lit(m) for m in metrics])).alias("metric")
     return agg.select("dimension", "segment", ms, *agg.columns[2:]).select(
         "dimension", "segment", "metric", metric_value(F.col("metric")).alias("metric_value"))
@@ -205,10 +209,11 @@ def primary_driver(anomalies: DataFrame, fact: DataFrame, dimensions: Sequence[s
         "session_date", "partner_id", "booked_flag", "search_count", "booking_count",
         "zero_result_searches", "total_search_latency_ms", "cancellations", "refunds",
         "successful_booking_value", *cols)
-    long = base.unpivot([c for c in base.columns if c not in dimensions], list(dimensions), "dimension", "segment")
-    long = long.filter(F.col("segment").isNotNull())
-    # pre-aggregate once to (date, dimension, segment, entity); entity kept for the distinct-based metric
-    pre = long.groupBy("session_date", "dimension", "segment", "partner_id").agg(*_sums())
+    # units are summed once to (date, levels, entity) and only those sums are unpivoted;
+    # the entity is kept for the distinct-based metric
+    rolled = base.groupBy("session_date", *dimensions, "partner_id").agg(*_sums())
+    long = rolled.unpivot(["session_date", "partner_id", *SEGMENT_SUMS], list(dimensions), "dimension", "segment")
+    pre = long.filter(F.col("segment").isNotNull()).groupBy("session_date", "dimension", "segment", "partner_id").agg(*_resums())
     j = pre.join(ex, "session_date")
 
     def side(cond, p):
@@ -230,7 +235,7 @@ def primary_driver(anomalies: DataFrame, fact: DataFrame, dimensions: Sequence[s
     best = best.filter("__rn = 1").select(
         "case_id", "dimension", "segment", "current_value", "baseline_value", "adverse_gap",
         F.col("cur_sessions").alias("current_sessions"), F.col("base_sessions").alias("baseline_sessions"))
-    has_data = base.select("session_date").distinct().join(ex, "session_date").select("case_id").distinct().withColumn(
+    has_data = rolled.select("session_date").distinct().join(ex, "session_date").select("case_id").distinct().withColumn(
         "__has", F.lit(True))
     out = anomalies.select("case_id").join(best, "case_id", "left").join(has_data, "case_id", "left")
     fill_dim = F.when(F.col("dimension").isNull(), F.lit("none")).otherwise(F.col("dimension"))

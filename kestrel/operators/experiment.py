@@ -387,13 +387,16 @@ def segment_counts(exp: DataFrame, partners: DataFrame, dimensions: Sequence[str
     attrs = [d for d in dimensions if d not in exp.columns]
     d = exp.join(partners.select("partner_id", *attrs), "partner_id", "left") if attrs else exp
     cols = [F.col(c).cast("string").alias(c) for c in dimensions]
-    long = d.select(arm, "booked_flag", *cols).unpivot([arm, "booked_flag"], list(dimensions), "dimension", "segment")
-    long = long.filter(F.col("segment").isNotNull())
+    # units are counted once per combination of levels; only those counts are unpivoted
+    d = d.select(arm, "booked_flag", *cols).groupBy(arm, *dimensions).agg(
+        F.count(F.lit(1)).alias("__n"), F.sum("booked_flag").alias("__x"))
+    long = d.unpivot([arm, "__n", "__x"], list(dimensions), "dimension", "segment").filter(F.col("segment").isNotNull())
+
+    def of(column: str, side: int) -> Column:
+        return F.sum(F.when(F.col(arm) == ARMS[side], F.col(column)).otherwise(0))
     c = long.groupBy("dimension", "segment").agg(
-        F.count_if(F.col(arm) == ARMS[0]).alias("control_n"),
-        F.count_if(F.col(arm) == ARMS[1]).alias("variant_n"),
-        F.sum(F.when(F.col(arm) == ARMS[0], F.col("booked_flag")).otherwise(0)).alias("control_x"),
-        F.sum(F.when(F.col(arm) == ARMS[1], F.col("booked_flag")).otherwise(0)).alias("variant_x"))
+        of("__n", 0).alias("control_n"), of("__n", 1).alias("variant_n"),
+        of("__x", 0).alias("control_x"), of("__x", 1).alias("variant_x"))
     return c.filter((F.col("control_n") >= min_n) & (F.col("variant_n") >= min_n))
 
 
