@@ -317,7 +317,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most:
         windows.append((row.w, spans))
         if other := _rewritten(row.w, spans, r):
             windows.append(other)
-    return train(windows)
+    return train(windows, STEPS)
 
 
 def find(texts: list[str], p: dict | None) -> list[tuple[list, list]]:

@@ -16,7 +16,7 @@ def test_names():
     assert "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
 
 
-def test_run_against_brute_force(spark):
+def test_run_against_brute_force(spark, quick_training):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     profiles = langid.Profiles(langid.learn(docs))
     rows = sorted((r.doc_id, r.text) for r in docs.collect() if profiles.best(r.text)[1] >= langid.MIN_SCORE)
@@ -41,7 +41,7 @@ def test_run_against_brute_force(spark):
     assert placed == want
 
 
-def test_stages_of_messy_rows(spark):
+def test_stages_of_messy_rows(spark, quick_training):
     docs = messy(spark)
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SMALL)
@@ -52,7 +52,7 @@ def test_stages_of_messy_rows(spark):
         assert out.count() > 0
 
 
-def test_personal_data_leaves_other_texts_alone(spark):
+def test_personal_data_leaves_other_texts_alone(spark, quick_training):
     docs = spark.createDataFrame([(1, "nothing to see here, move on", "en", "s", 5)], "doc_id long, text string, lang string, source string, n_chars long")
     assert corpus_pipeline.personal_data(spark, docs, SMALL).first().text == "nothing to see here, move on"
     assert pii.replaced("a b@c.de f", [("email", 2, 8)]) == "a [EMAIL] f"

@@ -174,7 +174,7 @@ def test_very_long_runs_take_linear_time():
     assert len(pii.base_spans("1." * 100_000 + "1")) > 0
 
 
-def test_personal_data_of_messy_rows(spark):
+def test_personal_data_of_messy_rows(spark, quick_training):
     docs = messy(spark)
     got = pii.digest(docs)
     assert got.count() == docs.count()
@@ -219,5 +219,5 @@ def test_windows_cover_every_trigger():
     assert all(any(a <= i < b for a, b in w) for i, c in enumerate(text) if c in "1@") and max(b - a for a, b in w) <= pii.WINDOW
 
 
-def test_registered_rows(spark):
+def test_registered_rows(spark, quick_training):
     assert len(rows_of(QUERIES["op9_personal_data"](spark, SMALL), "doc_id")) == spark.read.parquet(f"{SMALL}/documents.parquet").count()
