@@ -155,3 +155,33 @@ n_partner_routes AS (
          row_number() OVER (ORDER BY s0 DESC, partner_id, origin_station_id, destination_station_id) AS partner_route_rank,
          s0 AS partner_route_opportunity_score
   FROM (SELECT *, {weighted([0.45, 0.30, 0.25])} AS s0 FROM n_pz_z) AS q)"""
+
+
+def betweenness_ctes(rounds: int) -> str:
+    """Distances, path counts and dependencies unrolled to shortest paths of at most ``rounds`` edges."""
+    parts = [
+        "b_e AS MATERIALIZED (SELECT u, v, inverse_demand_cost AS cost FROM n_und UNION ALL SELECT v, u, inverse_demand_cost FROM n_und)",
+        "b_d0 AS (SELECT DISTINCT station_id AS s, station_id AS node, CAST(0 AS DOUBLE) AS dist FROM v_stations)"]
+    for i in range(1, rounds + 1):
+        parts.append(f"b_d{i} AS MATERIALIZED (SELECT s, node, min(dist) AS dist FROM (SELECT * FROM b_d{i - 1} UNION ALL "
+                     f"SELECT d.s, e.v, d.dist + e.cost FROM b_d{i - 1} d JOIN b_e e ON d.node = e.u) AS x GROUP BY s, node)")
+    parts.append(f"b_step AS MATERIALIZED (SELECT a.s, e.u, e.v FROM b_d{rounds} a JOIN b_e e ON a.node = e.u "
+                 f"JOIN b_d{rounds} b ON b.s = a.s AND b.node = e.v WHERE a.dist + e.cost = b.dist)")
+    parts.append("b_p0 AS (SELECT s, node, CAST(1 AS DOUBLE) AS x FROM b_d0)")
+    for i in range(1, rounds + 1):
+        parts.append(f"b_p{i} AS MATERIALIZED (SELECT p.s, t.v AS node, sum(p.x) AS x FROM b_p{i - 1} p "
+                     "JOIN b_step t ON t.s = p.s AND t.u = p.node GROUP BY p.s, t.v)")
+    union = " UNION ALL ".join(f"SELECT * FROM b_p{i}" for i in range(rounds + 1))
+    parts.append(f"b_sigma AS MATERIALIZED (SELECT s, node, sum(x) AS sigma FROM ({union}) AS q GROUP BY s, node)")
+    parts.append("b_h0 AS (SELECT s, node, 1 / sigma AS x FROM b_sigma)")
+    for i in range(1, rounds + 1):
+        parts.append(f"b_h{i} AS MATERIALIZED (SELECT p.s, t.u AS node, sum(p.x) AS x FROM b_h{i - 1} p "
+                     "JOIN b_step t ON t.s = p.s AND t.v = p.node GROUP BY p.s, t.u)")
+    union = " UNION ALL ".join(f"SELECT * FROM b_h{i}" for i in range(1, rounds + 1))
+    parts.append(f"b_dep AS (SELECT h.node, sum(h.x * g.sigma) AS dep FROM ({union}) AS h "
+                 "JOIN b_sigma g ON g.s = h.s AND g.node = h.node WHERE h.s <> h.node GROUP BY h.node)")
+    return ",\n".join(parts)
+
+
+BETWEENNESS_FINAL = """SELECT s.station_id, coalesce(d.dep, 0) / ((n.c - 1) * (n.c - 2)) AS betweenness_centrality
+FROM v_stations s LEFT JOIN b_dep d ON d.node = s.station_id CROSS JOIN (SELECT CAST(count(*) AS DOUBLE) AS c FROM v_stations) AS n"""

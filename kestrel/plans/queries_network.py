@@ -67,7 +67,9 @@ def q_degree(c):
     return c.net_degree
 
 
-@register("nw07_betweenness", ids=("NW-07",), r6=("betweenness_centrality",))
+@register("nw07_betweenness", ids=("NW-07",), r6=("betweenness_centrality",),
+          # shortest paths of the 25 stations have at most 24 edges
+          sql=sql(ON.BETWEENNESS_FINAL, ON.ENRICHED, ON.betweenness_ctes(24)))
 def q_betweenness(c):
     return N.betweenness(c.views.stations, c.net_undirected)
 
