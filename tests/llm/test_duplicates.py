@@ -207,3 +207,23 @@ def test_a_large_group_of_vectors_in_blocks(spark, monkeypatch):
 
 def test_passes_grow_with_the_number_of_vectors():
     assert projection_passes.passes(100) <= projection_passes.passes(10_000) <= projection_passes.passes(10 ** 9)
+
+
+def test_pairs_inside_a_dense_third_of_the_vectors(spark):
+    r = np.random.default_rng(21)
+    n, dims = 20_000, 64
+
+    def units(v):
+        return v / np.linalg.norm(v, axis=-1, keepdims=True)
+    centre, own = units(r.standard_normal(dims)), units(r.standard_normal((n // 3, dims)))
+    own = units(own - (own @ centre)[:, None] * centre)
+    x = np.concatenate([np.sqrt(0.8) * centre + np.sqrt(0.2) * own, units(r.standard_normal((n - n // 3, dims)))])
+    for i in range(400):        # partners at cos 0.955 among the vectors of pairwise cos 0.8
+        side = units(r.standard_normal(dims))
+        side = units(side - (side @ x[i]) * x[i])
+        x[400 + i] = 0.955 * x[i] + np.sqrt(1 - 0.955 ** 2) * side
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {v.vec_id: v for v in projection_passes.link(df).collect()}
+    near = [np.flatnonzero(x[lo:lo + 2000] @ x.T >= 0.95) for lo in range(0, n, 2000)]
+    assert sum(map(len, near)) == n + 800 and sum(v.n_links for v in got.values()) == 800
+    assert all(got[400 + i].component_id == i for i in range(400))
