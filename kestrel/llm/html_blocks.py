@@ -14,8 +14,9 @@ same blocks are put into page layouts drawn at random, where the label is known.
 
 Defined results: null html is an empty page with empty text; character references
 are decoded once; white space (that of Unicode) inside a block becomes one blank;
-scripts, styles, templates and comments are never text; unclosed elements end
-with the page.  Rows that repeat give repeated results; other columns are ignored.
+scripts, styles, templates, noscript, titles, iframes and comments are never text;
+svg, math, object and canvas are, as part of the block they stand in; unclosed
+elements end with the page.  Rows that repeat give repeated results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,8 +44,12 @@ UNITS, EPOCHS, BATCH, RATE, SEED = 24, 6, 32, 0.01, 3
 READ = 128
 
 # fixed values: elements of HTML
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-                    "span strike strong sub sup time tt u var wbr".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark math object q rp rt ruby s samp small "
+                    "span strike strong sub sup svg time tt u var wbr canvas".split())
+# fixed values: elements whose content is not HTML, and the HTML elements that end it all the same
+_FOREIGN = frozenset(["svg", "math"])
+_ENDS_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+                          "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSED_BY_BLOCK = frozenset(["p"])
 _CLOSED_BY_SAME = frozenset("li dt dd tr td th option thead tbody tfoot".split())
@@ -56,12 +61,17 @@ _ASIDE_WORDS = frozenset("ad ads advert advertisement advertising sponsor sponso
                          "search footer copyright legal comment comments reply replies respond disqus discussion pagination pager "
                          "toolbar skip tags complementary contentinfo search form".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|title|iframe|object|canvas|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|</?[a-zA-Z][^\s/>]*(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+\Z"
-    r"|</?[a-zA-Z!?][^>]*(?:>|\Z)", re.S | re.I)
+def _tokens(raw_end: str) -> re.Pattern[str]:
+    return re.compile(
+        r"<!--.*?(?:-->|\Z)"
+        r"|<(?P<raw>script|style|noscript|template|title|iframe)(?=[\s/>])[^>]*" + raw_end + r">.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+        r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+        r"|</?[a-zA-Z][^\s/>]*(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+\Z"
+        r"|</?[a-zA-Z!?][^>]*(?:>|\Z)", re.S | re.I)
+
+
+#: In svg and math, '/>' closes any element.
+_TOKEN, _FOREIGN_TOKEN = _tokens(""), _tokens("(?<!/)")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -90,6 +100,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, tuple[int, ...], bool]] = []
     parts: list[str] = []
     linked = links = at = 0
+    foreign = ""            # svg or math, when inside
 
     def flush() -> None:
         nonlocal linked
@@ -108,7 +119,7 @@ def blocks(page: str) -> list[Block]:
         if links:
             linked += len(text)
 
-    for m in _TOKEN.finditer(page):
+    while m := (_FOREIGN_TOKEN if foreign else _TOKEN).search(page, at):
         if m.start() > at:
             say(page[at:m.start()])
         at = m.end()
@@ -116,7 +127,16 @@ def blocks(page: str) -> list[Block]:
         if name is None:
             continue
         name = name.lower()
-        if name == "br":
+        if foreign and (any(s[0] == name for s in stack) if m["end"] else name in _ENDS_FOREIGN):
+            foreign = ""
+        if foreign:
+            if m["end"] and name == foreign:
+                foreign = ""
+            elif foreign == "svg":
+                parts.append(" ")
+        elif name in _FOREIGN and not m["end"]:
+            foreign = "" if m["attrs"].endswith("/") else name
+        elif name == "br":
             parts.append(" ")
         elif name in _INLINE:
             if name == "a":

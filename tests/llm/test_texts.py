@@ -49,6 +49,19 @@ def test_blocks():
     assert [b.aside for b in html_blocks.blocks("<nav>x</nav><article><header>t</header><p>y</p></article><header>z</header>")] == [True, False, False, True]
 
 
+def test_blocks_with_drawings_formulas_and_custom_elements():
+    def texts(page):
+        return [b.text for b in html_blocks.blocks(page)]
+    assert texts('<p>one <svg class="i"/> two</p><p>three</p>') == ["one two", "three"]
+    assert texts('<p>one <svg><g><path d="M0"/></g><title/><style/></svg> two</p><p>three</p>') == ["one two", "three"]
+    assert texts("<svg-icon></svg-icon><p>two</p>") == ["two"] and texts("<title-bar>x</title-bar><p>y</p>") == ["x", "y"]
+    assert texts("<p>a<object-view>x</object-view></p><p>b</p>") == ["a", "x", "b"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+    assert texts("<p>a <object><p>b</p></object><canvas>c</canvas></p>") == ["a", "b", "c"]
+    assert texts("<p>a <svg><text>b</text></p><p>c</p>") == ["a b", "c"] and texts("<svg><p>a</p><p>b</p>") == ["a", "b"]
+    assert texts("<p>a<iframe src=x>b</iframe><noscript>c</noscript><script >d</script >e</p>") == ["ae"]
+
+
 def test_main_text_of_messy_pages(spark):
     rows = [(1, "u", None), (1, "u", ""), (2, None, "<p>" + "word " * 30000), (None, "v", "plain & simple"), (3, "w", "<div><div><p></div>")]
     pages = spark.createDataFrame([(*r, "t", 5) for r in rows], "page_id long, url string, html string, text string, n_chars int")
