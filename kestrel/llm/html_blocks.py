@@ -40,8 +40,10 @@ from kestrel.llm.shingles import span_hashes
 TRAIN_PAGES, LAYOUTS = 250, 750
 PATH_DIMS, WORD_DIMS, MEASURES = 192, 32, 6
 UNITS, EPOCHS, BATCH, RATE, SEED = 24, 6, 32, 0.01, 3
-#: Pages read by the network at once.
-READ = 128
+#: Pages read by the network at once, and pages times the blocks of the longest; a longer page is read in parts.
+READ, READ_BLOCKS = 128, 8192
+#: Bytes of the pages sampled, characters of one of them, and blocks of all training pages, about.
+TRAIN_BYTES, TRAIN_CHARS, TRAIN_BLOCKS = 1 << 25, 1 << 20, 200_000
 
 # fixed values: elements of HTML
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark math object q rp rt ruby s samp small "
@@ -108,7 +110,7 @@ def blocks(page: str) -> list[Block]:
             text = " ".join("".join(parts).split())
             if text:
                 header = any(s[0] == "header" for s in stack) and not any(s[0] in ("article", "main") for s in stack)
-                out.append(Block(text, [d for s in stack for d in s[1]], linked, header or any(s[2] for s in stack)))
+                out.append(Block(text, list({d for s in stack for d in s[1]}), linked, header or any(s[2] for s in stack)))
             parts.clear()
         linked = 0
 
@@ -252,15 +254,38 @@ def label(p: dict, pages: list[list[Block]]) -> list[np.ndarray]:
     """For each page, which blocks are content."""
     out: list[np.ndarray] = [np.zeros(0, dtype=bool)] * len(pages)
     order = sorted((i for i, b in enumerate(pages) if b), key=lambda i: len(pages[i]))
-    for at in range(0, len(order), READ):
-        part = order[at:at + READ]
+    while order:
+        n = next((k for k, i in enumerate(order[:READ]) if (k + 1) * len(pages[i]) > READ_BLOCKS), len(order[:READ]))
+        if not n:       # this page and all after it are over the bound
+            break
+        part, order = order[:n], order[n:]
         sizes = [len(pages[i]) for i in part]
         score, _, _ = _scores(p, _padded(vectors([pages[i] for i in part]), sizes), np.array(sizes))
         for k, i in enumerate(part):
             out[i] = score[:sizes[k], k] > 0
+    for i in order:
+        out[i] = _long_scores(p, pages[i]) > 0
     return out
 
 
+def _long_scores(p: dict, page: list[Block]) -> np.ndarray:
+    """Content scores of one page, READ_BLOCKS blocks at a time; the states are carried on."""
+    score = np.zeros(len(page), dtype=np.float32)
+    starts, ahead, behind = range(0, len(page), READ_BLOCKS), [], []
+    for way, lows in ((1, starts), (-1, reversed(starts))):
+        for lo in lows:
+            part = page[lo:lo + READ_BLOCKS]
+            x = vectors([part])
+            x[:, -2] = (lo + np.arange(len(part))) / len(page)
+            if way > 0:
+                got, _ = lstm.forward((x @ p["xf"])[:, None], p["hf"], state=ahead)
+                score[lo:lo + len(part)] += got[:, 0] @ p["o"][:UNITS] + x @ p["e"] + p["b"]
+            else:
+                got, _ = lstm.forward((x @ p["xb"])[::-1, None], p["hb"], state=behind)
+                score[lo:lo + len(part)] += got[::-1, 0] @ p["o"][UNITS:]
+    return score
+
+
 # ---- training pages ----
 
 def _layout(content: list[str], other: list[str], r: np.random.Generator) -> tuple[list[Block], list[bool]]:
@@ -337,14 +362,29 @@ def _layout(content: list[str], other: list[str], r: np.random.Generator) -> tup
 
 
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most: int = TRAIN_PAGES) -> dict[str, np.ndarray] | None:
-    """Train on a sample of about ``most`` pages, those with the smallest hashes of their ids."""
+    """Train on a sample of about ``most`` pages, those with the smallest hashes of their ids.
+
+    Training reads the beginning and the end of long pages; what is trained labels every page whole.
+    """
     n = pages.count()
     unit = F.pmod(F.xxhash64(F.lit("layout"), F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = (pages.where(unit * n < most).where(F.col(html_col).isNotNull()).select(F.xxhash64(id_col, html_col).alias("k"),
-            F.col(html_col).alias("h")).orderBy("k", "h").limit(2 * most).collect())
-    if not rows:
+    rows = pages.where(unit * n < most).where(F.col(html_col).isNotNull()).select(
+        F.xxhash64(id_col, html_col).alias("k"), F.substring(html_col, 1, TRAIN_CHARS).alias("h"))
+    chosen, held = [], 0
+    for x in rows.select("k", F.octet_length("h").alias("bytes")).orderBy("k").limit(2 * most).collect():
+        if held + x.bytes <= TRAIN_BYTES:
+            chosen.append(x.k)
+            held += x.bytes
+    if not chosen:
         return None
-    r, read = np.random.default_rng(SEED), [blocks(x.h) for x in rows]
+    # equal pages have one hash: they are taken as often as they were counted
+    texts = {x.k: x.h for x in rows.where(F.col("k").isin(list(set(chosen)))).groupBy("k").agg(F.first("h").alias("h")).collect()}
+    longest = TRAIN_BLOCKS // (len(chosen) + LAYOUTS)
+    read = []
+    for k in chosen:
+        page = blocks(texts[k])
+        read.append(page if len(page) <= longest else page[:longest // 2] + page[-(longest // 2):])
+    r = np.random.default_rng(SEED)
     other = [b.text for page in read for b in page if b.aside] or ["more"]
     out = []
     for page in read:

@@ -9,13 +9,14 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def forward(z: np.ndarray, w: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
+def forward(z: np.ndarray, w: np.ndarray, keep: bool = False, state: list | None = None) -> tuple[np.ndarray, list]:
     """States (time, batch, units) for input activations z (time, batch, 4 units: in, forget, out, new).
 
-    ``keep`` also returns what `back` needs.
+    ``keep`` also returns what `back` needs.  ``state``, a list, is where reading starts (when not empty) and is
+    set to where it ends, so that a long input can be read in parts.
     """
     units = w.shape[0]
-    h = c = np.zeros((z.shape[1], units), dtype=z.dtype)
+    h, c = state or [np.zeros((z.shape[1], units), dtype=z.dtype)] * 2
     out, kept = np.empty((*z.shape[:2], units), dtype=z.dtype), []
     for t in range(len(z)):
         g = z[t] + h @ w
@@ -27,6 +28,8 @@ def forward(z: np.ndarray, w: np.ndarray, keep: bool = False) -> tuple[np.ndarra
         out[t] = h = o * tc
         if keep:
             kept.append((i, f, o, new, before, tc, last))
+    if state is not None:
+        state[:] = h, c
     return out, kept
 
 

@@ -62,6 +62,31 @@ def test_blocks_with_drawings_formulas_and_custom_elements():
     assert texts("<p>a<iframe src=x>b</iframe><noscript>c</noscript><script >d</script >e</p>") == ["ae"]
 
 
+def test_a_long_page_is_read_in_parts(monkeypatch):
+    p = html_blocks.initial()
+    pages = [html_blocks.blocks("".join(f"<p class='c{i % 7}'>word {i} of {n}</p>" for i in range(n))) for n in (3, 500, 2, 0, 70, 40)]
+    whole, most, scores = html_blocks.label(p, pages), [], html_blocks._scores
+    x = html_blocks.vectors([pages[1]])
+    score = scores(p, x[:, None], np.array([500]))[0][:, 0]
+    monkeypatch.setattr(html_blocks, "READ_BLOCKS", 64)
+    monkeypatch.setattr(html_blocks, "_scores", lambda p, x, *a: most.append(x.shape[0] * x.shape[1]) or scores(p, x, *a))
+    assert np.allclose(html_blocks._long_scores(p, pages[1]), score, atol=1e-4)
+    got = html_blocks.label(p, pages)
+    assert [len(g) for g in got] == [3, 500, 2, 0, 70, 40] and np.mean(np.concatenate(got) == np.concatenate(whole)) > 0.99
+    assert most and max(most) <= 64
+
+
+def test_sampled_pages_are_bounded_by_bytes(spark, monkeypatch):
+    page = "<nav>menu</nav><article>" + "<p>some words here.</p>" * 400 + "</article>"
+    pages = spark.createDataFrame([(i, page + str(i)) for i in range(12)], "page_id long, html string")
+    seen = []
+    monkeypatch.setattr(html_blocks, "train", lambda out: seen.extend(out) or {})
+    monkeypatch.setattr(html_blocks, "TRAIN_BYTES", 3 * len(page) + 100)
+    monkeypatch.setattr(html_blocks, "TRAIN_BLOCKS", 7530)
+    assert html_blocks.learn(pages) == {}
+    assert len(seen) == 3 * 251 and len(seen[0][0]) == 10
+
+
 def test_main_text_of_messy_pages(spark):
     rows = [(1, "u", None), (1, "u", ""), (2, None, "<p>" + "word " * 30000), (None, "v", "plain & simple"), (3, "w", "<div><div><p></div>")]
     pages = spark.createDataFrame([(*r, "t", 5) for r in rows], "page_id long, url string, html string, text string, n_chars int")
