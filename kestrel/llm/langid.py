@@ -91,9 +91,11 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id")))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    unit = F.pmod(F.xxhash64(F.lit("profile"), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.join(F.broadcast(sizes), "lang").where(unit * F.col("n") < train_docs).select("lang", "text")
+    unit = F.pmod(F.xxhash64(F.lit("profile"), "id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = rows.withColumn("unit", unit)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("unit").alias("least")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    chosen = (F.col("unit") * F.col("n") < train_docs) | (F.col("unit") == F.col("least"))     # no language without a document
+    sample = rows.join(F.broadcast(sizes), "lang").where(chosen).select("lang", "text")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         langs, codes = [], {}

@@ -117,6 +117,13 @@ def test_language_of_messy_rows(spark):
     assert nothing.count() == 0 and langid.predict(docs.where("lang IS NULL")).where("lang_pred <> 'und'").count() == 0
 
 
+def test_languages_are_learned_from_rows_without_ids(spark):
+    rows = [(None, f"{word} {i}", lang) for lang, word in (("aa", "one text"), ("bb", "autre chose")) for i in range(200)]
+    rows += [(None, "immer gleich", "cc")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(langid.learn(docs, train_docs=5)) == ["aa", "bb", "cc"]
+
+
 def test_grams_and_ranks():
     codes = langid.grams("Ab, b")
     text = ["".join(chr(int(c) >> s & 0x1FFFFF) for s in (42, 21, 0) if int(c) >> s & 0x1FFFFF) for c in codes]
