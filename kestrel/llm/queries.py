@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from kestrel.llm import bottomk, bpe_stream, html_blocks, jaccard_forest, langid, pii, projection_passes, suffix_dedup, tokenpack, varpack
+from kestrel.llm import (bottomk, bpe_stream, chat_tokens, fim_frames, html_blocks, jaccard_forest, langid, merkle, pii, projection_passes,
+                         suffix_dedup, tokenpack, varpack)
 from kestrel.llm.common import table
 from kestrel.llm.vocab import BYTE_BPE, BYTE_RANKS, PATTERN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_merkle_manifest": merkle.SQL,
+    "op12_fim_frames": fim_frames.SQL,
+    "op13_chat_tokens": chat_tokens.SQL,
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -81,6 +86,24 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenpack.packed_matrix(table(spark, sf_dir, "documents"), BYTE_RANKS, PATTERN)
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document held against the manifest of all, some of them tampered with."""
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_fim_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for fill-in-middle, and rebuilt."""
+    return fim_frames.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and read back."""
+    return chat_tokens.digest(chat_tokens.with_quote(table(spark, sf_dir, "conversations")), BYTE_RANKS, PATTERN)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, one after the other, over all documents."""

@@ -12,7 +12,8 @@ from kestrel.llm.vocab import BYTE_RANKS, PATTERN
 def test_names():
     assert sorted(q for q in QUERIES if q.startswith("op")) == sorted(
         ["op1_html_blocks", "op2_jaccard_forest", "op3_bpe_transducer", "op4_suffix_repeats", "op5_projection_passes",
-         "op6_variable_best_fit", "op7_language_profiles", "op8_bottom_k", "op9_personal_data", "op10_packed_ids"])
+         "op6_variable_best_fit", "op7_language_profiles", "op8_bottom_k", "op9_personal_data", "op10_packed_ids",
+         "op11_merkle_manifest", "op12_fim_frames", "op13_chat_tokens"])
     assert "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
 
 
