@@ -121,6 +121,50 @@ def rolling_scores(long: DataFrame, lookback: int = LOOKBACK, min_history: int =
     return out.withColumn("robust_z", (v - F.col("baseline_median")) / F.col("scale"))
 
 
+def calendar_spine(long: DataFrame, date: str = "metric_date") -> DataFrame:
+    """AN-02 by calendar day: one row for each metric and day from its first to its last.
+
+    Gap rule: a day without a row gets one without a value.  It takes up a day of the windows but is no
+    observation, so a median needs as many observations as before, within the last days instead of rows.
+    """
+    ends = long.groupBy("metric").agg(F.min(date).alias("__a"), F.max(date).alias("__b"),
+                                      F.first("adverse_direction").alias("adverse_direction"))
+    days = ends.select("metric", "adverse_direction", F.explode(F.sequence("__a", "__b", F.expr("INTERVAL 1 DAY"))).alias(date))
+    return days.withColumn(date, F.to_date(date)).join(long.select(date, "metric", "value"), [date, "metric"], "left").select(
+        date, "metric", "value", "adverse_direction")
+
+
+def rescored(scores: DataFrame, long: DataFrame, late: DataFrame, lookback: int = LOOKBACK, min_history: int = MIN_HISTORY,
+             date: str = "metric_date") -> DataFrame:
+    """The scores of a calendar after values of ``late`` (metric, date) have come in or changed.
+
+    A day's value moves the medians of the ``lookback`` days after it and, through their deviations, the MADs of as
+    many days again; only those days are computed anew, from the values of that stretch and its history.  All
+    others keep median and MAD; the series' deviation, which stands in for a MAD of zero, is renewed for all.
+    ``long`` has all values as they are now, on the calendar.
+    """
+    touched = late.select("metric", F.explode(F.sequence(F.to_date(date), F.date_add(F.to_date(date), 2 * lookback),
+                                                         F.expr("INTERVAL 1 DAY"))).alias(date))
+    touched = touched.select("metric", F.to_date(date).alias(date)).distinct()
+    history = touched.select("metric", F.explode(F.sequence(F.date_sub(date, 2 * lookback), F.col(date),
+                                                            F.expr("INTERVAL 1 DAY"))).alias(date)).distinct()
+    history = history.select("metric", F.to_date(date).alias(date))
+    # stretches that are not neighbours must not share a window
+    part = long.join(history, ["metric", date], "left_semi")
+    w = Window.partitionBy("metric").orderBy(date)
+    begins = F.coalesce((F.datediff(F.col(date), F.lag(date).over(w)) > 1).cast("int"), F.lit(1))
+    part = part.withColumn("__stretch", F.sum(begins).over(w)).withColumn("__metric", F.col("metric"))
+    part = part.withColumn("metric", F.concat_ws("#", "metric", "__stretch"))
+    fresh = rolling_scores(part, lookback, min_history, date).withColumn("metric", F.col("__metric"))
+    fresh = fresh.join(touched, ["metric", date], "left_semi").select(*[c for c in scores.columns])
+    kept = scores.join(touched, ["metric", date], "left_anti").unionByName(fresh)
+    spread = long.groupBy("metric").agg(F.stddev_pop("value").alias("__fb"))
+    kept = kept.drop("scale", "robust_z").join(spread, "metric")
+    fb = F.when(F.col("__fb").isNull() | F.isnan("__fb") | (F.col("__fb") == 0), F.lit(1e-6)).otherwise(F.col("__fb"))
+    kept = kept.withColumn("scale", F.coalesce(F.nullif(F.lit(MAD_SCALE) * F.col("rolling_mad"), F.lit(0.0)), fb))
+    return kept.withColumn("robust_z", (F.col("value") - F.col("baseline_median")) / F.col("scale")).select(*scores.columns)
+
+
 def detect(scores: DataFrame, threshold: float = Z_THRESHOLD, prefix: str = "CASE",
            date: str = "metric_date") -> DataFrame:
     """AN-05..AN-07: directional filter, deltas, severity and global case ids (Q25)."""

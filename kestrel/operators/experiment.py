@@ -4,21 +4,20 @@ Pattern: aggregate the fact once to a few rows (per arm, per metric, per
 segment x arm), pivot the arms side by side, then compute statistics as
 column expressions over those rows.  The only Python on executors is the
 p-value / power UDFs of ``kestrel.functions.special`` over those few rows;
-the regression (EX-11) reduces the data to k x k sums by aggregation and
-solves on the driver.
+the regression (EX-11) sums products of its sparse rows in long form (`gram`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions import special
 from kestrel.functions.core import money_sum, safe_div
 from kestrel.functions.special import Z_975
+from kestrel.operators import encoding, gram
 
 ARMS = ("control", "variant")
 ALPHA = 0.05
@@ -26,17 +25,30 @@ TARGET_POWER = 0.80
 SRM_THRESHOLD = 0.001
 
 
+#: Parts that a digest deals units to.
+BUCKETS = 10_000
+
+
+def digest_bucket(unit: str, salt: str, buckets: int = BUCKETS) -> Column:
+    """A bucket from 0 on: the first 32 bits of sha256(salt:unit), as any system can compute it."""
+    head = F.substring(F.sha2(F.concat(F.lit(f"{salt}:"), F.col(unit).cast("string")).cast("binary"), 256), 1, 8)
+    return (F.conv(head, 16, 10).cast("bigint") % buckets).cast("bigint")
+
+
 def assign_arms(units: DataFrame, unit: str, ts: str, start: str, end: str, experiment: str,
-                method: str = "hash", salt: str = "exp") -> DataFrame:
-    """EX-01: 50/50 arm inside the half-open window, ``not_eligible`` outside.
+                method: str = "digest", salt: str | None = None, variant_share: float = 0.5) -> DataFrame:
+    """EX-01: an arm inside the half-open window, ``not_eligible`` outside.
 
-    ``hash`` buckets by xxhash64(unit, salt) so assignment is stable and
-    needs no coordination; ``modulo`` (id % 2) is the oracle-friendly form.
+    ``digest`` deals by `digest_bucket` with the experiment's name as the salt unless one is given, so that arms of
+    two experiments are independent, and gives the variant the buckets below its share; ``modulo`` is id % 2.
+    A unit without an id is not eligible.
     """
-    in_window = (F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & (F.col(ts) < F.lit(end).cast("timestamp_ntz"))
-    bucket = F.pmod(F.xxhash64(F.col(unit), F.lit(salt)), F.lit(2)) if method == "hash" else F.col(unit) % 2
-    arm = F.when(in_window, F.when(bucket == 0, F.lit(ARMS[0])).otherwise(F.lit(ARMS[1]))).otherwise(
-        F.lit("not_eligible"))
+    in_window = in_range(ts, start, end) & F.col(unit).isNotNull()
+    if method == "digest":
+        control = digest_bucket(unit, salt or experiment) >= int(round(variant_share * BUCKETS))
+    else:
+        control = F.col(unit) % 2 == 0
+    arm = F.when(in_window, F.when(control, F.lit(ARMS[0])).otherwise(F.lit(ARMS[1]))).otherwise(F.lit("not_eligible"))
     name = F.when(in_window, F.lit(experiment)).otherwise(F.lit("not_eligible"))
     return units.withColumns({"experiment_name": name, "experiment_variant": arm})
 
@@ -265,79 +277,16 @@ def cuped_effect(data: DataFrame, arm: str = "experiment_variant", with_p: bool
     return out.select(*cols, vr.alias("variance_reduction"))
 
 
-def _design(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str],
-            levels: dict[str, list]) -> tuple[list[str], list[Column]]:
-    names = ["Intercept"]
-    cols: list[Column] = [F.lit(1.0)]
-    for c in numeric:
-        names.append(c)
-        cols.append(F.col(c).cast("double"))
-    for c in categorical:
-        for lv in levels[c][1:]:   # treatment coding, first level is the reference
-            names.append(f"{c}[T.{lv}]")
-            cols.append((F.col(c).cast("string") == F.lit(str(lv))).cast("double"))
-    return names, cols
-
-
-def cluster_robust_ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str],
-                       cluster: str, small_sample: bool = True) -> dict:
-    """EX-11 engine: OLS with cluster-robust (sandwich) covariance.
-
-    Three aggregate passes, none of which moves rows to the driver:
-    1. distinct levels of each categorical (bounded by its domain),
-    2. X'X, X'y, y'y, sum(y), n as one aggregate of k(k+1)/2 + k + 3 sums,
-    3. per-cluster score sums s_g = sum_i x_i e_i (groupBy cluster), then the
-       meat sum_g s_g s_g' as one more aggregate.
-    Only k x k matrices reach the driver, where they are solved with NumPy.
-    Correction G/(G-1) * (n-1)/(n-k) as in the usual small-sample rule.
-    """
-    lv_rows = df.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(c) for c in categorical]).first()
-    levels = {c: list(lv_rows[c]) for c in categorical}
-    names, cols = _design(df, y, numeric, categorical, levels)
-    k = len(names)
-    X = df.select(F.col(cluster).alias("__g"), F.col(y).cast("double").alias("__y"),
-                  *[c.alias(f"__x{i}") for i, c in enumerate(cols)])
-    sums = []
-    for i in range(k):
-        for j in range(i, k):
-            sums.append(F.sum(F.col(f"__x{i}") * F.col(f"__x{j}")).alias(f"xx_{i}_{j}"))
-        sums.append(F.sum(F.col(f"__x{i}") * F.col("__y")).alias(f"xy_{i}"))
-    sums += [F.sum(F.col("__y") * F.col("__y")).alias("yy"), F.sum("__y").alias("sy"),
-             F.count(F.lit(1)).alias("n"), F.count_distinct("__g").alias("G")]
-    r = X.agg(*sums).first()
-    xtx = np.zeros((k, k))
-    xty = np.zeros(k)
-    for i in range(k):
-        xty[i] = r[f"xy_{i}"]
-        for j in range(i, k):
-            xtx[i, j] = xtx[j, i] = r[f"xx_{i}_{j}"]
-    n, G = int(r["n"]), int(r["G"])
-    xtx_inv = np.linalg.pinv(xtx)
-    beta = xtx_inv @ xty
-    resid = F.col("__y") - sum((F.lit(float(beta[i])) * F.col(f"__x{i}") for i in range(k)), F.lit(0.0))
-    scores = X.withColumn("__e", resid).groupBy("__g").agg(
-        *[F.sum(F.col(f"__x{i}") * F.col("__e")).alias(f"s{i}") for i in range(k)])
-    meat_row = scores.agg(*[F.sum(F.col(f"s{i}") * F.col(f"s{j}")).alias(f"m_{i}_{j}")
-                            for i in range(k) for j in range(i, k)]).first()
-    meat = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            meat[i, j] = meat[j, i] = meat_row[f"m_{i}_{j}"]
-    cov = xtx_inv @ meat @ xtx_inv
-    if small_sample and G > 1 and n > k:
-        cov *= (G / (G - 1)) * ((n - 1) / (n - k))
-    ssr = float(r["yy"] - 2 * beta @ xty + beta @ xtx @ beta)
-    sst = float(r["yy"] - r["sy"] ** 2 / n)
-    return {"names": names, "beta": beta, "se": np.sqrt(np.maximum(np.diag(cov), 0.0)), "n": n, "G": G,
-            "r_squared": 1.0 - ssr / sst if sst > 0 else 0.0}
-
-
 def cluster_adjusted_effect(data: DataFrame, arm: str = "experiment_variant", cluster: str = "partner_id",
                             categorical: Sequence[str] = ("device_type", "traveller_type", "acquisition_channel",
                                                           "is_logged_in")) -> DataFrame:
-    """EX-11: treatment effect from the covariate-adjusted LPM with clustered SEs."""
+    """EX-11: treatment effect from the covariate-adjusted LPM with clustered SEs.
+
+    Levels of covariates that the treatment and the others determine are left out.
+    """
     d = data.withColumn("treatment", (F.col(arm) == ARMS[1]).cast("double"))
-    fit = cluster_robust_ols(d, "booked_flag", ["treatment", "pre_partner_conversion"], list(categorical), cluster)
+    x = encoding.treatment_terms(["treatment", "pre_partner_conversion"], categorical, encoding.reference_levels(d, categorical))
+    fit = gram.cluster_robust_ols(d, x, F.col("booked_flag"), F.col(cluster), first=("Intercept", "treatment", "pre_partner_conversion"))
     i = fit["names"].index("treatment")
     b, se = float(fit["beta"][i]), float(fit["se"][i])
     p = float(special.two_sided_normal_p(b / se)) if se > 0 else None

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.core import money_sum
+from kestrel.operators.gates import Gate
 
 OUTCOME_MEASURES = ["booking_count", "booking_value", "successful_booking_value",
                     "platform_revenue", "cancellations", "refunds"]
@@ -23,10 +24,9 @@ def checked_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
                  cardinality: str = "many_to_one", validate: bool = False) -> DataFrame:
     """Equi-join with an optional cardinality assertion (IN-12).
 
-    ``validate=True`` runs one aggregate per side that must be unique
-    (``count(*) - count(DISTINCT key)`` computed as a grouped count > 1) and
-    raises on violation.  It is an action, so pipelines call it once per
-    build, not inside lazily returned queries.
+    ``validate=True`` runs one aggregate for each side that must be unique and raises on violation.
+    It is an action of its own; builds that write a table watch the rows before and after their
+    joins inside the writing job instead (`gates.Gate.kept`).
     """
     if validate:
         sides = {"many_to_one": [right], "one_to_one": [left, right], "one_to_many": [left]}[cardinality]
@@ -45,10 +45,10 @@ def add_successful_value(bookings: DataFrame, value: str = "booking_value",
     return bookings.withColumn(out, F.when(ok, F.col(value)).otherwise(F.lit(0.0)).cast("double"))
 
 
-def outcome_rollup(bookings: DataFrame, key: str) -> DataFrame:
-    """FC-02: count and five sums of outcomes per ``key``."""
+def outcome_rollup(bookings: DataFrame, *keys: str) -> DataFrame:
+    """FC-02: count and five sums of outcomes per ``keys``."""
     b = add_successful_value(bookings)
-    return b.groupBy(key).agg(
+    return b.groupBy(*keys).agg(
         F.count("booking_id").alias("booking_count"),
         money_sum("booking_value").alias("booking_value"),
         money_sum("successful_booking_value").alias("successful_booking_value"),
@@ -68,13 +68,22 @@ def _calendar(df: DataFrame, ts: str, prefix: str) -> DataFrame:
 
 
 def build_search_fact(searches: DataFrame, sessions: DataFrame, bookings: DataFrame,
-                      validate: bool = False) -> DataFrame:
-    """FC-03: item fact = items + unit attributes + per-item outcome rollup."""
+                      validate: bool = False, gate: Gate | None = None, by_session: bool = False) -> DataFrame:
+    """FC-03: item fact = items + unit attributes + per-item outcome rollup.
+
+    ``gate`` watches that the joins neither lose nor multiply items.  With ``by_session`` outcomes are matched
+    on (session, item) instead of the item alone, so that inputs bucketed by session need no exchange; right
+    when every outcome names the session of its item (`fact_tables` sees to that).
+    """
+    if gate:
+        searches = gate.rows(searches, "items")
     attrs = sessions.select("session_id", "partner_id", "device_type", "acquisition_channel",
                             "is_logged_in", "traveller_type")
     fact = checked_join(searches, attrs, ["session_id", "partner_id"], "left", "many_to_one", validate)
-    fact = checked_join(fact, outcome_rollup(bookings, "search_id"), ["search_id"], "left",
-                        "one_to_one", validate)
+    on = ["session_id", "search_id"] if by_session else ["search_id"]
+    fact = checked_join(fact, outcome_rollup(bookings, *on), on, "left", "one_to_one", validate)
+    if gate:
+        fact = gate.kept(fact, "item fact", "items")
     fact = fact.fillna(0, subset=["booking_count", "cancellations", "refunds"]).fillna(
         0.0, subset=["booking_value", "successful_booking_value", "platform_revenue"])
     fact = fact.withColumn("booked_flag", (F.col("booking_count") > 0).cast("bigint"))
@@ -99,14 +108,19 @@ UNIT_MEASURES = ["search_count", "zero_result_searches", "selected_searches",
 
 
 def build_session_fact(sessions: DataFrame, searches: DataFrame, bookings: DataFrame,
-                       validate: bool = False) -> DataFrame:
+                       validate: bool = False, gate: Gate | None = None) -> DataFrame:
     """FC-05: unit fact = units + item rollup + outcome rollup, zero filled.
 
-    ``avg_search_latency_ms`` is zero filled too (reference behaviour).
+    ``avg_search_latency_ms`` is zero filled too (reference behaviour).  ``gate`` watches that the joins neither
+    lose nor multiply units.
     """
+    if gate:
+        sessions = gate.rows(sessions, "units")
     fact = checked_join(sessions, item_rollup(searches), ["session_id"], "left", "one_to_one", validate)
     fact = checked_join(fact, outcome_rollup(bookings, "session_id"), ["session_id"], "left",
                         "one_to_one", validate)
+    if gate:
+        fact = gate.kept(fact, "unit fact", "units")
     longs = ["search_count", "zero_result_searches", "selected_searches", "alternatives_shown_count",
              "total_search_latency_ms", "booking_count", "cancellations", "refunds"]
     doubles = ["avg_search_latency_ms", "booking_value", "successful_booking_value", "platform_revenue"]

@@ -291,17 +291,16 @@ def city_markets(routes_opp: DataFrame, priority_cut: int = 100) -> DataFrame:
 def partner_route_opportunities(search_fact: DataFrame, routes_opp: DataFrame, top_n: int = 250) -> DataFrame:
     """NW-13: entity x route rollup inside the top-N routes, score and unique rank.
 
-    The route side is bounded by ``top_n`` rows, so it is broadcast; the
-    fact side is pre-aggregated to (entity, route) before the join.
+    The route side is bounded by ``top_n`` rows, so it is broadcast, and the fact is cut down to these routes
+    before it is rolled up.  The rollup is written once; its median and its scores are taken from there.
     """
-    top = routes_opp.filter(F.col("opportunity_rank") <= top_n).select(
-        "origin_station_id", "destination_station_id", "opportunity_rank", "underserved_opportunity_score",
-        "opportunity_type")
-    pr = search_fact.groupBy("partner_id", "origin_station_id", "destination_station_id").agg(
+    route = ["origin_station_id", "destination_station_id"]
+    kept = ["opportunity_rank", "underserved_opportunity_score", "opportunity_type"]
+    top = routes_opp.filter(F.col("opportunity_rank") <= top_n).select(*route, *kept)
+    pr = search_fact.join(F.broadcast(top), route, "inner").groupBy("partner_id", *route, *kept).agg(
         F.count(F.lit(1)).alias("searches"), F.sum("booked_flag").alias("booked_searches"),
         F.sum("booking_count").alias("bookings"), money_sum("successful_booking_value").alias("successful_booking_value"))
-    pr = pr.withColumn("conversion", safe_div("booked_searches", "searches"))
-    out = pr.join(F.broadcast(top), ["origin_station_id", "destination_station_id"], "inner")
+    out = cut_lineage(pr.withColumn("conversion", safe_div("booked_searches", "searches")))
     med = quantiles(out, [("__med", "conversion", 0.5)])
     out = out.crossJoin(F.broadcast(med))
     out = composite_score(out, [

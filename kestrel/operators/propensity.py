@@ -1,37 +1,33 @@
 """Leakage-aware propensity models (ML-01..ML-09, ML-13, ML-14, ML-17, ML-18, ML-22, ML-23).
 
-Models are Spark ML pipelines; fitting and scoring are distributed jobs and
-only metric rows, coefficients and the k-dimensional model reach the
-driver.  Documented differences from the single-machine reference library:
-StandardScaler uses the sample standard deviation, the MLP uses sigmoid
-hidden layers trained with L-BFGS, and tree binning differs; model outputs
-are therefore compared by invariants, not equality.
+Logistic regression and the forest are Spark ML pipelines, the network is `neural`, the
+probit a reweighted least squares on long-form sums (`gram`); fitting and scoring are
+distributed jobs and only metric rows and the k-dimensional model reach the driver.
+Documented differences from single-machine libraries: trees bin features, and the
+network's mini-batches are fixed by a row hash; these two are compared by invariants,
+not equality.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions import special
 from kestrel.functions.core import rank_unique
 from kestrel.functions.ranking import global_cumsum, global_row_number
-from kestrel.operators import ml_metrics
+from kestrel.operators import encoding, gram, ml_metrics, neural
 from kestrel.operators.facts import first_per_group
+from kestrel.session import cut_lineage
 
 # fixed values: the feature contract (names) and the columns that would leak the outcome
 CATEGORICAL = ["device_type", "acquisition_channel", "traveller_type", "partner_type", "partner_country",
@@ -111,7 +107,10 @@ def assert_splits(summary: DataFrame, min_rows: int = 100) -> None:
 
 def preprocessor(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC,
                  order: str = "alphabetAsc") -> list:
-    """ML-04: one-hot (unknown levels -> all zeros) + standardised numerics."""
+    """ML-04 as pipeline stages: one-hot (unknown levels -> all zeros) + standardised numerics.
+
+    Spark's scaler divides by the sample deviation, that of `encoding` and `neural` by the population's.
+    """
     idx = [f"{c}__idx" for c in categorical]
     oh = [f"{c}__oh" for c in categorical]
     return [StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep", stringOrderType=order),
@@ -121,30 +120,20 @@ def preprocessor(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str
             VectorAssembler(inputCols=oh + ["__num_scaled"], outputCol="features")]
 
 
-def candidate_pipelines(n_train: int, n_features: int, seed: int = 42, rf_trees: int = 350,
-                        mlp_iter: int = 400) -> dict[str, Pipeline]:
-    """ML-06..ML-08: logistic (L2, C=1), random forest, MLP (64, 32)."""
+def candidate_pipelines(n_train: int, seed: int = 42, rf_trees: int = 350) -> dict[str, Pipeline]:
+    """ML-06, ML-07: logistic (L2, C=1) and random forest."""
     lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / max(n_train, 1),
                             elasticNetParam=0.0, standardization=False, maxIter=1500)
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=rf_trees, maxDepth=14,
                                 minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=seed,
                                 maxMemoryInMB=1024, cacheNodeIds=True)
-    mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", layers=[n_features, 64, 32, 2],
-                                         maxIter=mlp_iter, seed=seed, solver="l-bfgs")
-    return {name: Pipeline(stages=preprocessor() + [m]) for name, m in
-            [("LogisticRegression", lr), ("RandomForest", rf), ("MLP", mlp)]}
+    return {name: Pipeline(stages=[*preprocessor(), m]) for name, m in [("LogisticRegression", lr), ("RandomForest", rf)]}
 
 
 def _labelled(df: DataFrame) -> DataFrame:
     return df.withColumn("label", F.col("booked_flag").cast("double"))
 
 
-def n_encoded_features(train: DataFrame) -> int:
-    """Width of the encoded feature vector (levels per categorical, as the indexer fits them, + numerics)."""
-    idx = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}__idx" for c in CATEGORICAL], handleInvalid="keep").fit(train)
-    return sum(len(labels) for labels in idx.labelsArray) + len(NUMERIC)
-
-
 def assert_model_frame(frame: DataFrame, features: Sequence[str] = FEATURES) -> None:
     """IN-15 gate: an empty frame or any missing feature value fails (one aggregate, one row collected)."""
     row = frame.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in features]).first()
@@ -155,24 +144,27 @@ def assert_model_frame(frame: DataFrame, features: Sequence[str] = FEATURES) ->
         raise RuntimeError(f"The model frame lacks feature values: {bad}")
 
 
-def probability() -> Column:
-    return vector_to_array(F.col("probability"))[1]
+def with_probability(model, df: DataFrame, name: str = "p") -> DataFrame:
+    """The rows with the probability of a yes, from a pipeline or a network."""
+    out = model.transform(_labelled(df))
+    if isinstance(model, neural.NetworkModel):
+        return out.withColumn(name, F.col("probability")[1])
+    return out.withColumn(name, vector_to_array(F.col("probability"))[1])
 
 
 def fit_candidates(train: DataFrame, validation: DataFrame, rf_trees: int = 350, seed: int = 42):
     """ML-13: fit candidates, score validation, metric rows and best-F1 thresholds."""
     tr = _labelled(train)
-    n = tr.count()
-    width = n_encoded_features(train)
-    pipes = candidate_pipelines(n, width, seed, rf_trees)
-    # the candidates are independent jobs: fit them concurrently (small L-BFGS jobs overlap the forest)
-    with ThreadPoolExecutor(max_workers=len(pipes)) as pool:
-        models = dict(zip(pipes, pool.map(lambda p: p.fit(tr), pipes.values())))
+    pipes = candidate_pipelines(tr.count(), seed, rf_trees)
+    jobs = {name: (lambda p=p: p.fit(tr)) for name, p in pipes.items()}
+    jobs["MLP"] = lambda: neural.fit(tr, CATEGORICAL, NUMERIC, "session_id", "label", seed=seed)
+    # the candidates are independent jobs: fit them concurrently (the network's small steps overlap the forest)
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        models = dict(zip(jobs, pool.map(lambda job: job(), jobs.values())))
     fitted, rows = {}, None
     for name, model in models.items():
         fitted[name] = model
-        scored = model.transform(_labelled(validation)).select("session_id", "booked_flag",
-                                                                probability().alias("p"))
+        scored = with_probability(model, validation).select("session_id", "booked_flag", "p")
         m = metric_row(scored, name, "validation")
         rows = m if rows is None else rows.unionByName(m)
     prior = tr.agg(F.avg("label").alias("p")).first()["p"]
@@ -188,7 +180,6 @@ def metric_row(scored: DataFrame, model: str, split: str, threshold=None) -> Dat
     aggregate over it, and re-running the model transform for each would
     multiply the scoring cost.
     """
-    from kestrel.session import cut_lineage
     scored = cut_lineage(scored.select("session_id", "booked_flag", "p"))
     rank = ml_metrics.ranking_metrics(scored, "booked_flag", "p")
     if threshold is None:
@@ -215,10 +206,10 @@ def lock(scored: DataFrame, threshold: float, score: str = "booking_probability"
     return ml_metrics.with_bins(s, score, key)
 
 
-def score_locked(model: PipelineModel, test: DataFrame, threshold: float) -> DataFrame:
+def score_locked(model, test: DataFrame, threshold: float) -> DataFrame:
     """ML-14: test scoring with the validation-locked threshold, one row per unit."""
-    s = model.transform(_labelled(test)).select("session_id", "partner_id", "session_ts", "booked_flag",
-                                                probability().alias("booking_probability"))
+    s = with_probability(model, test, "booking_probability").select("session_id", "partner_id", "session_ts", "booked_flag",
+                                                                    "booking_probability")
     return lock(s, threshold)
 
 
@@ -242,49 +233,63 @@ def independent_columns(corr, tolerance: float = 1e-9) -> list[int]:
     return kept
 
 
-def fit_probit(train: DataFrame, max_iter: int = 250) -> tuple[PipelineModel, DataFrame]:
-    """ML-09: probit GLM on raw numerics and reference-coded categoricals, with Wald statistics.
+PROBIT_NAMES = "C({0})[T.{1}]"
+
+
+@dataclass
+class ProbitModel:
+    """A probit benchmark: its design and coefficients."""
+    categorical: list[str]
+    reference: dict[str, str | None]
+    dropped: list[str]
+    names: list[str]
+    beta: list[float]
+
+    def terms(self) -> Column:
+        return encoding.treatment_terms(NUMERIC, self.categorical, self.reference, PROBIT_NAMES, self.dropped)
 
-    Each categorical gives one column for each level; the level that the others and the
-    intercept determine is left out as its reference, found by the rank of the design (a
-    k x k correlation matrix, k the number of columns).  When the full formula has more
-    dependent columns than that, the reduced formula is fitted instead.
+
+def probit_design(train: DataFrame) -> ProbitModel:
+    """ML-09: the full formula where its columns are independent, else the reduced one without what depends on others.
+
+    Independence is judged on the correlations of all columns, from one long-form X'X.  The first level of each
+    categorical is its reference.
     """
-    tr = _labelled(train)
-    formula = "full"
-    for formula, categorical in (("full", CATEGORICAL), ("reduced", REDUCED)):
-        idx, oh = [f"{c}__idx" for c in categorical], [f"{c}__oh" for c in categorical]
-        design = Pipeline(stages=[
-            StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetDesc"),
-            OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True),
-            VectorAssembler(inputCols=[*NUMERIC, *oh], outputCol="__all")]).fit(tr)
-        matrix = Correlation.corr(design.transform(tr), "__all").first()[0].toArray()
-        kept = independent_columns(matrix)
-        constant = int(np.isnan(matrix).sum(axis=1).__ge__(len(matrix) - 1).sum())
-        if len(matrix) - len(kept) - constant <= len(categorical):
+    for categorical in (CATEGORICAL, REDUCED):
+        model = ProbitModel(list(categorical), encoding.reference_levels(train, categorical), [], [], [])
+        names, xtx = gram.matrix(gram.gram(train, model.terms()))
+        corr = gram.correlation(names, xtx)
+        columns = [n for n in names if n != "Intercept"]
+        kept = {columns[i] for i in independent_columns(corr)}
+        model.dropped = [n for n in columns if n not in kept]
+        if not model.dropped:
             break
-    glr = GeneralizedLinearRegression(family="binomial", link="probit", featuresCol="features", labelCol="label",
-                                      maxIter=max_iter, fitIntercept=True)
-    model = Pipeline(stages=[*design.stages, VectorSlicer(inputCol="__all", outputCol="features", indices=kept), glr]).fit(tr)
-    g = model.stages[-1]
-    attrs = model.transform(tr.limit(1)).schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-    by_index = {a["idx"]: a["name"] for kind in attrs for a in attrs[kind]}
-    names = [by_index.get(i, f"x{i}") for i in range(len(g.coefficients))] + ["Intercept"]
-    rows = [(n, float(b), float(se), float(p), float(b - special.Z_975 * se), float(b + special.Z_975 * se), formula)
-            for n, b, se, p in zip(names, [*g.coefficients, g.intercept], g.summary.coefficientStandardErrors, g.summary.pValues)]
+    return model
+
+
+def fit_probit(train: DataFrame, max_iter: int = 250) -> tuple[ProbitModel, DataFrame]:
+    """ML-09: probit on raw numerics and reference-coded categoricals, with Wald statistics."""
+    model = probit_design(train)
+    fit = gram.probit(train, model.terms(), F.col("booked_flag"), max_iter)
+    model.names, model.beta = fit["names"], [float(b) for b in fit["beta"]]
+    formula = "full" if model.categorical == CATEGORICAL else "reduced"
+    rows = [(n, b, float(se), float(special.two_sided_normal_p(b / se)) if se > 0 else None, b - special.Z_975 * float(se),
+             b + special.Z_975 * float(se), formula) for n, b, se in zip(model.names, model.beta, fit["se"])]
     table = train.sparkSession.createDataFrame(
         rows, "term string, coefficient double, standard_error double, p_value double, ci_low double, "
               "ci_high double, formula_used string")
     return model, table
 
 
-def score_probit(model: PipelineModel, frame: DataFrame) -> DataFrame:
+def score_probit(model: ProbitModel, frame: DataFrame) -> DataFrame:
     """Probabilities of the probit benchmark, kept off 0 and 1."""
-    p = F.least(F.greatest(F.col("prediction"), F.lit(PROBIT_CLIP)), F.lit(1 - PROBIT_CLIP))
-    return model.transform(_labelled(frame)).select("session_id", "booked_flag", p.alias("p"))
+    eta = gram.linear(model.terms(), model.names, model.beta)
+    scored = frame.withColumn("__eta", eta)
+    p = F.least(F.greatest(special.normal_cdf(F.col("__eta")), F.lit(PROBIT_CLIP)), F.lit(1 - PROBIT_CLIP))
+    return scored.select("session_id", "booked_flag", p.alias("p"))
 
 
-def permutation_importance(model: PipelineModel, validation: DataFrame, features: Sequence[str] = FEATURES,
+def permutation_importance(model, validation: DataFrame, features: Sequence[str] = FEATURES,
                            repeats: int = 5, seed: int = 42) -> DataFrame:
     """ML-17: mean/std drop in average precision when one feature is shuffled, over all validation rows.
 
@@ -293,23 +298,27 @@ def permutation_importance(model: PipelineModel, validation: DataFrame, features
     numbers come from range partitions, and all (feature, repeat) copies are ranked by
     one range-partitioned running sum: no group is ever in one task.
     """
-    rows = validation.select("session_id", "booked_flag", *features)
+    rows = with_probability(model, validation, "__p").select("session_id", "booked_flag", "__p", *features)
     key = F.xxhash64("session_id", F.lit(seed))
     base = global_row_number(rows, [key, F.col("session_id")], "__i")
     shuffled = None
     for r in range(repeats):
         other = F.xxhash64("session_id", F.lit(r), F.lit(seed + 1))
-        donors = global_row_number(rows, [other, F.col("session_id")], "__i").select(
+        donors = global_row_number(rows.select("session_id", *features), [other, F.col("session_id")], "__i").select(
             "__i", *[F.col(f).alias(f"__d_{f}") for f in features])
         part = base.join(donors, "__i").withColumn("rep", F.lit(r))
         shuffled = part if shuffled is None else shuffled.unionByName(part)
+    shuffled = cut_lineage(shuffled.drop("__i"))
     copies = shuffled.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
-    copies = copies.withColumns({f: F.when(F.col("feature") == f, F.col(f"__d_{f}")).otherwise(F.col(f))
-                                 for f in features}).drop(*[f"__d_{f}" for f in features])
-    scored = model.transform(_labelled(copies)).select("feature", "rep", "booked_flag", probability().alias("p"))
+    own = F.coalesce(*[F.when(F.col("feature") == f, F.col(f).eqNullSafe(F.col(f"__d_{f}"))) for f in features])
+    # a copy that got the value it had keeps its score
+    same = copies.where(own).select("feature", "rep", "booked_flag", F.col("__p").alias("p"))
+    copies = copies.where(~own).withColumns({f: F.when(F.col("feature") == f, F.col(f"__d_{f}")).otherwise(F.col(f))
+                                             for f in features}).drop("__p", *[f"__d_{f}" for f in features])
+    scored = with_probability(model, copies).select("feature", "rep", "booked_flag", "p").unionByName(same)
     ap = grouped_ap(scored, ["feature", "rep"], "booked_flag", "p")
-    base_scored = model.transform(_labelled(rows)).select("booked_flag", probability().alias("p"))
-    base_ap = ml_metrics.ranking_metrics(base_scored, "booked_flag", "p").select(F.col("pr_auc").alias("__base"))
+    base_ap = ml_metrics.ranking_metrics(rows.select("booked_flag", F.col("__p").alias("p")), "booked_flag", "p").select(
+        F.col("pr_auc").alias("__base"))
     imp = ap.crossJoin(F.broadcast(base_ap)).withColumn("drop", F.col("__base") - F.col("ap"))
     out = imp.groupBy("feature").agg(F.avg("drop").alias("importance_mean_pr_auc"),
                                      F.stddev_pop("drop").alias("importance_std"))
@@ -349,7 +358,7 @@ def model_specific_importance(model: PipelineModel, frame: DataFrame) -> DataFra
     return rank_unique(df, [F.col("absolute_value").desc(), F.col("feature").asc()], "importance_rank")
 
 
-def batch_score(model: PipelineModel, requests: DataFrame, threshold: float,
+def batch_score(model, requests: DataFrame, threshold: float,
                 required: Sequence[str] = FEATURES) -> DataFrame:
     """ML-22: strict feature contract, then probability / threshold / decision per row.
 
@@ -374,7 +383,7 @@ def batch_score(model: PipelineModel, requests: DataFrame, threshold: float,
         reason = reason.when((F.length(c) < 1) | (F.length(c) > 80), F.lit(f"{c} length out of range"))
     checked = requests.withColumn("rejection_reason", reason)
     ok = checked.filter(F.col("rejection_reason").isNull()).withColumn("booked_flag", F.lit(0))
-    scored = model.transform(_labelled(ok)).select(*requests.columns, probability().alias("booking_probability"))
+    scored = with_probability(model, ok, "booking_probability").select(*requests.columns, "booking_probability")
     scored = scored.withColumns({"threshold": F.lit(float(threshold)),
                                  "predicted_booking": (F.col("booking_probability") >= threshold).cast("bigint"),
                                  "accepted": F.lit(True), "rejection_reason": F.lit(None).cast("string")})
@@ -385,14 +394,14 @@ def batch_score(model: PipelineModel, requests: DataFrame, threshold: float,
     return scored.unionByName(rej)
 
 
-def registry_row(spark, champion: str, threshold: float, split_dates: dict, features=FEATURES) -> DataFrame:
-    """ML-23: one-row model registry record."""
+def registry_row(spark, champion: str, threshold: float, split_dates: dict, features=FEATURES, classification: str = "unclassified",
+                 bundle: str | None = None, digest: str | None = None) -> DataFrame:
+    """ML-23: one-row model registry record; ``bundle`` and ``digest`` name the stored model behind it."""
     return spark.createDataFrame([(
         champion, float(threshold), "validation", split_dates["train_end"], split_dates["val_start"],
         split_dates["val_end"], split_dates["test_start"], list(features), list(LEAKAGE_EXCLUSIONS),
-        "first search of the session")],
+        "first search of the session", classification, bundle, digest)],
         "champion string, locked_threshold double, threshold_source string, train_end string, "
         "validation_start string, validation_end string, test_start string, features array<string>, "
-        "leakage_exclusions array<string>, prediction_point string")
-
-
+        "leakage_exclusions array<string>, prediction_point string, data_classification string, bundle string, "
+        "bundle_digest string")

@@ -1,8 +1,7 @@
 """Entity segmentation with K-Means (ML-19..ML-21).
 
-Silhouette is Spark's ClusteringEvaluator (squared Euclidean, O(n k)),
-not the all-pairs Euclidean silhouette of the single-machine reference:
-a documented difference that avoids emitting all pairs of entities.
+The number of clusters is chosen by the mean Euclidean silhouette, from sums of
+distances by cluster (`silhouette`).
 """
 
 from __future__ import annotations
@@ -11,12 +10,13 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.ranking import quantiles
+from kestrel.operators import silhouette
 
 CLUSTER_FEATURES = ["log_sessions", "log_searches", "session_booking_conversion", "no_result_rate",
                     "avg_search_latency_ms", "log_successful_booking_value", "log_platform_revenue"]
@@ -42,14 +42,12 @@ def fit_clusters(features: DataFrame, k_max: int = 6, restarts: int = 25, seed:
     """ML-20: k = 2..min(k_max, n-1); per k the lowest-cost of ``restarts`` seeds; best silhouette, then smaller k."""
     n = features.count()
     if n < 8:
-        raise RuntimeError("Not enough active partners for meaningful clustering.")
+        raise RuntimeError(f"{n} active entities are too few to be clustered")
     prep = Pipeline(stages=[VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="__raw"),
                             StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True)])
     pm = prep.fit(features)
     x = pm.transform(features).cache()
     x.count()
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
-                                    distanceMeasure="squaredEuclidean")
     ks = list(range(2, min(k_max, n - 1) + 1))
 
     def fit(job):
@@ -60,13 +58,15 @@ def fit_clusters(features: DataFrame, k_max: int = 6, restarts: int = 25, seed:
     # restarts are independent Spark jobs: submit them concurrently
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
         fits = list(pool.map(fit, [(k, r) for k in ks for r in range(restarts)]))
-    scores, models = [], {}
+    models = {k: min((f for f in fits if f[0] == k), key=lambda f: (f[1], f[2]))[3] for k in ks}
+    points = x
     for k in ks:
-        best = min((f for f in fits if f[0] == k), key=lambda f: (f[1], f[2]))
-        models[k] = best[3]
-        scores.append((k, float(evaluator.evaluate(best[3].transform(x)))))
+        points = models[k].setPredictionCol(f"__k{k}").transform(points)
+    points = points.select(F.xxhash64("partner_id").alias("id"), vector_to_array("features").alias("vector"),
+                           F.array(*[F.col(f"__k{k}") for k in ks]).alias("labels"))
+    scores = list(zip(ks, silhouette.mean_silhouettes(points, ks)))
     best_k = sorted(scores, key=lambda t: (-t[1], t[0]))[0][0]
-    labelled = models[best_k].transform(x).withColumn("cluster_id", F.col("prediction").cast("bigint"))
+    labelled = models[best_k].setPredictionCol("prediction").transform(x).withColumn("cluster_id", F.col("prediction").cast("bigint"))
     x.unpersist()
     return labelled.drop("prediction", "features", "__raw"), best_k, scores
 
@@ -84,7 +84,7 @@ def cluster_profile(clustered: DataFrame) -> DataFrame:
 
 
 def label_clusters(prof: DataFrame) -> DataFrame:
-    """Value first; friction only if its cluster is free; conversion likewise; then names by id."""
+    """Value first; friction only if its cluster is free; conversion likewise; then names by id, numbered after the last name."""
     picks = prof.agg(
         F.max_by("cluster_id", F.struct(F.col("median_successful_booking_value"), -F.col("cluster_id"))).alias("v"),
         F.max_by("cluster_id", F.struct(F.col("mean_no_result_rate"), -F.col("cluster_id"))).alias("f"),
@@ -97,7 +97,8 @@ def label_clusters(prof: DataFrame) -> DataFrame:
     # remaining clusters take the fallback names in cluster-id order (few clusters: global window is bounded)
     from pyspark.sql import Window
     idx = F.row_number().over(Window.partitionBy(F.col("__named").isNull()).orderBy("cluster_id")) - 1
-    fallback = F.element_at(F.array(*[F.lit(x) for x in REMAINING_LABELS]), (idx + 1).cast("int"))
+    names = F.array(*[F.lit(x) for x in REMAINING_LABELS])
+    fallback = F.coalesce(F.get(names, idx.cast("int")), F.concat(F.lit(f"{REMAINING_LABELS[-1]} "), (idx - len(REMAINING_LABELS) + 2).cast("string")))
     p = p.withColumn("cluster_label", F.coalesce(F.col("__named"), fallback))
     return p.drop("v", "f", "c", "__named")
 

@@ -6,10 +6,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pyspark import StorageLevel
-
-from kestrel.operators import facts
 from kestrel.session import cut_lineage
+from kestrel.sources import fact_tables
 from kestrel.sources.tables import Tables
 from kestrel.sources.views import domain_views
 
@@ -21,9 +19,9 @@ class Context:
     """Domain views, facts and marts over one data folder.
 
     One context is shared by all queries of a session over the same folder
-    (``Context.shared``): views are analysed once, the facts are computed
-    once and kept, and marts are materialised once at their stage boundary,
-    as a staged warehouse build would.
+    (``Context.shared``): views are analysed once, the facts are written once
+    as tables, and marts are materialised once at their stage boundary, as a
+    staged warehouse build would.
     """
 
     @classmethod
@@ -43,15 +41,18 @@ class Context:
         return domain_views(self.spark, self.base)
 
     @cached_property
-    def search_fact(self) -> DataFrame:
-        # the facts feed every mart: computed once per run and kept (memory, spilling to disk)
+    def dealt(self) -> fact_tables.FactTables:
+        """Items, units and outcomes by session: each is exchanged once, here."""
         v = self.views
-        return facts.build_search_fact(v.searches, v.sessions, v.bookings).persist(StorageLevel.MEMORY_AND_DISK)
+        return fact_tables.deal(v.sessions, v.searches, v.bookings)
+
+    @cached_property
+    def search_fact(self) -> DataFrame:
+        return fact_tables.item_fact(self.dealt)
 
     @cached_property
     def session_fact(self) -> DataFrame:
-        v = self.views
-        return facts.build_session_fact(v.sessions, v.searches, v.bookings).persist(StorageLevel.MEMORY_AND_DISK)
+        return fact_tables.unit_fact(self.dealt)
 
     @staticmethod
     def mart(df: DataFrame) -> DataFrame:
@@ -152,6 +153,18 @@ class Context:
             "station_id", F.col("inbound_search_strength").alias("pagerank_search_demand"),
             F.col("outbound_search_strength").alias("betweenness_centrality"))
 
+    @cached_property
+    def route_opportunities(self) -> DataFrame:
+        """Scored with strengths, as the oracle can compute them; read by markets, entity routes and findings."""
+        from kestrel.operators import network
+        return self.mart(network.route_opportunities(self.net_routes, self.strength_centrality))
+
+    @cached_property
+    def central_route_opportunities(self) -> DataFrame:
+        """Scored with PageRank and betweenness."""
+        from kestrel.operators import network
+        return self.mart(network.route_opportunities(self.net_routes, self.centrality))
+
     @cached_property
     def centrality(self) -> DataFrame:
         """PageRank and betweenness (both computed eagerly: iterative / driver-planned)."""

@@ -3,8 +3,11 @@
 usage: python -m kestrel.plans.pipeline --data DIR --out DIR [--stages 2,3,4,5,6,7] [--csv]
 
 Stage 2 runs the integrity gate first (IN-11) and fails the build on any
-violation outside ``allow``; every mart is then written once as parquet
-(optionally CSV), and later stages read the same run context.
+violation outside ``allow``.  The facts watch their joins while they are written.
+Every mart is published as a new version of its table by one job, which also
+observes the contract that its columns' names imply (rates and p values in [0, 1],
+ordered intervals, finite scores); a mart that breaks it, or whose ranks or grain repeat,
+is not published and its last version stays what readers see (`sources.versions`).
 """
 
 from __future__ import annotations
@@ -16,9 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.operators import anomaly as A
 from kestrel.operators import experiment as X
-from kestrel.operators import growth, metrics, network, quality
+from kestrel.operators import gates, growth, metrics, model_bundle, network, quality
 from kestrel.plans.context import Context
-from kestrel.sources import sinks
+from kestrel.sources import sinks, versions
+
 
 def _checks(c: Context) -> DataFrame:
     from kestrel.plans.queries_marts import q_check_table
@@ -62,14 +66,20 @@ def stage_marts(c: Context) -> dict[int, dict[str, Callable[[], DataFrame]]]:
         5: {
             "mart_stage5_station_network": lambda: network.station_network(
                 c.views.stations, c.net_routes, c.centrality, c.net_strength, c.net_degree),
-            "mart_stage5_route_opportunities": lambda: network.route_opportunities(c.net_routes, c.centrality),
-            "mart_stage5_city_market_opportunities": lambda: network.city_markets(
-                network.route_opportunities(c.net_routes, c.centrality)),
+            "mart_stage5_route_opportunities": lambda: c.central_route_opportunities,
+            "mart_stage5_city_market_opportunities": lambda: network.city_markets(c.central_route_opportunities),
             "mart_stage5_partner_route_opportunities": lambda: network.partner_route_opportunities(
-                c.search_fact, network.route_opportunities(c.net_routes, c.centrality)),
+                c.search_fact, c.central_route_opportunities),
         },
         6: {
             "mart_stage6_model_validation": lambda: _ml(c, "ml13_model_comparison"),
+            "mart_stage6_locked_test_metrics": lambda: _ml(c, "ml14_locked_threshold_metrics"),
+            "mart_stage6_probit_coefficients": lambda: _ml(c, "ml09_probit_coefficients"),
+            "mart_stage6_probit_test_metrics": lambda: _ml(c, "ml14_probit_test_metrics"),
+            "mart_stage6_calibration": lambda: _ml(c, "ml16_champion_calibration"),
+            "mart_stage6_logistic_coefficients": lambda: _ml(c, "ml18_logistic_coefficients"),
+            "mart_stage6_forest_importance": lambda: _ml(c, "ml18_forest_importance"),
+            "mart_stage6_model_registry": lambda: _ml(c, "ml23_model_registry"),
             "mart_stage6_test_scores": lambda: _ml(c, "ml14_test_scores"),
             "mart_stage6_feature_importance": lambda: _ml(c, "ml17_permutation_importance"),
             "mart_stage6_partner_clusters": lambda: _ml(c, "ml20_partner_clusters"),
@@ -90,30 +100,45 @@ def _ml(c: Context, name: str) -> DataFrame:
     return load_all()[name].build(c)
 
 
+#: Columns, or sets of columns, that no two rows of a mart may share.
+UNIQUE = {
+    "fct_search_journey": [["search_id"]], "fct_session_journey": [["session_id"]], "stg_partners": [["partner_id"]],
+    "mart_stage3_partner_opportunities": [["priority_rank"]], "mart_stage5_station_network": [["station_opportunity_rank"]],
+    "mart_stage5_route_opportunities": [["opportunity_rank"]], "mart_stage5_city_market_opportunities": [["market_rank"]],
+    "mart_stage5_partner_route_opportunities": [["partner_route_rank"]], "mart_stage6_feature_importance": [["importance_rank"]],
+    "mart_stage7_daily_anomalies": [["case_id"]],
+}
+
+
+def publish_mart(spark: SparkSession, out: str, name: str, df: DataFrame) -> str:
+    """One mart as the next version of its table; the folder of the version."""
+    flat = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith(("struct", "array", "map"))]
+    return gates.publish(spark, f"{out.rstrip('/')}/{name}", lambda gate: gate.contract(df, name, gates.conventions(flat)),
+                         UNIQUE.get(name, ())).path
+
+
 def run(spark: SparkSession, data: str, out: str, stages=(2, 3, 4, 5, 6, 7), csv: bool = False,
         allow=()) -> dict[str, str]:
+    """Build the stages; the folder that each mart's current version is in (of packets: the JSON folder)."""
     c = Context.shared(spark, data)
     if 2 in stages:
         quality.assert_checks(_checks(c), allow=allow)
-        # IN-12: fact grains must be unique (the reference validates its merges)
-        grains = quality.grain_check(c.session_fact, ["session_id"], "fct_session_journey").unionByName(
-            quality.grain_check(c.search_fact, ["search_id"], "fct_search_journey"))
-        dups = [r for r in grains.collect() if r["duplicates"]]   # two rows
-        if dups:
-            raise RuntimeError(f"fact grain not unique: {[(r['table_name'], r['duplicates']) for r in dups]}")
     written = {}
     marts = stage_marts(c)
     for st in stages:
         for name, build in marts[st].items():
             df = build()
-            path = f"{out.rstrip('/')}/{name}"
             if name.endswith("packets"):
-                sinks.write_json(df, path)
-            else:
-                sinks.write_table(df, path)
-                if csv:
-                    sinks.write_csv(df, path + "_csv")
-            written[name] = path
+                written[name] = versions.publish(spark, f"{out.rstrip('/')}/{name}", lambda folder, df=df: {} if sinks.write_json(df, folder) else {}).path
+                continue
+            written[name] = publish_mart(spark, out, name, df)
+            if csv:
+                sinks.write_csv(spark.read.parquet(written[name]), f"{out.rstrip('/')}/{name}_csv")
+    if 6 in stages:
+        from kestrel.plans.queries_ml import SPLITS, trained
+        t = trained(c)
+        written["champion_model"] = model_bundle.save(spark, f"{out.rstrip('/')}/champion_model", t["fitted"][t["champion"]],
+                                                      t["champion"], t["threshold"], SPLITS).path
     return written
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kestrel.functions import paths
 from kestrel.operators import anomaly as A
 from kestrel.plans.queries_core import sql
 from kestrel.plans.queries_marts import DAILY
@@ -131,6 +132,37 @@ def q_scores(c):
     return c.anomaly_scores
 
 
+CALENDAR = LONG.replace("a_long AS (", "a_rows AS (", 1) + """,
+a_ends AS (SELECT metric, any_value(adverse_direction) AS adverse_direction, min(metric_date) AS a, max(metric_date) AS b FROM a_rows GROUP BY metric),
+a_days AS (SELECT metric, adverse_direction, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE)
+             AS metric_date FROM a_ends),
+a_long AS (SELECT d.metric_date, d.metric, r.value, d.adverse_direction FROM a_days d
+           LEFT JOIN a_rows r ON r.metric = d.metric AND r.metric_date = d.metric_date),
+""" + SCORES[len(LONG) + 1:].lstrip()
+#: Every 20th day is missing: what the calendar does with gaps shows.
+_KEEP = "dayofyear(metric_date) % 20 <> 0"
+
+
+def _gaps(c):
+    return A.metric_long(c.daily.where(F.dayofyear("metric_date") % 20 != 0))
+
+
+@register("an02_calendar_scores", ids=("AN-02", "AN-03", "AN-04"), r6=SCORE_R6,
+          sql=sql("SELECT * FROM a_scores", DAILY, CALENDAR.replace("FROM o_daily", f"FROM o_daily WHERE {_KEEP}")))
+def q_calendar_scores(c):
+    """Windows of calendar days over a series with gaps."""
+    return A.rolling_scores(A.calendar_spine(_gaps(c)))
+
+
+@register("an02_late_days", ids=("AN-02", "AN-03", "AN-04"), r6=SCORE_R6, sql=sql("SELECT * FROM a_scores", DAILY, CALENDAR))
+def q_late_days(c):
+    """The missing days come in late: the scores of the days that they touch are computed anew."""
+    before = c.mart(A.rolling_scores(A.calendar_spine(_gaps(c))))
+    now = c.mart(A.calendar_spine(A.metric_long(c.daily)))
+    late = now.where(F.dayofyear("metric_date") % 20 == 0).select("metric", "metric_date")
+    return A.rescored(before, now, late)
+
+
 @register("an07_daily_anomalies", ids=("AN-05", "AN-06", "AN-07"), r6=ANOM_R6,
           sql=sql("SELECT * FROM a_anoms", DAILY, ANOMS))
 def q_anoms(c):
@@ -208,6 +240,71 @@ def q_packets(c):
                               A.top_routes(c.anomalies, c.search_fact), c.lookup)
 
 
+_PARTNER_CONTEXT = """SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY context_rank) - 1 AS k FROM (
+  SELECT p.*, a.case_id, row_number() OVER (PARTITION BY a.case_id ORDER BY p.sessions DESC, p.partner_id) AS context_rank
+  FROM (SELECT session_date, partner_id, count(*) AS sessions, CAST(sum(search_count) AS BIGINT) AS searches,
+               CAST(sum(booking_count) AS BIGINT) AS bookings, avg(CAST(booked_flag AS DOUBLE)) AS session_booking_conversion,
+               CAST(sum(zero_result_searches) AS DOUBLE) / nullif(CAST(sum(search_count) AS DOUBLE), 0) AS no_result_rate,
+               round(sum(successful_booking_value), 2) AS successful_booking_value
+        FROM fct_session GROUP BY session_date, partner_id) p
+  JOIN a_anoms a ON p.session_date = a.metric_date) AS r WHERE context_rank <= 5"""
+_ROUTE_CONTEXT = """SELECT *, context_rank - 1 AS k FROM (
+  SELECT p.*, a.case_id, row_number() OVER (PARTITION BY a.case_id
+           ORDER BY p.searches DESC, p.origin_station_id, p.destination_station_id) AS context_rank
+  FROM (SELECT search_date, origin_station_id, destination_station_id, count(*) AS searches,
+               CAST(sum(booked_flag) AS BIGINT) AS booked_searches, avg(CAST(no_result_flag AS DOUBLE)) AS no_result_rate,
+               avg(CAST(search_latency_ms AS DOUBLE)) AS avg_search_latency_ms
+        FROM fct_search GROUP BY 1, 2, 3) p
+  JOIN a_anoms a ON p.search_date = a.metric_date) AS r WHERE context_rank <= 5"""
+
+
+def _text(path: str, expr: str, src: str) -> str:
+    return f"SELECT case_id, {path} AS path, CAST({expr} AS VARCHAR) AS text, CAST(NULL AS DOUBLE) AS number FROM {src}"
+
+
+def _number(path: str, expr: str, src: str) -> str:
+    return f"SELECT case_id, {path} AS path, CAST(NULL AS VARCHAR) AS text, CAST({expr} AS DOUBLE) AS number FROM {src}"
+
+
+def _packet_sql() -> str:
+    at = lambda name, field: f"'$.{name}[' || k || '].{field}'"
+    parts = [_text(f"'$.{f}'", e, "a_anoms") for f, e in (
+        ("case_id", "case_id"), ("data_classification", "'unclassified'"), ("metric_date", "strftime(metric_date, '%Y-%m-%d')"),
+        ("metric", "metric"), ("severity", "severity"), ("recommended_owner", _OWNER), ("human_review_required", "true"),
+        ("reasoning_policy.observations_are_facts", "true"), ("reasoning_policy.hypotheses_are_not_causal_claims", "true"),
+        ("reasoning_policy.do_not_invent_missing_evidence", "true"))]
+    parts += [_number(f"'$.observation.{f}'", f, "a_anoms") for f in ("observed_value", "baseline_median", "absolute_delta", "relative_delta",
+                                                                    "robust_z")]
+    parts += [_text(f"'$.primary_segment_driver.{f}'", f, "a_driver") for f in ("dimension", "segment")]
+    parts += [_number(f"'$.primary_segment_driver.{f}'", f, "a_driver") for f in ("current_value", "baseline_value", "adverse_gap")]
+    parts += [_number(at("top_partner_context", f), f, "a_pc") for f in (
+        "context_rank", "partner_id", "sessions", "searches", "bookings", "session_booking_conversion", "no_result_rate",
+        "successful_booking_value")]
+    parts += [_number(at("top_route_context", f), f, "a_rc") for f in (
+        "context_rank", "origin_station_id", "destination_station_id", "searches", "booked_searches", "no_result_rate",
+        "avg_search_latency_ms")]
+    parts.append("SELECT case_id, '$.hypotheses_to_test[' || k || ']' AS path, h[CAST(k + 1 AS INTEGER)] AS text, CAST(NULL AS DOUBLE) AS number "
+                 f"FROM (SELECT case_id, string_split({_HYP}, ' || ') AS h, unnest(range({_N})) AS k FROM a_anoms) AS u")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("an13_packet_paths", ids=("AN-13", "IN-05"), r6=("number",),
+          sql=sql(_packet_sql(), DAILY, DRIVER, f"a_pc AS ({_PARTNER_CONTEXT})", f"a_rc AS ({_ROUTE_CONTEXT})"))
+def q_packet_paths(c):
+    """The nested packets, read back from their JSON text and flattened to paths and values."""
+    return paths.path_values(paths.parsed(q_packets(c), "packet", "packet_json"), ["case_id"], "packet")
+
+
+@register("in05_json_paths", ids=("IN-05",), r6=("number",), sql=sql("\nUNION ALL ".join(
+    [_text(f"'$.{f}'", f, "a_anoms") for f in ("metric", "adverse_direction", "severity", "case_id", "metric_date")]
+    + [_number(f"'$.{f}'", f, "a_anoms") for f in ANOM_R6]), DAILY, ANOMS))
+def q_json_paths(c):
+    """JSON records read back from their text, as paths and values."""
+    whole = c.anomalies.select("case_id", F.struct(*c.anomalies.columns).alias("record"))
+    told = whole.withColumn("text", F.to_json("record"))
+    return paths.path_values(paths.parsed(told, "record", "text"), ["case_id"], "record")
+
+
 @register("an14_detection_summary", ids=("AN-14",), sql=sql("""
 SELECT s.severity, s.severity_order, coalesce(k.cases, 0) AS cases, t.top_case_id
 FROM (SELECT 'critical' AS severity, 1 AS severity_order UNION ALL SELECT 'high', 2 UNION ALL SELECT 'medium', 3) s

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kestrel.functions import paths
+from kestrel.operators import encoding, gram
 from kestrel.operators import experiment as X
 from kestrel.plans import oracle_experiment as OX
+from kestrel.plans import oracle_models as OM
 from kestrel.plans.oracle_marts import sd
 from kestrel.plans.queries_core import MONEY, sql
 from kestrel.plans.registry import register
@@ -29,6 +32,18 @@ def q_assign(c):
                          method="modulo")
 
 
+@register("ex01_digest_assignment", ids=("EX-01",), sql=sql("""
+SELECT o_orderkey AS session_id, o_orderdate AS session_ts,
+       CASE WHEN eligible THEN 'checkout_test' ELSE 'not_eligible' END AS experiment_name,
+       CASE WHEN NOT eligible THEN 'not_eligible'
+            WHEN CAST('0x' || substr(sha256('checkout_test:' || o_orderkey), 1, 8) AS BIGINT) % 10000 >= 5000 THEN 'control'
+            ELSE 'variant' END AS experiment_variant
+FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01' AS eligible FROM orders) AS o"""))
+def q_digest_assign(c):
+    units = c.tables.orders.select(F.col("o_orderkey").alias("session_id"), F.col("o_orderdate").alias("session_ts"))
+    return X.assign_arms(units, "session_id", "session_ts", EXPERIMENT_START, EXPERIMENT_END, EXPERIMENT_NAME)
+
+
 @register("ex02_population", ids=("EX-02",), sql=sql("""
 SELECT 'session' AS population, experiment_variant, count(*) AS rows FROM x_session GROUP BY 2
 UNION ALL SELECT 'searches', experiment_variant, count(*) FROM x_searches GROUP BY 2
@@ -153,11 +168,25 @@ def q_cuped(c):
 
 
 @register("ex11_cluster_adjusted", ids=("EX-11",),
-          r6=("adjusted_effect", "standard_error", "ci_low", "ci_high", "p_value", "r_squared"))
+          r6=("adjusted_effect", "standard_error", "ci_low", "ci_high", "p_value", "r_squared"), sql=sql(f"""
+SELECT 'cluster-robust covariate-adjusted LPM' AS method, effect AS adjusted_effect, se AS standard_error, effect - {OX.Z} * se AS ci_low,
+       effect + {OX.Z} * se AS ci_high, {OX.p_normal('effect / se')} AS p_value, g AS partner_clusters, n AS observations, r2 AS r_squared
+FROM lm_fit""", OX.POPULATION, OX.CUPED, OM.CLUSTERED))
 def q_cluster(c):
     return X.cluster_adjusted_effect(c.cuped_data)
 
 
+@register("ex11_gram_entries", ids=("EX-11",), r6=("sum",), sql=sql("""
+SELECT a.term AS i, b.term AS j, g.v AS sum FROM lm_g g JOIN lm_t a ON a.i = g.i JOIN lm_t b ON b.i = g.j
+WHERE a.term <= b.term AND EXISTS (SELECT 1 FROM lm_x x JOIN lm_x z USING (session_id) WHERE x.i = g.i AND z.i = g.j)""",
+    OX.POPULATION, OX.CUPED, OM.CLUSTERED))
+def q_gram(c):
+    """X'X of the covariate-adjusted model in long form."""
+    d = c.cuped_data.withColumn("treatment", (F.col("experiment_variant") == "variant").cast("double"))
+    return gram.gram(d, encoding.treatment_terms(["treatment", "pre_partner_conversion"], OM.COVARIATES,
+                                                 encoding.reference_levels(d, OM.COVARIATES)))
+
+
 @register("ex12_guardrails_stats", ids=("EX-12",), r6=TP6, sql=sql("SELECT * FROM x_guard", OX.POPULATION, OX.GUARD))
 def q_guard_stats(c):
     e = c.experiment
@@ -243,3 +272,26 @@ def q_bundle(c):
     e = c.experiment
     return X.experiment_bundle(X.primary_effect(e["session"]), X.srm(e["session"]),
                                X.guardrails(e["searches"], e["bookings"]))
+
+
+_GUARD_FIELDS = ("metric", "metric_type", "control_rate", "variant_rate", "absolute_effect", "relative_effect", "standard_error", "ci_low",
+                 "ci_high", "z_stat", "p_value", "significant_at_0_05")
+_SRM_FIELDS = ("control_sessions", "variant_sessions", "variant_share", "chi_square", "p_value", "srm_flag")
+_TEXT_FIELDS = ("metric", "metric_type", "significant_at_0_05", "srm_flag")
+
+
+def _leaf_sql(path: str, field: str, src: str) -> str:
+    text = field in _TEXT_FIELDS
+    return (f"SELECT {path} AS path, {f'CAST({field} AS VARCHAR)' if text else 'CAST(NULL AS VARCHAR)'} AS text, "
+            f"{'CAST(NULL AS DOUBLE)' if text else f'CAST({field} AS DOUBLE)'} AS number FROM {src}")
+
+
+@register("ex18_bundle_paths", ids=("EX-18", "IN-05"), r6=("number",), sql=sql("\nUNION ALL ".join(
+    [_leaf_sql(f"'$.sample_ratio_mismatch.{f}'", f, "x_srm_b") for f in _SRM_FIELDS]
+    + [_leaf_sql(f"'$.guardrails[' || k || '].{f}'", f, "x_guard_b") for f in _GUARD_FIELDS]),
+    OX.POPULATION, OX.SRM, OX.GUARD, OX.GUARD_P, """x_srm_b AS (SELECT *, p_value < 0.001 AS srm_flag FROM x_srm),
+x_guard_b AS (SELECT *, p_value < 0.05 AS significant_at_0_05, row_number() OVER (ORDER BY metric) - 1 AS k FROM x_guard_p)"""))
+def q_bundle_paths(c):
+    """The nested bundle, read back from its JSON text and flattened to paths and values."""
+    b = q_bundle(c).select("bundle_json", F.struct("sample_ratio_mismatch", "guardrails").alias("bundle"))
+    return paths.path_values(paths.parsed(b, "bundle", "bundle_json"), [], "bundle")

@@ -92,12 +92,12 @@ def q_station_network(c):
 @register("nw11_route_scores", ids=("NW-10", "NW-11"), r2=MONEY, r6=OPP_R6,
           sql=sql("SELECT * FROM n_route_opps", ON.ENRICHED, ON.ROUTES_SCORED))
 def q_route_scores(c):
-    return N.route_opportunities(c.net_routes, c.strength_centrality)
+    return c.route_opportunities
 
 
 @register("nw10_route_opportunities", ids=("NW-10", "NW-11"), r2=MONEY, r6=OPP_R6)
 def q_route_opps(c):
-    return N.route_opportunities(c.net_routes, c.centrality)
+    return c.central_route_opportunities
 
 
 CITY_R6 = ("average_no_result_rate", "average_route_score", "conversion", "market_opportunity_score")
@@ -106,7 +106,7 @@ CITY_R6 = ("average_no_result_rate", "average_route_score", "conversion", "marke
 @register("nw12_city_market_scores", ids=("NW-12",), r2=("successful_booking_value",), r6=CITY_R6,
           sql=sql("SELECT * FROM n_cities", ON.ENRICHED, ON.ROUTES_SCORED, ON.CITIES))
 def q_city_scores(c):
-    return N.city_markets(N.route_opportunities(c.net_routes, c.strength_centrality))
+    return N.city_markets(c.route_opportunities)
 
 
 PR_R6 = ("conversion", "underserved_opportunity_score", "partner_route_opportunity_score")
@@ -115,7 +115,7 @@ PR_R6 = ("conversion", "underserved_opportunity_score", "partner_route_opportuni
 @register("nw13_partner_route_scores", ids=("NW-13",), r2=("successful_booking_value",), r6=PR_R6,
           sql=sql("SELECT * FROM n_partner_routes", ON.ENRICHED, ON.ROUTES_SCORED, ON.PARTNER_ROUTES))
 def q_partner_route_scores(c):
-    return N.partner_route_opportunities(c.search_fact, N.route_opportunities(c.net_routes, c.strength_centrality))
+    return N.partner_route_opportunities(c.search_fact, c.route_opportunities)
 
 
 @register("nw14_network_findings", ids=("NW-14",), r6=("top_station_pagerank", "top_station_betweenness"),
@@ -132,9 +132,8 @@ CROSS JOIN (SELECT * FROM n_cities WHERE market_rank = 1) ci
 CROSS JOIN (SELECT arg_min(partner_id, partner_route_rank) AS partner_id FROM n_partner_routes) p""",
               ON.ENRICHED, ON.STATIONS_SCORED, ON.ROUTES_SCORED, ON.CITIES, ON.PARTNER_ROUTES))
 def q_net_findings(c):
-    cent = c.strength_centrality
-    ro = N.route_opportunities(c.net_routes, cent)
-    return N.network_findings(_stations(c, cent), ro, N.city_markets(ro), N.partner_route_opportunities(c.search_fact, ro))
+    ro = c.route_opportunities
+    return N.network_findings(_stations(c, c.strength_centrality), ro, N.city_markets(ro), N.partner_route_opportunities(c.search_fact, ro))
 
 
 @register("nw15_endpoint_count", ids=("NW-15",), sql=sql("""

@@ -34,7 +34,7 @@ def q_sv01(c):
           sql=sql(f"SELECT {', '.join(S.ROUTE_COLUMNS)} FROM n_route_opps ORDER BY opportunity_rank LIMIT 20",
                   ON.ENRICHED, ON.ROUTES_SCORED))
 def q_sv02(c):
-    return S.top_routes(network.route_opportunities(c.net_routes, c.strength_centrality), 20)
+    return S.top_routes(c.route_opportunities, 20)
 
 
 @register("sv03_top_anomalies", ids=("SV-03",),
@@ -131,7 +131,7 @@ CROSS JOIN (SELECT * FROM o_opps WHERE priority_rank = 1) p""",
     ON.ENRICHED, ON.ROUTES_SCORED, M.PERFORMANCE, M.WEEKLY, M.GROWTH, M.OPPORTUNITIES))
 def q_sv08(c):
     from pyspark.sql import functions as F
-    r = S.top_pick(network.route_opportunities(c.net_routes, c.strength_centrality), "opportunity_rank",
+    r = S.top_pick(c.route_opportunities, "opportunity_rank",
                    [F.col("origin_city").alias("top_route_origin_city"),
                     F.col("destination_city").alias("top_route_destination_city")])
     p = S.top_pick(c.opportunities, "priority_rank", [F.col("partner_id").alias("top_partner_id"),

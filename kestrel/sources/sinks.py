@@ -1,7 +1,6 @@
 """Sinks (IN-03..IN-05): table, CSV and JSON writers.
 
-Writes are whole-table overwrites of partitioned files, so a retried
-task or a re-run job replaces its output atomically per job commit.
+Tables are replaced by committed versions; exports overwrite their folder.
 """
 
 from __future__ import annotations
@@ -10,14 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.sources import versions
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """IN-03: create-or-replace a mart as a parquet table (optionally partitioned)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    """IN-03: create-or-replace a mart as a parquet table (optionally partitioned).
+
+    The table's next version is written beside the one that readers see and committed at the end (`versions`), so
+    a job that dies leaves the old one.  Returns the folder of the new version.
+    """
+    def write(folder: str) -> None:
+        w = df.write.mode("error")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(folder)
+    return versions.publish(df.sparkSession, path, write).path
 
 
 def save_table(df: DataFrame, name: str) -> str:

@@ -4,7 +4,7 @@ import os
 import tempfile
 
 from kestrel.operators import facts, metrics
-from kestrel.sources import sinks
+from kestrel.sources import sinks, versions
 
 
 def _frames(spark):
@@ -50,7 +50,7 @@ def test_sinks_round_trip(spark):
     fact = facts.build_session_fact(sessions, searches, bookings)
     out = tempfile.mkdtemp(prefix="kestrel-sink-")
     sinks.write_table(fact, os.path.join(out, "t"), partition_by=["session_month"])
-    assert spark.read.parquet(os.path.join(out, "t")).count() == 3
+    assert versions.read(spark, os.path.join(out, "t")).count() == 3
     sinks.write_csv(fact, os.path.join(out, "c"))
     assert spark.read.option("header", True).csv(os.path.join(out, "c")).count() == 3
     sinks.write_json(fact, os.path.join(out, "j"))
