@@ -92,6 +92,23 @@ def unpack(block: bytes) -> list[np.ndarray]:
     return out
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Groups to deal work over: a few for each shuffle partition, which is how a cluster's size is stated."""
-    return 4 * max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def text_bytes(docs: DataFrame, col: str) -> int:
+    """Bytes of all texts of a column, from one narrow aggregate."""
+    return docs.agg(F.sum(F.octet_length(col))).first()[0] or 0
+
+
+def groups_for(spark: SparkSession, size: int, each: int) -> int:
+    """Groups to deal ``size`` bytes to so that one has about ``each``, at least a few for each shuffle partition."""
+    return max(4 * max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-size // each))
+
+
+class Copies:
+    """Numbers the copies of a key that a task has met: equal rows can be dealt apart by it, others are not moved by it."""
+
+    def __init__(self) -> None:
+        self.seen: dict[int, int] = {}
+
+    def next(self, key: int) -> int:
+        n = self.seen.get(key, 0)
+        self.seen[key] = n + 1
+        return n

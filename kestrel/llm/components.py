@@ -3,9 +3,10 @@
 Links are first contracted inside each task, then every node is linked to the
 smallest node around it, from the larger side and from the smaller side in turn,
 until nothing changes.  Every round is a join and two aggregations on the node;
-the links of a node with very many are summed before the shuffle and salted for
-the join.  Rounds are cut by checkpoints; only two sums for each reach the
-driver.
+the links of a node are summed before the shuffle and dealt to a few tasks for the
+join.  Nodes of more than ``HOT`` links, of which there are at most a HOT-th as many as
+links, are joined where their links are.  Rounds are cut by checkpoints; only a few sums
+for each reach the driver.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from kestrel.llm.common import staged
 
 #: Links that a task contracts at once.
 LOCAL_LINKS = 200_000
-#: Tasks that the links of one node are dealt to.
-SALTS = 8
+#: Tasks that the links of one node are dealt to, links that make a node hot, and hot nodes that are sent to every task.
+SALTS, HOT, HOT_NODES = 8, 100_000, 100_000
 
 
 def roots(links: Iterator[tuple[int, int]]) -> dict[int, int]:
@@ -66,6 +67,17 @@ def _salted(links: DataFrame, low: DataFrame) -> DataFrame:
     return links.select("u", "v", salt).join(spread, ["u", "salt"])
 
 
+def _told(links: DataFrame, low: DataFrame, most: int) -> DataFrame:
+    """Links (u, v) with m of their node u, which ``low`` (u, m, n) has; ``most`` bounds the links n of a node."""
+    if most <= HOT:
+        return _salted(links, low).select("u", "v", "m")
+    hot = low.where(F.col("n") > HOT).select("u", F.col("m").alias("hot_m"))
+    hot = F.broadcast(hot) if hot.limit(HOT_NODES + 1).count() <= HOT_NODES else hot
+    both = links.join(hot, "u", "left")
+    cold = _salted(both.where("hot_m IS NULL").select("u", "v"), low.where(F.col("n") <= HOT)).select("u", "v", "m")
+    return both.where("hot_m IS NOT NULL").select("u", "v", F.col("hot_m").alias("m")).union(cold)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links``, two columns of longs; component is its smallest node.
 
@@ -78,10 +90,14 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = now.union(now.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = _salted(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = _salted(large, low).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        if state is not None and state[0] <= HOT:
+            most = state[0]             # no node has more links than there are
+        else:
+            most = both.groupBy("u").count().agg(F.max("count")).first()[0] or 0
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = _told(both.where("v > u"), low, most).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = _told(large, low, most).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = staged(small.union(low.select("u", F.col("m").alias("v"))).distinct())
         found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == (found["n"], found["h"]):

@@ -362,17 +362,21 @@ def _layout(content: list[str], other: list[str], r: np.random.Generator) -> tup
 
 
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most: int = TRAIN_PAGES) -> dict[str, np.ndarray] | None:
-    """Train on a sample of about ``most`` pages, those with the smallest hashes of their ids.
+    """Train on a sample of about ``most`` pages, those with the smallest hashes of id and page; at least one.
 
-    Training reads the beginning and the end of long pages; what is trained labels every page whole.
+    Training reads the beginning and the end of long pages; what is trained labels every page whole.  None
+    only when no page has html.
     """
-    n = pages.count()
-    unit = F.pmod(F.xxhash64(F.lit("layout"), F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = pages.where(unit * n < most).where(F.col(html_col).isNotNull()).select(
+    unit = F.pmod(F.xxhash64(F.lit("layout"), F.col(id_col), F.col(html_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    full = pages.where(F.length(html_col) > 0).withColumn("__unit", unit)
+    n, least = full.agg(F.count(F.lit(1)), F.min("__unit")).first()
+    if not n:
+        return None
+    rows = full.where((F.col("__unit") * n < most) | (F.col("__unit") == least)).select(
         F.xxhash64(id_col, html_col).alias("k"), F.substring(html_col, 1, TRAIN_CHARS).alias("h"))
     chosen, held = [], 0
     for x in rows.select("k", F.octet_length("h").alias("bytes")).orderBy("k").limit(2 * most).collect():
-        if held + x.bytes <= TRAIN_BYTES:
+        if not chosen or held + x.bytes <= TRAIN_BYTES:
             chosen.append(x.k)
             held += x.bytes
     if not chosen:

@@ -6,28 +6,35 @@ most frequent n-grams are ranked alike, and its distance to a language is the
 sum over them of how far out of place each is in the profile, ``TOP`` for those
 that the profile lacks.  The nearest profile wins.
 
+Every label is learned.  Profiles stay a table of (lang, rank, code); the tasks get them in slices of
+at most ``SLICE`` languages, and a document carries the best language so far from
+one slice to the next, so that no task holds more than a slice however many labels there are.
+
 Defined results: texts are lower-cased, anything that is not a letter parts
 words.  Null texts and texts without a letter are `und` with score 0, as is
 everything when there is nothing to learn from.  Ties between n-grams go to the
 smaller code, ties between languages to the first by name.  Rows that repeat
-give repeated results; a null id counts as a row to learn from.
+give repeated results; a null id counts as a row to learn from.  `known` drops null
+texts and texts without a letter.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import map_batches
+from kestrel.llm.common import map_batches, staged
 
 #: N-grams in a profile, and of a document that are compared.
 TOP = 400
 #: Documents that a language's profile is counted on: a sample of about this many, chosen by a hash of the id.
 TRAIN_DOCS = 3000
-#: Languages that are learned at most: the most frequent labels.
-LANGUAGES = 1000
+#: Languages whose profiles are sent to the tasks at once.
+SLICE = 4000
 UNDETERMINED = "und"
 #: Least score of a document in one of the learned languages; texts in them score 0.4 and more, foreign scripts 0.
 MIN_SCORE = 0.1
@@ -83,19 +90,20 @@ def held_out(id_col: str) -> Column:
     return F.pmod(crc, F.lit(4)) == 2
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          train_docs: int = TRAIN_DOCS, top: int = TOP) -> dict[str, list[int]]:
-    """Profiles of all languages that label a document which is not held out.
+def profile_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                  train_docs: int = TRAIN_DOCS, top: int = TOP) -> DataFrame:
+    """(lang, rank, code): the profiles of all languages that label a document which is not held out; written.
 
-    Counted by Spark; ``top`` codes for each language reach the driver.
+    Counted on a sample of about ``train_docs`` documents for each language, chosen by a hash of id and text.
     """
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id")))
     unit = F.pmod(F.xxhash64(F.lit("profile"), "id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = rows.withColumn("unit", unit)
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("unit").alias("least")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    sizes = staged(rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("unit").alias("least")))
+    few = sizes.limit(SLICE + 1).count() <= SLICE
     chosen = (F.col("unit") * F.col("n") < train_docs) | (F.col("unit") == F.col("least"))     # no language without a document
-    sample = rows.join(F.broadcast(sizes), "lang").where(chosen).select("lang", "text")
+    sample = rows.join(F.broadcast(sizes) if few else sizes, "lang").where(chosen).select("lang", "text")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         langs, codes = [], {}
@@ -111,55 +119,99 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                                            pa.array(np.concatenate(out_n).astype(np.int64))], ["lang", "code", "n"])
     counts = map_batches(sample, "lang string, code long, n long", count).groupBy("lang", "code").agg(F.sum("n").alias("n"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
-    best = counts.withColumn("rank", first).where(F.col("rank") <= top)
-    out: dict[str, list[int]] = {}
-    for r in sorted(best.collect(), key=lambda r: (r["lang"], r["rank"])):
-        out.setdefault(r["lang"], []).append(r["code"])
-    return out
+    return staged(counts.withColumn("rank", first).where(F.col("rank") <= top).select("lang", "rank", "code"))
+
+
+def slices(table: DataFrame, size: int = SLICE) -> Iterator[dict[str, list[int]]]:
+    """The profiles of a table, code lists by language, in slices of about ``size`` languages; one slice is held at a time."""
+    parts = max(1, -(-table.where("rank = 1").count() // size))
+    for k in range(parts):
+        out: dict[str, list[int]] = {}
+        mine = table.where(F.pmod(F.xxhash64("lang"), F.lit(parts)) == k)
+        for r in sorted(mine.collect(), key=lambda r: (r["lang"], r["rank"])):
+            out.setdefault(r["lang"], []).append(r["code"])
+        yield out
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          train_docs: int = TRAIN_DOCS, top: int = TOP) -> dict[str, list[int]]:
+    """All profiles at once, for a bounded number of labels."""
+    table = profile_table(docs, id_col, text_col, lang_col, train_docs, top)
+    return {lang: codes for part in slices(table) for lang, codes in part.items()}
 
 
 class Profiles:
-    """Profiles of several languages, ready to measure distances to all of them at once."""
+    """Profiles of several languages, ready to measure distances to all of them at once.
+
+    For every code, the languages whose profile has it and its place there: a document is held against the
+    postings of its own codes, not against all profiles in full.
+    """
 
     def __init__(self, profiles: dict[str, list[int]]):
         self.names = sorted(profiles)
-        self.codes = np.unique(np.array([c for p in profiles.values() for c in p], dtype=np.uint64))
-        self.places = np.full((len(self.names), len(self.codes) + 1), -1, dtype=np.int64)
-        for i, name in enumerate(self.names):
-            self.places[i, np.searchsorted(self.codes, np.array(profiles[name], dtype=np.uint64))] = np.arange(len(profiles[name]))
+        sizes = [len(profiles[name]) for name in self.names]
+        code = np.array([c for name in self.names for c in profiles[name]], dtype=np.uint64)
+        lang = np.repeat(np.arange(len(self.names)), sizes)
+        place = np.concatenate([np.zeros(0, dtype=np.int64), *(np.arange(n) for n in sizes)])
+        order = np.argsort(code, kind="stable")
+        self.codes, first = np.unique(code[order], return_index=True)
+        self.first = np.append(first, len(code))
+        self.lang, self.place = lang[order], place[order]
+
+    def distances(self, found: np.ndarray) -> np.ndarray:
+        """The out-of-place distance of ranked codes to every language."""
+        at = np.minimum(np.searchsorted(self.codes, found), len(self.codes) - 1)
+        rank = np.flatnonzero(self.codes[at] == found)
+        begin, size = self.first[at[rank]], np.diff(self.first)[at[rank]]
+        posting = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+        # what a code in its place, or near it, takes off the greatest distance
+        off = TOP - np.minimum(np.abs(self.place[posting] - np.repeat(rank, size)), TOP)
+        return TOP * len(found) - np.bincount(self.lang[posting], weights=off, minlength=len(self.names)).astype(np.int64)
 
     def best(self, text: str | None) -> tuple[str, float]:
         """The nearest language, and 1 less the mean distance in units of TOP."""
         found = ranked(grams(text))
         if not len(found) or not self.names:
             return UNDETERMINED, 0.0
-        at = np.minimum(np.searchsorted(self.codes, found), len(self.codes) - 1)
-        place = self.places[:, np.where(self.codes[at] == found, at, len(self.codes))]
-        out = np.where(place < 0, TOP, np.minimum(np.abs(place - np.arange(len(found))), TOP)).sum(axis=1)
+        out = self.distances(found)
         win = int(out.argmin())
         return self.names[win], 1.0 - float(out[win]) / (TOP * len(found))
 
 
+def _better(a: tuple[str, float], b: tuple[str, float]) -> tuple[str, float]:
+    """The nearer of two languages, the first by name of equally near ones."""
+    if UNDETERMINED in (a[0], b[0]) and a[0] != b[0]:
+        return b if a[0] == UNDETERMINED else a
+    return max(a, b, key=lambda x: x[1]) if a[1] != b[1] else min(a, b)
+
+
+def labelled(rows: DataFrame, text_col: str, table: DataFrame, size: int = SLICE) -> DataFrame:
+    """The rows with ``__lang`` and ``__score``: the nearest of the languages in a table of profiles."""
+    columns, at = rows.columns, rows.columns.index(text_col)
+    out = rows.withColumns({"__lang": F.lit(UNDETERMINED), "__score": F.lit(0.0)})
+    schema = out.schema
+    for part in slices(table, size):
+        sent = rows.sparkSession.sparkContext.broadcast(Profiles(part))
+
+        def run(batch: pa.RecordBatch, sent=sent) -> pa.RecordBatch:
+            old = zip(*(batch.column(len(columns) + i).to_pylist() for i in (0, 1)))
+            got = [_better(o, sent.value.best(t)) for o, t in zip(old, batch.column(at).to_pylist())]
+            return pa.RecordBatch.from_arrays([*batch.columns[:len(columns)], pa.array([g[0] for g in got], pa.string()),
+                                               pa.array([g[1] for g in got], pa.float64())], [*columns, "__lang", "__score"])
+        out = map_batches(out, schema, run)
+    return out
+
+
 def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document, learned from those not held out."""
-    sent = docs.sparkSession.sparkContext.broadcast(Profiles(learn(docs, id_col, text_col, lang_col)))
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        got = [sent.value.best(t) for t in batch.column(2).to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([g[0] for g in got], pa.string()),
-                                           pa.array([g[1] for g in got], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+    table = profile_table(docs, id_col, text_col, lang_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.select("doc_id", held_out("doc_id").alias("held_out"), "text")
-    return map_batches(rows, "doc_id long, held_out boolean, lang_pred string, score double", run)
+    return labelled(rows, "text", table).select("doc_id", held_out("doc_id").alias("held_out"), F.col("__lang").alias("lang_pred"),
+                                                F.col("__score").alias("score"))
 
 
 def known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           least: float = MIN_SCORE) -> DataFrame:
     """The documents, all columns, without those that are undetermined or nearer than ``least`` to no language."""
-    sent = docs.sparkSession.sparkContext.broadcast(Profiles(learn(docs, id_col, text_col, lang_col)))
-    at = docs.columns.index(text_col)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        got = [sent.value.best(t) for t in batch.column(at).to_pylist()]
-        return batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in got], pa.bool_()))
-    return map_batches(docs, docs.schema, run)
+    got = labelled(docs, text_col, profile_table(docs, id_col, text_col, lang_col))
+    return got.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= least)).select(*docs.columns)

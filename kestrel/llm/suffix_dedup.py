@@ -6,8 +6,9 @@ smallest hash of its ``ANCHOR``-byte strings is the anchor; runs of windows with
 one anchor make a segment.  Equal windows have equal anchors, so all copies of a
 window meet in the group of their anchor:
 
-1. anchors that only one document has are found on (anchor, id) alone and
-   leave (`repeated_anchors`);
+1. anchors that only one document has are found on (anchor, document) alone and
+   leave (`repeated_anchors`); a document is its id and a part of its text's hash,
+   so that rows sharing an id are many documents here;
 2. the segments of the others are grouped by anchor; each group sorts the
    suffixes of its segments, and a stack scan over the common prefixes of
    neighbours walks the tree of common-prefix intervals.  Intervals whose
@@ -17,8 +18,9 @@ window meet in the group of their anchor:
    marked; the marks of a document are joined to its text.
 
 Copies inside a task's chunk of documents are settled there: all but the first
-document's are marked at once, so a passage that a third of all rows share costs
-one segment for each chunk.
+document's are marked at once, and rows that repeat id and text are read once, so a
+passage that a third of all rows share costs one segment for each chunk.  The number
+of groups comes from the bytes of all texts.
 
 Defined results: null texts count as empty; matches never cross rows; a null id
 comes after all others; rows that share an id count as one document (neither
@@ -34,10 +36,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import mix, pack, parallelism, staged, text_of, unpack
+from kestrel.llm.common import groups_for, mix, pack, staged, text_bytes, text_of, unpack
 
 #: Shortest string in bytes that counts as a repeat.
 MIN_LENGTH = 50
@@ -49,6 +51,8 @@ ANCHOR_BITS = 39
 CHUNK = 1 << 22
 #: Longest piece of a text that is worked on at once; pieces overlap by a window less one byte.
 PIECE = 1 << 22
+#: Bytes of text to a group of anchors, which one task meets at once; parts that the texts of one id are told apart by.
+GROUP, PARTS = 1 << 26, 1 << 16
 _BLOCK = 1 << 17
 _MASK = np.uint64((1 << 24) - 1)
 
@@ -171,17 +175,23 @@ def _intervals(common: list[int], base: int, diverse: np.ndarray) -> list[tuple[
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple]:
-    """Bounded numbers of pieces of texts: bytes, bounds, piece starts, and the named columns by piece, by id."""
-    held, size = [], 0
+    """Bounded numbers of pieces of texts: bytes, bounds, piece starts, and the named columns by piece, by id.
+
+    The first two columns are id and hash; rows that repeat both are taken once in a chunk.
+    """
+    held, size, met = [], 0, set()
     for batch in batches:
         cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
         for text, *values in zip(batch.column(batch.schema.get_field_index("text")).to_pylist(), *cols):
+            if (values[0], values[1]) in met:
+                continue
+            met.add((values[0], values[1]))
             raw = text.encode("utf-8", "surrogatepass")
             for at in range(0, max(1, len(raw) - MIN_LENGTH + 1), PIECE - MIN_LENGTH + 1):
                 piece = raw[at:at + PIECE]
                 if size + len(piece) > CHUNK and held:
                     yield _joined(held, len(columns))
-                    held, size = [], 0
+                    held, size, met = [], 0, set()
                 held.append((piece, at, *values))
                 size += len(piece)
     if held:
@@ -195,67 +205,69 @@ def _joined(held: list[tuple], n: int) -> tuple:
     return data, bounds, np.array([x[1] for x in held]), [[x[2 + i] for x in held] for i in range(n)]
 
 
+def _part(h: Column) -> Column:
+    """The part of an id's texts that a text is in, as a long."""
+    return F.pmod(h, F.lit(PARTS)).cast("long")
+
+
 def repeated_anchors(rows: DataFrame, groups: int) -> DataFrame:
-    """(o, anchor) of the anchors that at least two documents have; ``rows`` has o and text."""
+    """(o, part, anchor) of the anchors that at least two documents have; ``rows`` has o, h and text."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k, (data, bounds, _, (ids,)) in enumerate(_chunks(batches, ("o",))):
+        for k, (data, bounds, _, (ids, _, parts)) in enumerate(_chunks(batches, ("o", "h", "part"))):
             _, _, anchor, text = segments(data, bounds)
             if not len(anchor):
                 continue
-            uniq, number = np.unique(np.array(ids, dtype=np.int64), return_inverse=True)
-            pairs = np.unique((anchor << 24) | number[text])
-            anchor, owner = pairs >> 24, uniq[pairs & 0xFFFFFF]
+            uniq, number = np.unique(np.array([ids, parts], dtype=np.int64), axis=1, return_inverse=True)
+            pairs = np.unique((anchor << 24) | number.reshape(-1)[text])
+            anchor, (owner, part) = pairs >> 24, uniq[:, pairs & 0xFFFFFF]
             first = np.concatenate([[True], anchor[1:] != anchor[:-1]])
             several = ~first
             several[:-1] |= ~first[1:]
             bucket = (anchor[first] * groups) >> ANCHOR_BITS
             cut = np.searchsorted(bucket, np.arange(groups + 1))
-            a, o = anchor[first], owner[first]
-            blocks = [(b, 0, pack(np.diff(a[i:j], prepend=0), o[i:j]))
+            a, o, p = anchor[first], owner[first], part[first]
+            blocks = [(b, 0, pack(np.diff(a[i:j], prepend=0), o[i:j], p[i:j]))
                       for b, (i, j) in enumerate(zip(cut[:-1], cut[1:])) if j > i]
             if several.any():       # already known to be repeated
-                blocks.append((hash((k, int(anchor[0]))) % groups, 1, pack(anchor[several], owner[several])))
+                blocks.append((hash((k, int(anchor[0]))) % groups, 1, pack(anchor[several], owner[several], part[several])))
             yield pa.RecordBatch.from_arrays([pa.array([b[0] for b in blocks], pa.int32()),
                                               pa.array([b[1] for b in blocks], pa.int32()),
                                               pa.array([b[2] for b in blocks], pa.binary())], ["bucket", "kind", "block"])
 
     def meet(t: pa.Table) -> pa.Table:
-        a, o, known = [], [], []
+        met, known = [], []
         for kind, block in zip(t.column("kind").to_pylist(), t.column("block").to_pylist()):
-            x, y = unpack(block)
-            if kind:
-                known.append((x, y))
-            else:
-                a.append(np.cumsum(x))
-                o.append(y)
-        if a:
-            anchor, owner = np.concatenate(a), np.concatenate(o)
-            order = np.lexsort((owner, anchor))
-            anchor, owner = anchor[order], owner[order]
+            x, *document = unpack(block)
+            (known if kind else met).append((x if kind else np.cumsum(x), *document))
+        if met:
+            anchor, owner, part = (np.concatenate(c) for c in zip(*met))
+            order = np.lexsort((part, owner, anchor))
+            anchor, owner, part = anchor[order], owner[order], part[order]
             new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
             group = np.cumsum(new) - 1
-            low, high = owner[new], owner[np.append(np.flatnonzero(new)[1:], len(new)) - 1]
-            ok = (low != high)[group]
-            known.append((anchor[ok], owner[ok]))
-        return pa.table({"o": pa.array(np.concatenate([k[1] for k in known]), pa.int64()),
-                         "anchor": pa.array(np.concatenate([k[0] for k in known]), pa.int64())})
+            last = np.append(np.flatnonzero(new)[1:], len(new)) - 1
+            ok = ((owner[new] != owner[last]) | (part[new] != part[last]))[group]
+            known.append((anchor[ok], owner[ok], part[ok]))
+        anchor, owner, part = (np.concatenate(c) for c in zip(*known))
+        return pa.table({"o": pa.array(owner, pa.int64()), "part": pa.array(part, pa.int64()), "anchor": pa.array(anchor, pa.int64())})
 
-    dealt = rows.select("o", "text").mapInArrow(deal, "bucket int, kind int, block binary")
-    return dealt.groupBy("bucket").applyInArrow(meet, "o long, anchor long")
+    dealt = rows.select("o", "h", _part(F.col("h")).alias("part"), "text").mapInArrow(deal, "bucket int, kind int, block binary")
+    return dealt.groupBy("bucket").applyInArrow(meet, "o long, part long, anchor long")
 
 
 def marks(rows: DataFrame, wanted: DataFrame, groups: int) -> DataFrame:
     """(o, h, span): the spans of each text to remove, as start * 2**24 + length.
 
-    ``rows`` has o, h and text, ``wanted`` the repeated anchors by o.
+    ``rows`` has o, h and text, ``wanted`` the repeated anchors by document.
     """
-    lists = wanted.groupBy("o").agg(F.collect_set("anchor").alias("anchors"))
-    joined = rows.join(lists, "o").select("o", "h", "text", "anchors")
+    lists = wanted.groupBy("o", "part").agg(F.collect_set("anchor").alias("anchors"))
+    joined = rows.withColumn("part", _part(F.col("h"))).join(lists, ["o", "part"]).select("o", "h", "text", "anchors")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, bounds, piece_at, (ids, hs, anchors) in _chunks(batches, ("o", "h", "anchors")):
             start, end, anchor, text = segments(data, bounds)
-            _, number = np.unique(np.array(ids, dtype=np.int64), return_inverse=True)
+            _, number = np.unique(np.array([ids, hs], dtype=np.int64), axis=1, return_inverse=True)
+            number = number.reshape(-1)
             listed = np.unique(np.concatenate([(np.array(x, dtype=np.int64) << 24) | n for x, n in zip(anchors, number)]))
             ok = np.isin((anchor << 24) | number[text], listed)
             start, end, anchor, text = start[ok], end[ok], anchor[ok], text[ok]
@@ -269,7 +281,7 @@ def marks(rows: DataFrame, wanted: DataFrame, groups: int) -> DataFrame:
             lead = np.array([first.setdefault(s, i) for i, s in enumerate(strings)])
             late = own > own[lead]                  # texts are in id order: the lead has the smallest id
             out = [(int(b), 1, pack(own[late][m], h[late][m], (at[late][m] << 24) | (end - start)[late][m]), None)
-                   for b, m in _dealt(own[late] % groups)]
+                   for b, m in _dealt((own[late] ^ h[late]) % groups)]
             stay = np.flatnonzero(~late)
             for b, m in _dealt((anchor[stay] * groups) >> ANCHOR_BITS):
                 i = stay[m]
@@ -344,11 +356,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(o, h, spans): what to remove from each text; written to the checkpoint folder."""
-    groups = parallelism(docs.sparkSession)
+    groups = groups_for(docs.sparkSession, text_bytes(docs, text_col), GROUP)
     rows = _keyed(docs, id_col, text_col)
     wanted = staged(repeated_anchors(rows, groups))
     found = staged(marks(rows, wanted, groups))
-    return found.groupBy("o", "h").agg(F.collect_list("span").alias("spans"))
+    return found.groupBy("o", "h").agg(F.collect_set("span").alias("spans"))
 
 
 def _covered(n: int, packed: list[int] | None) -> np.ndarray:

@@ -9,7 +9,9 @@ places where positions start again from 0, as variable-length attention wants
 them.
 
 Defined results: a null text counts as empty; empty documents are in no row; rows
-that repeat are packed as often; ids of the result fit the stated width.
+that repeat are packed as often, and which of them goes to which shard depends on
+where they are stored; a null id is an id, whose rows are dealt by their texts; pieces
+of one length are placed by id, then start.  Ids of the result fit the stated width.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import text_of
+from kestrel.llm.common import Copies, text_bytes, text_of
 from kestrel.llm.varpack import read_ranks, tokenizer
 
 #: Tokens in a row, tokens in a shard, and bytes of text to a token as a first guess.
@@ -84,32 +86,34 @@ def pieces(docs: DataFrame, ranks_path: str, pattern: str, row: int = ROW, id_co
            shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """(shard, doc_id, doc_start, ids): the pieces of all documents, ids as little-endian numbers of the stated width."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    size = src.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    src = src.withColumn("key", F.xxhash64("doc_id", "text"))
+    size = text_bytes(src, "text")
     shards = max(1, -(-size // (BYTES_PER_TOKEN * shard_tokens)))
     sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(sent.value, pattern)
         kind = np.dtype("<u2" if encoder.n_vocab <= 1 << 16 else "<u4")
-        out: list[tuple[int | None, int, bytes]] = []
-        held = 0
+        out: list[tuple[int | None, int, bytes, int]] = []
+        held, copies = 0, Copies()
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text, key in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 ids = encoder.encode_to_numpy(text, disallowed_special=()).astype(kind)
-                out += [(doc, at, ids[at:at + row].tobytes()) for at in range(0, len(ids), row)]
+                deal = hash((key, copies.next(key)))
+                out += [(doc, at, ids[at:at + row].tobytes(), deal) for at in range(0, len(ids), row)]
                 held += len(ids)
                 if held >= SEND:
                     yield _rows(out)
                     out, held = [], 0
         if out:
             yield _rows(out)
-    cut = src.mapInArrow(run, "doc_id long, doc_start long, ids binary")
-    return cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "doc_start"), F.lit(shards)).cast("int"))
+    cut = src.mapInArrow(run, "doc_id long, doc_start long, ids binary, deal long")
+    return cut.select("doc_id", "doc_start", "ids", F.pmod(F.xxhash64("deal", "doc_start"), F.lit(shards)).cast("int").alias("shard"))
 
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))],
-                                      ["doc_id", "doc_start", "ids"])
+    kinds = pa.int64(), pa.int64(), pa.binary(), pa.int64()
+    return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], ["doc_id", "doc_start", "ids", "deal"])
 
 
 def packed_matrix(docs: DataFrame, ranks_path: str, pattern: str, row: int = ROW, pad: int | None = None, id_col: str = "doc_id",

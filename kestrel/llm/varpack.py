@@ -8,18 +8,21 @@ still be expected to fill it, given the pieces that remain.  So long rows are
 opened while there are short pieces to fill them and short ones when they run out.
 In the end each bin shrinks to the least permitted length that holds its contents.
 
-Documents are dealt to shards of about `SHARD_PIECES` by a hash of the id, so packing is
+Documents are dealt to shards of about `SHARD_PIECES` by a hash of id and text, so packing is
 independent of how the input is stored; only lengths move, never tokens.
 Documents over the largest length are cut into pieces of it, without loss.
 
 Defined results: a null text counts as empty; an empty document has one row
-without a sequence; rows that repeat are packed as often; a null id is an id.
+without a sequence; rows that repeat are packed as often, and which of them goes to
+which shard depends on where they are stored; a null id is an id, whose rows are dealt
+by their texts.  Pieces of one length are placed by id, then piece.
 """
 
 from __future__ import annotations
 
 import base64
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import map_batches, staged, text_of
+from kestrel.llm.common import Copies, map_batches, staged, text_of
 
 #: Permitted sequence lengths in tokens, and what a row costs besides them.
 CAPACITIES = (512, 1024, 2048, 4096)
@@ -124,11 +127,26 @@ def lengths(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
     return map_batches(src, "doc_id long, n_tokens long", run)
 
 
+def _dealt_lengths(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str) -> DataFrame:
+    """`lengths` with ``deal``, a hash of id, text and, for rows that repeat, the copy's number in its task."""
+    sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, copies = tokenizer(sent.value, pattern).encode_to_numpy, Copies()
+        for b in batches:
+            n = [len(encode(t, disallowed_special=())) if t else 0 for t in b.column(1).to_pylist()]
+            keys = b.column(2).to_pylist()
+            deal = [hash((k, copies.next(k))) for k in keys]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(deal, pa.int64())], ["doc_id", "n_tokens", "deal"])
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    return src.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).mapInArrow(run, "doc_id long, n_tokens long, deal long")
+
+
 def packed(sizes: DataFrame, capacities: tuple[int, ...] = CAPACITIES, row_cost: int = ROW_COST,
            shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Where each piece of each document goes.
 
-    ``sizes`` has doc_id and n_tokens.  Returns doc_id, piece (from 0), doc_start and n_tokens of the piece,
+    ``sizes`` has doc_id and n_tokens, and may have a long ``deal`` that says where rows of one id go apart.  Returns doc_id, piece (from 0), doc_start and n_tokens of the piece,
     seq_id, capacity (the length of the sequence after downsizing) and seq_start.
     """
     capacities, top = tuple(sorted(capacities)), max(capacities)
@@ -139,7 +157,7 @@ def packed(sizes: DataFrame, capacities: tuple[int, ...] = CAPACITIES, row_cost:
     pieces = pieces.select(
         "doc_id", "piece", (F.col("piece") * F.lit(top).cast("long")).alias("doc_start"),
         F.least(F.col("n_tokens") - F.col("piece") * top, F.lit(top).cast("long")).alias("n_tokens"),
-        F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int").alias("shard"))
+        F.pmod(F.xxhash64("deal" if "deal" in sizes.columns else "doc_id", "piece"), F.lit(shards)).cast("int").alias("shard"))
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
         t = t.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("n_tokens", "ascending")])
@@ -160,7 +178,7 @@ def packed(sizes: DataFrame, capacities: tuple[int, ...] = CAPACITIES, row_cost:
 
 def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`packed` for the token counts of the documents' texts."""
-    return packed(lengths(docs, ranks_path, pattern, id_col, text_col))
+    return packed(_dealt_lengths(docs, ranks_path, pattern, id_col, text_col))
 
 
 def sequences(placed: DataFrame) -> DataFrame:
