@@ -9,8 +9,13 @@ as everything that they depend on has been read.  BPE segments what follows an
 emitted token as if it stood alone, so nothing emitted is needed again.
 
 Texts are cut before the merges by the usual pattern of this family of
-vocabularies; added tokens are cut out first.  Decoding feeds the tokens' bytes
-through an incremental UTF-8 decoder which keeps at most three bytes back.
+vocabularies; added tokens are cut out first.  A text is read in slices of bounded
+length, which end where a piece is sure to begin, and every piece goes through the
+transducer; tokens of short pieces that a task has met are remembered, up to a bound.
+A run without such a place is read piece by piece, a piece of any length by the
+buffer.  Decoding feeds the tokens' bytes through an incremental UTF-8 decoder which
+keeps at most three bytes back.  A vocabulary file that asks for anything else
+(a normalizer, another way to cut, dropout, word ends) is refused.
 
 Defined results: null texts count as empty; an empty text has no tokens and
 decodes to the empty text; rows that repeat give repeated results; other columns
@@ -42,8 +47,8 @@ _PIECES = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\
 #: A blank between two characters that are not white space always starts a piece.
 _APART = re.compile(f"(?<=[^{_SPACE}]) (?=[^{_SPACE}])")
 _CROWDED = re.compile(f" [{_SPACE}]"), re.compile(f"[{_SPACE.replace(' ', '')}] ")
-#: Entries of the memo of short chunks; chunks of a document worked on at once; longest chunk kept in the memo.
-MEMO, SLICE, LONGEST = 300_000, 20_000, 64
+#: Entries of the memo of short chunks; characters of a slice; tokens sent on at once by a long run; longest chunk kept in the memo.
+MEMO, SLICE, SEND, LONGEST = 300_000, 1 << 16, 1 << 14, 64
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -54,11 +59,30 @@ def byte_alphabet() -> dict[str, int]:
     return out
 
 
+def _check(spec: dict) -> None:
+    """Refuse a file that this transducer would not encode as it asks."""
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    wrong = []
+    if model.get("type", "BPE") != "BPE":
+        wrong.append(f"model {model['type']}")
+    wrong += [f"{key} {model[key]!r}" for key in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+              if model.get(key)]
+    if spec.get("normalizer"):
+        wrong.append(f"normalizer {spec['normalizer'].get('type')}")
+    if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        wrong.append(f"pre_tokenizer {cut}")
+    if (spec.get("decoder") or {}).get("type") != "ByteLevel":
+        wrong.append(f"decoder {spec.get('decoder')}")
+    if wrong:
+        raise ValueError("not a plain byte-level vocabulary: " + ", ".join(wrong))
+
+
 class Vocabulary:
     """Symbols, merges and added tokens of a byte-level BPE file (the JSON text of it)."""
 
     def __init__(self, text: str):
         spec = json.loads(text)
+        _check(spec)
         model, letters = spec["model"], byte_alphabet()
         ids: dict[str, int] = model["vocab"]
         self.added = {}
@@ -176,28 +200,52 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         """The tokens of a piece, four bytes each."""
-        data, t = piece.encode("utf-8", "surrogatepass"), self.transducer
-        if len(data) < t.block:         # nothing can settle before its end
-            return array("I", self.v.merge([self.v.of_byte[b] for b in data])).tobytes()
-        return array("I", [*t.feed(data), *t.finish()]).tobytes()
+        t = self.transducer
+        return array("I", [*t.feed(piece.encode("utf-8", "surrogatepass")), *t.finish()]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         if chunk[:1] == " " and chunk[1:].isalpha():        # one piece
             return self.words[chunk]
         return b"".join([self.words[p] for p in self.pieces.findall(chunk)])
 
-    def _plain(self, text: str) -> Iterator[np.ndarray]:
-        if any(p.search(text) for p in _CROWDED):
-            chunks = _APART.split(text)
-        else:
-            chunks = text.split(" ")
-        for i in range(0, len(chunks), SLICE):
-            some = chunks[i:i + SLICE]
+    def _cut(self, text: str, at: int, end: int) -> int:
+        """Where the slice that begins at ``at`` ends: at the last blank within its length that surely begins a piece,
+        or else at the first one after it."""
+        if end - at <= SLICE:
+            return end
+        stop = at + SLICE
+        while (stop := text.rfind(" ", at + 1, stop)) > 0:
+            if _APART.match(text, stop):
+                return stop
+        found = _APART.search(text, at + SLICE, end)
+        return found.start() if found else end
+
+    def _run(self, text: str) -> Iterator[np.ndarray]:
+        """A run that could not be cut, piece by piece through the transducer."""
+        out: array = array("I")
+        for m in self.pieces.finditer(text):
+            data = memoryview(m.group().encode("utf-8", "surrogatepass"))
+            for i in range(0, len(data), SEND):
+                out.extend(self.transducer.feed(bytes(data[i:i + SEND])))
+                if len(out) >= SEND:
+                    yield np.frombuffer(out.tobytes(), dtype="<u4")
+                    out = array("I")
+            out.extend(self.transducer.finish())
+        if out:
+            yield np.frombuffer(out.tobytes(), dtype="<u4")
+
+    def _plain(self, text: str, at: int, end: int) -> Iterator[np.ndarray]:
+        while at < end:
+            cut = self._cut(text, at, end)
+            part, at = text[at:cut], cut
+            if len(part) > 2 * SLICE:
+                yield from self._run(part)
+                continue
+            chunks = _APART.split(part) if any(p.search(part) for p in _CROWDED) else part.split(" ")
             self.memo, self.words = self.memo.aged(), self.words.aged()
             get = self.memo.__getitem__
-            first = some[0] if i == 0 else " " + some[0]
-            ids = get(first) if first else b""
-            yield np.frombuffer(b"".join([ids, *map(get, map(" ".__add__, some[1:]))]), dtype="<u4")
+            ids = get(chunks[0]) if chunks[0] else b""
+            yield np.frombuffer(b"".join([ids, *map(get, map(" ".__add__, chunks[1:]))]), dtype="<u4")
 
     def encode(self, text: str) -> Iterator[np.ndarray]:
         """Tokens of a text, in arrays of bounded length."""
@@ -205,11 +253,11 @@ class Encoder:
         if self.special:
             for m in self.special.finditer(text):
                 if m.start() > at:
-                    yield from self._plain(text[at:m.start()])
+                    yield from self._plain(text, at, m.start())
                 yield np.array([self.v.added[m.group()]], dtype="<u4")
                 at = m.end()
         if at < len(text):
-            yield from self._plain(text[at:] if at else text)
+            yield from self._plain(text, at, len(text))
 
     def ids(self, text: str) -> np.ndarray:
         return np.concatenate([np.zeros(0, "<u4"), *self.encode(text)])

@@ -52,6 +52,46 @@ def test_long_runs_keep_a_bounded_buffer(library, tools):
         assert [*out, *t.finish()] == encoder.ids(word).tolist()
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=60).map("".join), st.sampled_from([1, 3, 8]))
+def test_slices_change_nothing(text, size):
+    encoder, _, _ = bpe_stream.tools(bpe_stream.read_spec(BYTE_BPE))
+    old = bpe_stream.SLICE
+    want = encoder.ids(text).tolist()
+    bpe_stream.SLICE = size
+    try:
+        got = list(encoder.encode(text))
+    finally:
+        bpe_stream.SLICE = old
+    assert np.concatenate([np.zeros(0, "<u4"), *got]).tolist() == want
+
+
+def test_long_texts_are_read_in_slices(library, tools, monkeypatch):
+    encoder, _, _ = tools
+    monkeypatch.setattr(bpe_stream, "SLICE", 500)
+    monkeypatch.setattr(bpe_stream, "SEND", 400)
+    r = np.random.default_rng(6)
+    words = " ".join("".join(r.choice(list("abcdeé1."), int(r.integers(1, 9)))) for _ in range(5000))
+    run = "".join(r.choice(list("thein1.é"), 20000))            # no place to cut, many pieces
+    for text in (words, run, words + "  " + run + " " + words, " " * 3000, "ab" * 9000):
+        parts = list(encoder.encode(text))
+        assert np.concatenate(parts).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert max(map(len, parts)) <= 1400 or text.startswith(" ")
+
+
+def test_other_vocabularies_are_refused():
+    import json
+
+    import public_tokenizers
+    with pytest.raises(ValueError, match="plain byte-level"):
+        bpe_stream.Vocabulary(bpe_stream.read_spec(public_tokenizers.path("word_bpe_49k.json")))
+    spec = json.loads(bpe_stream.read_spec(BYTE_BPE))
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}},
+                   {"pre_tokenizer": None}, {"model": {**spec["model"], "dropout": 0.1}}, {"model": {**spec["model"], "ignore_merges": True}}):
+        with pytest.raises(ValueError, match="plain byte-level"):
+            bpe_stream.Vocabulary(json.dumps({**spec, **change}))
+
+
 def test_bytes_that_are_no_text_decode_as_in_the_library(library, tools):
     _, spell, _ = tools
     for ids in ([127, 128, 200, 64], [161, 50256, 220], list(range(0, 400, 7))):
