@@ -1,11 +1,12 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
-
-Each document's set of word 5-grams has a signature of ``TREES`` x depth
-minimum hashes.  A tree of the forest is the trie of the documents' signature
-slices; two documents are candidates when they share a long enough prefix in
-some tree.  The prefix starts at ``LONGEST`` hashes and is shortened, one hash
-at a time, until a pair at the threshold is found with the target probability
-(`prefix_length`), so nothing is looked for at shorter prefixes than needed.
+"""N-gram Jaccard join by MinHash trees with exact verification.
+
+Each document's set of word 5-grams has ``TREES`` signatures of minimum hashes.  Two
+documents are candidates when they share a prefix in some tree.  The length of the
+prefix is found from the recall that is wanted: from ``LONGEST`` hashes on it is
+shortened, one hash at a time, until a pair at the threshold shares one of the trees'
+prefixes with the target probability (`prefix_length`).  All trees are cut at that
+depth, whatever the data is like; prefixes are not shortened step by step as in an
+adaptive forest (README says why).
 
 Documents with equal sets make a class, and only classes go on.  In each prefix
 the classes are linked in a star around the smallest, never pairwise; components

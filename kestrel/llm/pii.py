@@ -3,12 +3,18 @@
 The rules give the base spans: email addresses, IPv4 addresses, payment cards and
 phone numbers.  The network is trained in numpy from spans that the rules label
 in a bounded sample of windows, and from those spans rewritten in the ways people
-write them and the rules do not know (a phone number without its plus sign, a
-card with dots).  It reads windows around every digit and every at sign of every
-text (no span of these kinds is without both); windows overlap, each is decoded
-by Viterbi search, and a character that several windows hold gets the tag of the
-window in which it is farthest from an edge.  Spans it finds are added where no
-base span is and the kind's own test (digits, check digit) passes.
+write them and the rules do not know: a phone number without its plus sign, a
+card with dots, an email address with blanks around its at sign, an address with its
+dots in brackets (`rewrite`).  Digits and names of rewritten spans are drawn anew, so that
+shapes are learned, not values.
+
+The network reads what is around every digit and every at sign of every text (no span
+of these kinds is without both), up to the next white space on either side, over one
+blank next to an at sign.  Windows overlap, each is decoded by Viterbi search, and a
+character that several windows hold gets the tag of the window in which it is farthest
+from an edge.  A span then takes in the characters next to it that belong to it
+(`completed`).  Spans are added where no base span is and the kind's own test (digits,
+check digit, parts up to 255) passes; all four kinds can be added.
 
 Defined results: null texts count as empty; positions are code points, ends
 exclusive; rows that repeat give repeated results; other columns are ignored by
@@ -38,11 +44,13 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 #: Windows that the network is trained on at most; characters in a window and shared by neighbours; on each side of a trigger.
-TRAIN_WINDOWS, WINDOW, OVERLAP, AROUND = 1000, 96, 32, 24
-HIDDEN, STEPS, BATCH, RATE, SEED = 16, 240, 100, 0.03, 5
+TRAIN_WINDOWS, WINDOW, OVERLAP, AROUND = 1000, 96, 48, 24
+HIDDEN, STEPS, BATCH, RATE, SEED = 20, 280, 140, 0.03, 5
+#: Rewritten windows and decoys that are made of the labelled ones.
+REWRITTEN, DECOYS = 1600, 300
 #: Windows decoded at once.
 DECODE = 256
-_TRIGGER = re.compile("[0-9@]")
+_TRIGGER, _BLANK = re.compile("[0-9@]"), re.compile(r"\s")
 _SYMBOLS = 98
 
 
@@ -135,7 +143,7 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 def gradient(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
     """Mean negative log likelihood of tags y under the CRF, and its gradient; both (time, batch)."""
     e, both, (kf, kb) = _emissions(p, x, keep=True)
-    trans = p["t"] + _allowed()
+    trans = p["t"] + _allowed().astype(p["t"].dtype)
     steps, n = x.shape
     alpha, beta = np.empty_like(e), np.zeros_like(e)
     alpha[0] = e[0]
@@ -152,22 +160,24 @@ def gradient(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
     for t in range(1, steps):
         pair = np.exp(alpha[t - 1][:, :, None] + trans + (e[t] + beta[t])[:, None, :] - z[:, None, None])
         grad["t"] += pair.sum(0)
-        np.add.at(grad["t"], (y[t - 1], y[t]), -1)
         score += e[t][rows, y[t]] + trans[y[t - 1], y[t]]
         de[t][rows, y[t]] -= 1
-    grad["o"] = np.einsum("tbh,tbk->hk", both, de)
+    grad["t"] -= np.bincount((y[:-1] * TAGS + y[1:]).reshape(-1), minlength=TAGS * TAGS).reshape(TAGS, TAGS)
+    grad["o"] = both.reshape(-1, both.shape[2]).T @ de.reshape(-1, TAGS)
     grad["ob"] = de.sum((0, 1))
     dboth = de @ p["o"].T
     for d, seen, kept, dout in (("f", x, kf, dboth[:, :, :HIDDEN]), ("b", x[::-1], kb, dboth[::-1, :, HIDDEN:])):
         dz, grad["h" + d] = lstm.back(dout, kept, p["h" + d])
-        np.add.at(grad["x" + d], seen, dz)
+        which = np.zeros((_SYMBOLS, seen.size), dtype=dz.dtype)
+        which[seen.reshape(-1), np.arange(seen.size)] = 1
+        grad["x" + d] = which @ dz.reshape(seen.size, -1)
         grad["c" + d] = dz.sum((0, 1))
     return float((z - score).mean()), {k: g / n for k, g in grad.items()}
 
 
 def train(windows: list[tuple[str, list[tuple[str, int, int]]]], steps: int = STEPS, seed: int = SEED) -> dict[str, np.ndarray]:
     """Parameters from windows of at most WINDOW characters with their spans (Adam)."""
-    p, r = initial(seed), np.random.default_rng(seed)
+    p, r = {k: v.astype(np.float32) for k, v in initial(seed).items()}, np.random.default_rng(seed)
     adam = lstm.Adam(p)
     x = np.full((len(windows), WINDOW), 95)
     y = np.zeros((len(windows), WINDOW), dtype=np.int64)
@@ -198,7 +208,7 @@ def decode(p: dict, texts: list[str]) -> list[np.ndarray]:
     for i, t in enumerate(texts):
         x[:len(t), i] = symbols(t)
     e, _, _ = _emissions(p, x)
-    trans = p["t"] + _allowed()
+    trans = p["t"] + _allowed().astype(p["t"].dtype)
     best, back = e[0], []
     for t in range(1, size):
         score = best[:, :, None] + trans
@@ -213,12 +223,30 @@ def decode(p: dict, texts: list[str]) -> list[np.ndarray]:
 
 # ---- windows ----
 
+def _reach(text: str, i: int) -> tuple[int, int]:
+    """What a trigger's region takes in: AROUND characters, then on to white space; past one blank next to an at sign."""
+    a, b = max(0, i - AROUND), min(len(text), i + 1 + AROUND)
+    if text[i] == "@":
+        if text[i - 1:i] == " ":
+            a = min(a, i - 1)
+        if text[i + 1:i + 2] == " ":
+            b = max(b, i + 2)
+    return a, b
+
+
 def windows_of(text: str) -> list[tuple[int, int]]:
     """Overlapping windows over all that is near a digit or an at sign."""
     out, regions = [], []
     for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
-        if regions and a <= regions[-1][1]:
+        a, b = _reach(text, m.start())
+        if regions and b <= regions[-1][1]:
+            continue
+        low = regions[-1][1] if regions else 0
+        while a > low and not text[a - 1].isspace():
+            a -= 1
+        end = _BLANK.search(text, b)
+        b = end.start() if end else len(text)
+        if regions and a <= low:
             regions[-1][1] = b
         else:
             regions.append([a, b])
@@ -255,6 +283,28 @@ def reconcile(windows: list[tuple[int, int]], tags: list[np.ndarray]) -> list[tu
     return spans
 
 
+_DOMAIN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789.-")
+
+
+def completed(text: str, kind: str, a: int, b: int) -> tuple[int, int]:
+    """The span with the characters next to it that belong to it, without the punctuation around it."""
+    if kind == "email":
+        left, right = _LOCAL, _DOMAIN
+    else:
+        left = right = frozenset("0123456789")
+    while a > 0 and text[a - 1] in left:
+        a -= 1
+    while b < len(text) and text[b] in right:
+        b += 1
+    if kind == "phone" and a > 0 and text[a - 1] == "(":
+        a -= 1
+    while b > a and not text[b - 1].isalnum():          # a seam or a full stop may be drawn in
+        b -= 1
+    while a < b and not (text[a].isalnum() or text[a] == "("):
+        a += 1
+    return a, b
+
+
 def plausible(kind: str, found: str) -> bool:
     """The test of a kind for what the network alone has found."""
     digits = "".join(c for c in found if c in "0123456789")
@@ -263,7 +313,10 @@ def plausible(kind: str, found: str) -> bool:
             r"(?<![0-9])[0-9]{1,3}(?:\.[0-9]{1,3}){3}", found)
     if kind == "card":
         return 14 <= len(digits) <= 19 and luhn(digits) and bool(re.fullmatch(r"[0-9]{4}(?:[ ./-]{1,2}[0-9]{3,6}){2,4}", found))
-    return kind == "email" and bool(re.fullmatch(r"[^\s@]+ ?@ ?[^\s@]+\.[^\s@.]{2,}", found))
+    if kind == "ip":
+        parts = re.fullmatch(r"([0-9]{1,3})(?: ?[\[(]?\.[\])]? ?([0-9]{1,3}))(?: ?[\[(]?\.[\])]? ?([0-9]{1,3}))(?: ?[\[(]?\.[\])]? ?([0-9]{1,3}))", found)
+        return parts is not None and all(map(_small, parts.groups()))
+    return bool(re.fullmatch(r"[^\s@]+ ?@ ?[^\s@]+\.[^\s@.]{2,}", found))
 
 
 # ---- training windows ----
@@ -281,25 +334,55 @@ def _labelled(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
         yield text[a:b], [(k, i - a, j - a) for k, i, j in spans if a <= i and j <= b]
 
 
+def _name(r: np.random.Generator, longest: int) -> str:
+    """Letters and digits, in up to three parts."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    parts = ["".join(r.choice(list(letters), int(r.integers(2, longest)))) for _ in range(1 + int(r.integers(3)))]
+    out = "._-"[r.integers(3)].join(parts)
+    return (out.title() if r.random() < 0.2 else out) + (str(r.integers(100)) if r.random() < 0.2 else "")
+
+
+def rewrite(kind: str, r: np.random.Generator) -> str:
+    """A span of this kind in a shape that the rules do not know, with digits and names of its own."""
+    some = r.integers(0, 10, 2) if r.random() < 0.3 else np.arange(10)      # digits may repeat
+    digits = "".join(str(d) for d in r.choice(some, 19))
+    if kind == "phone":
+        d = digits[:10]
+        return [f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}", f"0{d[:3]} {d[3:6]} {d[6:]}",
+                f"{d[:3]} {d[3:6]} {d[6:]}"][r.integers(5)]
+    if kind == "card":
+        sep = [".", " ", "-", "/"][r.integers(4)]
+        return sep.join(digits[i:i + 4] for i in range(0, 16, 4))
+    if kind == "ip":
+        sep = ["[.]", " . ", "(.)", "[.]"][r.integers(4)]
+        return sep.join(str(r.integers(256)) for _ in range(4))
+    domain = ".".join([*_name(r, 10).replace("_", "-").replace(".", "-").split("-")[:1 + int(r.integers(2))],
+                       ["com", "org", "net", "example", "co.uk", "de"][r.integers(6)]]).lower()
+    return _name(r, 12) + [" @ ", "@ ", " @", " @ "][r.integers(4)] + domain
+
+
 def _rewritten(text: str, spans: list[tuple[str, int, int]], r: np.random.Generator) -> tuple[str, list[tuple[str, int, int]]] | None:
-    """The window with its only span written in another way."""
+    """The window with its only span replaced by one of any kind in another shape."""
     if len(spans) != 1:
         return None
-    kind, a, b = spans[0]
-    found = text[a:b]
-    digits = re.sub("[^0-9]", "", found)
-    if kind == "phone":
-        d = digits[-10:]
-        new = [f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}", f"0{d[:3]} {d[3:6]} {d[6:]}"][r.integers(4)]
-    elif kind == "card":
-        sep = [".", " ", "-", "/"][r.integers(4)]
-        new = sep.join(digits[i:i + 4] for i in range(0, len(digits), 4))
-    elif kind == "email":
-        new = found.replace("@", " @ " if r.integers(2) else "@ ")
-    else:
+    _, a, b = spans[0]
+    kind = KINDS[r.integers(len(KINDS))]
+    new = rewrite(kind, r)
+    before, after = text[:a], text[b:]
+    room = WINDOW - len(new)
+    before = before[-min(len(before), room // 2):] if room > 1 else ""
+    return before + new + after[:room - len(before)], [(kind, len(before), len(before) + len(new))]
+
+
+def _decoy(text: str, spans: list[tuple[str, int, int]], r: np.random.Generator) -> tuple[str, list[tuple[str, int, int]]] | None:
+    """The window with its only span replaced by something that has an at sign or digits and is none."""
+    if len(spans) != 1:
         return None
-    text = (text[:a] + new + text[b:])
-    return (text, [(kind, a, a + len(new))]) if len(text) <= WINDOW else None
+    _, a, b = spans[0]
+    n = [str(x) for x in r.integers(0, 1000, 4)]
+    new = [f"{_name(r, 8)} @ {_name(r, 6).split('.')[0]}", f"{n[0]} @ {n[1]}", f"{n[0]}-{n[1]}", f"{n[0]}.{n[1]}", f"{1900 + int(r.integers(130))}",
+           f"{n[0]} {n[1]} {n[2]}", f"{n[0]},{n[1]}"][r.integers(7)]
+    return (text[:a] + new + text[b:])[:WINDOW], []
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_WINDOWS) -> dict[str, np.ndarray] | None:
@@ -311,13 +394,15 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most:
     picked = some.distinct().orderBy(F.xxhash64("w"), "w").limit(most).collect()
     if not picked:
         return None
-    r, windows = np.random.default_rng(SEED), []
-    for row in picked:
-        spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in row.s.split(",") if x)]
-        windows.append((row.w, spans))
-        if other := _rewritten(row.w, spans, r):
-            windows.append(other)
-    return train(windows, STEPS)
+    return train(augmented([(row.w, [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in row.s.split(",") if x)]) for row in picked]), STEPS)
+
+
+def augmented(windows: list[tuple[str, list[tuple[str, int, int]]]], seed: int = SEED) -> list[tuple[str, list[tuple[str, int, int]]]]:
+    """The labelled windows, and from those with one span many with spans of every kind in other shapes, and decoys."""
+    r = np.random.default_rng(seed)
+    single = [w for w in windows if len(w[1]) == 1]
+    made = [f(*single[r.integers(len(single))], r) for f, n in ((_rewritten, REWRITTEN), (_decoy, DECOYS)) for _ in range(n if single else 0)]
+    return [(text[:WINDOW], [x for x in spans if x[2] <= WINDOW]) for text, spans in [*windows, *filter(None, made)]]
 
 
 def find(texts: list[str], p: dict | None) -> list[tuple[list, list]]:
@@ -336,11 +421,8 @@ def find(texts: list[str], p: dict | None) -> list[tuple[list, list]]:
     for i, text in enumerate(texts):
         added = []
         for kind, a, b in reconcile(where[i], [tags[i, a] for a, _ in where[i]]) if where[i] else ():
-            while b > a and not text[b - 1].isalnum():          # a seam or a full stop may be drawn in
-                b -= 1
-            while a < b and not (text[a].isalnum() or text[a] == "("):
-                a += 1
-            if plausible(kind, text[a:b]) and not any(a < y and x < b for _, x, y in base[i]):
+            a, b = completed(text, kind, a, b)
+            if plausible(kind, text[a:b]) and not any(a < y and x < b for _, x, y in [*base[i], *added]):
                 added.append((kind, a, b))
         out.append((base[i], added))
     return out
