@@ -10,11 +10,12 @@ Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kep
 5. packing: where each document, or piece of one, goes in the training sequences.
 
 The first four return the columns of ``documents`` (n_chars follows the text).
+A null text is in no language, so the first stage drops its row.  What lies between
+the stages is removed when the application ends.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from kestrel.llm import jaccard_forest, langid, pii, suffix_dedup, varpack
 from kestrel.llm.common import prepare, table
 from kestrel.llm.vocab import BYTE_RANKS, PATTERN
-from kestrel.session import ensure_checkpoint_dir
+from kestrel.session import scratch_dir
 
 #: A recurrent network and a trained language profile have no SQL; tests hold the result against a brute-force version.
 ORACLE_SQL = None
@@ -70,7 +71,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each keeps is written as Parquet to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_dir(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
