@@ -74,7 +74,8 @@ def quantiles(df: DataFrame, wants: Sequence[tuple[str, str, float]], by: str |
     pairs = F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])
     long = df.select(group.alias("__by"), F.explode(pairs).alias("s")).select("__by", "s.k", "s.v").filter("v IS NOT NULL")
     counts = long.groupBy("__by", "k", "v").agg(F.count(F.lit(1)).alias("n"))
-    c = global_cumsum(counts, [F.col("__by").asc(), F.col("k").asc(), F.col("v").asc()], ["n"])
+    # read three times below: written once
+    c = cut_lineage(global_cumsum(counts, [F.col("__by").asc(), F.col("k").asc(), F.col("v").asc()], ["n"]))
     total = c.groupBy("__by", "k").agg(F.sum("n").alias("t"), F.max("cum_n").alias("e"))
     c = c.join(total, ["__by", "k"]).withColumn("upto", F.col("cum_n") - (F.col("e") - F.col("t")))
     aggs, out = [], []

@@ -279,7 +279,8 @@ def primary_driver(anomalies: DataFrame, fact: DataFrame, dimensions: Sequence[s
     best = best.filter("__rn = 1").select(
         "case_id", "dimension", "segment", "current_value", "baseline_value", "adverse_gap",
         F.col("cur_sessions").alias("current_sessions"), F.col("base_sessions").alias("baseline_sessions"))
-    has_data = rolled.select("session_date").distinct().join(ex, "session_date").select("case_id").distinct().withColumn(
+    dates = fact.select("session_date").join(needed, "session_date", "left_semi").distinct()     # one column, not the sums again
+    has_data = dates.join(ex, "session_date").select("case_id").distinct().withColumn(
         "__has", F.lit(True))
     out = anomalies.select("case_id").join(best, "case_id", "left").join(has_data, "case_id", "left")
     fill_dim = F.when(F.col("dimension").isNull(), F.lit("none")).otherwise(F.col("dimension"))

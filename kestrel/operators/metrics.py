@@ -237,8 +237,8 @@ def funnel(search_fact: DataFrame) -> DataFrame:
 SEGMENT_SETS = [["device_type"], ["traveller_type"], ["acquisition_channel"], ["device_type", "traveller_type"]]
 
 
-def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], measures: dict[str, Column]) -> DataFrame:
-    """GROUPING SETS -> (dimension, segment_value, measures...) in one pass.
+def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], measures: dict[str, Column], also: Sequence[str] = ()) -> DataFrame:
+    """GROUPING SETS -> (dimension, segment_value, also..., measures...) in one pass; ``also`` is in every set.
 
     Spark expands each row once per set and runs a single aggregate (one
     shuffle) instead of one scan per set.  ``dimension`` joins the set's
@@ -246,11 +246,12 @@ def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], measures: dict[s
     with a NULL dimension value are dropped, as a per-set group-by would.
     """
     dims = sorted({d for s in sets for d in s})
-    agg = df.groupingSets([list(s) for s in sets], *dims).agg(
-        *[m.alias(n) for n, m in measures.items()], F.grouping_id(*dims).alias("__gid"))
+    columns = [*dims, *also]
+    agg = df.groupingSets([[*s, *also] for s in sets], *columns).agg(
+        *[m.alias(n) for n, m in measures.items()], F.grouping_id(*columns).alias("__gid"))
     label = value = present = None
     for s in sets:
-        bits = sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in s)
+        bits = sum(1 << (len(columns) - 1 - i) for i, d in enumerate(dims) if d not in s)
         cond = F.col("__gid") == bits
         lab = F.lit(" x ".join(s))
         val = F.concat_ws(" | ", *[F.col(d).cast("string") for d in s])
@@ -261,23 +262,25 @@ def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], measures: dict[s
         value = F.when(cond, val) if value is None else value.when(cond, val)
         present = F.when(cond, ok) if present is None else present.when(cond, ok)
     out = agg.filter(present).withColumns({"dimension": label, "segment_value": value})
-    return out.select("dimension", "segment_value", *measures.keys())
+    return out.select("dimension", "segment_value", *also, *measures.keys())
 
 
 def product_segments(fact: DataFrame, sets: Sequence[Sequence[str]] = SEGMENT_SETS) -> DataFrame:
-    """PM-11: product segments over grouping sets with four ratios."""
-    measures = {
-        "sessions": F.count("session_id"),
-        "partners": F.count_distinct("partner_id"),
-        "searches": F.sum("search_count"),
-        "bookings": F.sum("booking_count"),
-        "booking_sessions": F.sum("booked_flag"),
-        "zero_result_searches": F.sum("zero_result_searches"),
-        "selected_searches": F.sum("selected_searches"),
-        "successful_booking_value": money_sum("successful_booking_value"),
-        "platform_revenue": money_sum("platform_revenue"),
-    }
-    agg = grouping_sets(fact, sets, measures)
+    """PM-11: product segments over grouping sets with four ratios.
+
+    Units are summed once for each partner and combination of levels; only those sums are expanded by the
+    sets, still by partner, so that partners are counted as rows and nothing is expanded for a distinct count.
+    """
+    dims = sorted({d for s in sets for d in s})
+    counts = {"searches": "search_count", "bookings": "booking_count", "booking_sessions": "booked_flag",
+              "zero_result_searches": "zero_result_searches", "selected_searches": "selected_searches"}
+    money = ["successful_booking_value", "platform_revenue"]
+    fine = fact.groupBy(*dims, "partner_id").agg(
+        F.count("session_id").alias("sessions"), *[F.sum(c).alias(n) for n, c in counts.items()], *[money_sum(c).alias(c) for c in money])
+    again = {n: F.sum(n) for n in ("sessions", *counts)} | {c: money_sum(c) for c in money}
+    by_partner = grouping_sets(fine, sets, again, also=["partner_id"])
+    agg = by_partner.groupBy("dimension", "segment_value").agg(
+        F.count("partner_id").alias("partners"), *[m.alias(n) for n, m in again.items()])
     return agg.select(
         "dimension", "segment_value", "sessions", "partners", "searches", "bookings",
         safe_div("booking_sessions", "sessions").alias("session_booking_conversion"),

@@ -185,3 +185,21 @@ def betweenness_ctes(rounds: int) -> str:
 
 BETWEENNESS_FINAL = """SELECT s.station_id, coalesce(d.dep, 0) / ((n.c - 1) * (n.c - 2)) AS betweenness_centrality
 FROM v_stations s LEFT JOIN b_dep d ON d.node = s.station_id CROSS JOIN (SELECT CAST(count(*) AS DOUBLE) AS c FROM v_stations) AS n"""
+
+
+def converged_ctes(rounds: int, tol: float = 1e-6) -> str:
+    """pr_final(id, rank): unrolled PageRank up to the first round that moves all ranks by less than n * tol together."""
+    moved = "\n  UNION ALL ".join(f"SELECT {i} AS i, sum(abs(a.rank - b.rank)) AS e FROM pr_{i} a JOIN pr_{i - 1} b USING (id)"
+                               for i in range(1, rounds + 1))
+    ranks = "\n  UNION ALL ".join(f"SELECT {i} AS i, id, rank FROM pr_{i}" for i in range(1, rounds + 1))
+    return f"""{pagerank_ctes(rounds)},
+pr_moved AS ({moved}),
+pr_stop AS (SELECT min(i) AS i FROM pr_moved WHERE e < (SELECT n FROM pr_n) * CAST({tol} AS DOUBLE)),
+pr_final AS (SELECT id, rank FROM ({ranks}) AS r WHERE i = (SELECT i FROM pr_stop))"""
+
+
+#: The centralities themselves in place of strengths: PageRank to convergence and exact betweenness.
+CENTRAL = ENRICHED.rpartition(",\nn_cent AS")[0] + ",\n" + converged_ctes(40) + ",\n" + betweenness_ctes(24) + f""",
+n_cent AS (
+  SELECT b.station_id, p.rank AS pagerank_search_demand, b.betweenness_centrality
+  FROM ({BETWEENNESS_FINAL}) AS b JOIN pr_final p ON p.id = b.station_id)"""

@@ -1,9 +1,8 @@
 """Registered queries: route network and geospatial scoring (NW-01..NW-15).
 
 Scoring operators take centrality as an input.  The ``*_scores`` queries
-feed them the weighted strengths so DuckDB can reproduce every value; the
-full pipeline queries feed PageRank and betweenness and are checked by
-row count here and by the hand-solved fixtures in the tests.
+feed them the weighted strengths, the full pipeline queries PageRank to
+convergence and exact betweenness.
 """
 
 from __future__ import annotations
@@ -46,7 +45,8 @@ def q_pagerank20(c):
     return N.pagerank(c.views.stations, c.net_edges, max_iter=20, tol=None)
 
 
-@register("nw04_pagerank", ids=("NW-04",), r6=("pagerank_search_demand",))
+@register("nw04_pagerank", ids=("NW-04",), r6=("pagerank_search_demand",), sql=sql(
+    "SELECT id AS station_id, rank AS pagerank_search_demand FROM pr_final", ON.ENRICHED, ON.converged_ctes(40)))
 def q_pagerank(c):
     return N.pagerank(c.views.stations, c.net_edges)
 
@@ -84,7 +84,8 @@ def q_station_scores(c):
     return _stations(c, c.strength_centrality)
 
 
-@register("nw08_station_network", ids=("NW-08", "NW-09"), r2=("outbound_successful_booking_value",), r6=STATION_R6)
+@register("nw08_station_network", ids=("NW-08", "NW-09"), r2=("outbound_successful_booking_value",), r6=STATION_R6,
+          sql=sql("SELECT * FROM n_stations", ON.CENTRAL, ON.STATIONS_SCORED))
 def q_station_network(c):
     return _stations(c, c.centrality)
 
@@ -95,7 +96,8 @@ def q_route_scores(c):
     return c.route_opportunities
 
 
-@register("nw10_route_opportunities", ids=("NW-10", "NW-11"), r2=MONEY, r6=OPP_R6)
+@register("nw10_route_opportunities", ids=("NW-10", "NW-11"), r2=MONEY, r6=OPP_R6,
+          sql=sql("SELECT * FROM n_route_opps", ON.CENTRAL, ON.ROUTES_SCORED))
 def q_route_opps(c):
     return c.central_route_opportunities
 

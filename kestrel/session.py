@@ -72,15 +72,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     ship_package(spark)
     current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        configured = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    if not current:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            configured = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        sc.setCheckpointDir(configured)
+        current = sc.getCheckpointDir()
+    if not getattr(sc, "_kestrel_cleans", False):
+        # whoever made the session: checkpoints go once nothing refers to them, the application's own folder at its end
+        sc._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        path = sc._jvm.org.apache.hadoop.fs.Path(current)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+        sc._kestrel_cleans = True
+    return current
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
