@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -152,11 +153,20 @@ def with_probability(model, df: DataFrame, name: str = "p") -> DataFrame:
     return out.withColumn(name, vector_to_array(F.col("probability"))[1])
 
 
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """The model without what training recorded: a summary holds its session, which cannot be sent to tasks once a
+    query of that session has been observed (`gates`)."""
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkContext._jvm.scala.Option.empty())
+    return model
+
+
 def fit_candidates(train: DataFrame, validation: DataFrame, rf_trees: int = 350, seed: int = 42):
     """ML-13: fit candidates, score validation, metric rows and best-F1 thresholds."""
     tr = _labelled(train)
     pipes = candidate_pipelines(tr.count(), seed, rf_trees)
-    jobs = {name: (lambda p=p: p.fit(tr)) for name, p in pipes.items()}
+    jobs = {name: (lambda p=p: without_summary(p.fit(tr))) for name, p in pipes.items()}
     jobs["MLP"] = lambda: neural.fit(tr, CATEGORICAL, NUMERIC, "session_id", "label", seed=seed)
     # the candidates are independent jobs: fit them concurrently (the network's small steps overlap the forest)
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:

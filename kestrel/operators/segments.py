@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -53,7 +54,9 @@ def fit_clusters(features: DataFrame, k_max: int = 6, restarts: int = 25, seed:
     def fit(job):
         k, r = job
         m = KMeans(k=k, seed=seed + r, featuresCol="features", maxIter=300).fit(x)
-        return k, m.summary.trainingCost, r, m
+        cost = m.summary.trainingCost
+        m._java_obj.setSummary(SparkContext._jvm.scala.Option.empty())      # it holds the session (see propensity.without_summary)
+        return k, cost, r, m
 
     # restarts are independent Spark jobs: submit them concurrently
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:

@@ -157,7 +157,7 @@ def test_stored_model_scores_in_another_session(spark, tmp_path, kind):
     if kind == "network":
         model = neural.fit(train, propensity.CATEGORICAL, propensity.NUMERIC, "session_id", "label", hidden=(4,), epochs=2)
     else:
-        model = Pipeline(stages=[*propensity.preprocessor(), LogisticRegression(maxIter=5)]).fit(train)
+        model = propensity.without_summary(Pipeline(stages=[*propensity.preprocessor(), LogisticRegression(maxIter=5)]).fit(train))
     dates = {"train_end": "a", "val_start": "b", "val_end": "c", "test_start": "d"}
     model_bundle.save(spark, path, model, "M", 0.4, dates, "synthetic")
     want = {r.request_id: r.booking_probability for r in propensity.batch_score(model, _requests(df), 0.4).collect()}
@@ -184,9 +184,20 @@ def test_stored_model_scores_in_another_session(spark, tmp_path, kind):
         model_bundle.load(other, path)
 
 
+def test_models_score_in_a_session_that_has_observed(spark):
+    from pyspark.sql import Observation
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    train = _frame(spark).withColumn("label", F.col("booked_flag").cast("double"))
+    for model in propensity.candidate_pipelines(120, rf_trees=3).values():
+        fitted = propensity.without_summary(model.fit(train))
+        assert propensity.with_probability(fitted, train).select("p").checkpoint().count() == 120
+
+
 def test_permutation_importance_by_brute_force(spark):
     df = _frame(spark, 60).withColumn("label", F.col("booked_flag").cast("double"))
-    model = Pipeline(stages=[*propensity.preprocessor(), LogisticRegression(maxIter=20)]).fit(df)
+    model = propensity.without_summary(Pipeline(stages=[*propensity.preprocessor(), LogisticRegression(maxIter=20)]).fit(df))
     features = ["passengers", "device_type"]
     got = {r.feature: (r.importance_mean_pr_auc, r.importance_std) for r in
            propensity.permutation_importance(model, df, propensity.FEATURES, repeats=2).collect() if r.feature in features}
