@@ -300,3 +300,19 @@ def test_calendar_windows_and_late_days(spark):
         return {(x.metric, x.metric_date): tuple(None if v is None else round(v, 9) for v in (x.value, x.baseline_median, x.rolling_mad, x.scale, x.robust_z))
                 for x in df.collect()}
     assert told(anomaly.rescored(before, now, late)) == told(anomaly.rolling_scores(now))
+
+
+def test_long_sums_are_added_up_inside_tasks(spark, monkeypatch):
+    """No row for each pair of terms of each row; more terms than a task may keep, and terms without a value."""
+    df, rows = _table(spark)
+    terms = encoding.treatment_terms(["u", "v"], ["a", "b"], encoding.reference_levels(df, ["a", "b"]))
+    assert "Generate" not in gram.gram(df, terms)._jdf.queryExecution().executedPlan().toString()
+    long = spark.createDataFrame([(i % 3, [(f"t{i}", 2.0), ("n", None), ("all", 1.0)]) for i in range(50)],
+                                 "w int, x array<struct<term string, value double>>").coalesce(1)
+    monkeypatch.setattr(gram, "MOST_TERMS", 7)
+    monkeypatch.setattr(gram, "PAIRS", 5)
+    got = {(r.i, r.j): r["sum"] for r in gram.gram(long, F.col("x"), F.col("w")).collect()}
+    want = {("all", "all"): float(sum(i % 3 for i in range(50)))}
+    for i in range(50):
+        want |= {("all", f"t{i}"): 2.0 * (i % 3), (f"t{i}", f"t{i}"): 4.0 * (i % 3)}
+    assert got == want
