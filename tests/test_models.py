@@ -316,3 +316,33 @@ def test_long_sums_are_added_up_inside_tasks(spark, monkeypatch):
     for i in range(50):
         want |= {("all", f"t{i}"): 2.0 * (i % 3), (f"t{i}", f"t{i}"): 4.0 * (i % 3)}
     assert got == want
+
+
+def test_forest_is_fitted_in_groups_of_trees(spark, monkeypatch, tmp_path):
+    """Groups of trees over the same rows make one forest, which votes, is stored and read as one."""
+    train = _frame(spark, 400).repartition(5).withColumn("label", F.col("booked_flag").cast("double"))
+    monkeypatch.setattr(propensity, "FEW_ROWS", 50)
+    model = propensity.fit_forest(train, propensity.candidate_pipelines(400, rf_trees=11)["RandomForest"], 400)
+    forest = model.stages[-1]
+    assert forest.getNumTrees == len(forest.trees) == 11 and forest.getOrDefault("numTrees") == 11
+    assert forest.getOrDefault("maxDepth") == 14 and forest.getOrDefault("seed") == 42
+    assert len({t.toDebugString.partition("\n")[2] for t in forest.trees}) > 1
+    assert abs(sum(forest.featureImportances.toArray()) - 1) < 1e-9
+    x = model.transform(train).select("features", "probability").limit(40).collect()
+    for r in x:
+        votes = np.array([t.predictRaw(r.features).toArray() for t in forest.trees])
+        np.testing.assert_allclose(r.probability.toArray(), (votes / votes.sum(1, keepdims=True)).mean(0), rtol=1e-9)
+    model.write().save(str(tmp_path / "forest"))
+    again = type(model).load(str(tmp_path / "forest"))
+    key = ["session_id", "probability"]
+    assert sorted(again.transform(train).select(*key).collect()) == sorted(model.transform(train).select(*key).collect())
+
+
+def test_rows_for_training_are_dealt_to_all_cores(spark):
+    from kestrel.session import FEW_ROWS, MANY_ROWS, spread
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(FEW_ROWS).coalesce(1), spark.range(FEW_ROWS * 3).coalesce(1)
+    assert spread(few, FEW_ROWS, "id").rdd.getNumPartitions() == 1
+    assert spread(many, FEW_ROWS * 3, "id").rdd.getNumPartitions() == min(cores, 3)
+    assert spread(few, MANY_ROWS * cores * 2, "id").rdd.getNumPartitions() == cores * 2
+    assert spread(many, FEW_ROWS * 3, "id").count() == FEW_ROWS * 3
