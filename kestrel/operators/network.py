@@ -313,7 +313,11 @@ def partner_route_opportunities(search_fact: DataFrame, routes_opp: DataFrame, t
 
 
 def network_findings(stations_m: DataFrame, routes_opp: DataFrame, cities: DataFrame, partner_routes: DataFrame) -> DataFrame:
-    """NW-14: top node / route / market / entity-route and scale counts in one row."""
+    """NW-14: top node / route / market / entity-route and scale counts in one row.
+
+    Ranks are unique, so each side is one row: sides are broadcast, as a product of their partitions would be a task for each
+    combination of these.
+    """
     s = stations_m.filter(F.col("station_opportunity_rank") == 1).select(
         F.col("station_id").alias("top_station_id"), F.col("pagerank_search_demand").alias("top_station_pagerank"),
         F.col("betweenness_centrality").alias("top_station_betweenness"))
@@ -322,9 +326,12 @@ def network_findings(stations_m: DataFrame, routes_opp: DataFrame, cities: DataF
         F.col("opportunity_type").alias("top_route_type"))
     c = cities.filter(F.col("market_rank") == 1).select(F.col("origin_city").alias("top_city"))
     p = partner_routes.agg(F.min_by(F.col("partner_id"), F.col("partner_route_rank")).alias("top_partner_route_partner"))
-    counts = stations_m.agg(F.count(F.lit(1)).alias("stations")).crossJoin(
-        routes_opp.agg(F.count(F.lit(1)).alias("routes"))).crossJoin(cities.agg(F.count(F.lit(1)).alias("cities")))
-    return s.crossJoin(r).crossJoin(c).crossJoin(p).crossJoin(counts)
+    counts = [df.agg(F.count(F.lit(1)).alias(name)) for df, name in (
+        (stations_m, "stations"), (routes_opp, "routes"), (cities, "cities"))]
+    out = s
+    for side in (r, c, p, *counts):
+        out = out.crossJoin(F.broadcast(side))
+    return out
 
 
 def endpoint_count(routes: DataFrame) -> DataFrame:

@@ -136,7 +136,7 @@ def q_sv08(c):
                     F.col("destination_city").alias("top_route_destination_city")])
     p = S.top_pick(c.opportunities, "priority_rank", [F.col("partner_id").alias("top_partner_id"),
                                                       F.col("opportunity_type").alias("top_partner_type")])
-    return r.crossJoin(p)
+    return r.crossJoin(F.broadcast(p))      # one row: a product of partitions would be a task for each pair of them
 
 
 @register("in05_json_records", ids=("IN-05",))

@@ -135,3 +135,15 @@ def test_two_prop_and_srm_columns(spark):
                                            "variant_n long, absolute_effect double")).first()
     assert round(pw.observed_approximate_power, 4) == 0.0641
     assert round(pw.minimum_detectable_absolute_effect, 4) == 0.0498
+
+
+def test_findings_take_no_product_of_partitions(spark):
+    top = lambda rank, n: spark.range(0, n, 1, 40).select((F.col("id") + 1).alias(rank), "id")
+    stations = top("station_opportunity_rank", 50).selectExpr("*", "id AS station_id", "0.5D AS pagerank_search_demand",
+                                                              "0.1D AS betweenness_centrality")
+    routes = top("opportunity_rank", 60).selectExpr("*", "id AS origin_station_id", "id + 1 AS destination_station_id", "'t' AS opportunity_type")
+    cities = top("market_rank", 70).selectExpr("*", "concat('c', id) AS origin_city")
+    found = N.network_findings(stations, routes, cities, top("partner_route_rank", 80).selectExpr("*", "id + 7 AS partner_id"))
+    assert found.rdd.getNumPartitions() <= 40
+    assert [tuple(r) for r in found.collect()] == [(0, 0.5, 0.1, 0, 1, "t", "c0", 7, 50, 60, 70)]
+    assert N.network_findings(stations.where("id > 0"), routes, cities, routes.selectExpr("id AS partner_id", "id AS partner_route_rank")).count() == 0
