@@ -1,23 +1,29 @@
 """Entity segmentation with K-Means (ML-19..ML-21).
 
-The number of clusters is chosen by the mean Euclidean silhouette, from sums of
-distances by cluster (`silhouette`).
+Spark's K-Means draws the first centers of every restart; the rounds of all restarts of all
+numbers of clusters then run side by side, one job for a round of all (`lloyd`).  The
+number of clusters is chosen by the mean Euclidean silhouette, from sums of distances by
+cluster (`silhouette`).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import SparkContext
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.ranking import quantiles
 from kestrel.operators import silhouette
+from kestrel.operators.neural import tree_sum
+from kestrel.session import cut_lineage, spread
 
 CLUSTER_FEATURES = ["log_sessions", "log_searches", "session_booking_conversion", "no_result_rate",
                     "avg_search_latency_ms", "log_successful_booking_value", "log_platform_revenue"]
@@ -39,6 +45,87 @@ def cluster_features(performance: DataFrame) -> DataFrame:
     })
 
 
+#: Points whose distances to all centers a task holds at once.
+CHUNK = 2048
+
+
+def _round(points: DataFrame, tasks: int, centers: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """For each run the sums and counts of the points by their nearest center, and the sum of squared distances to it."""
+    sizes = [len(c) for c in centers]
+    ends = np.cumsum([0, *sizes])
+    width = centers[0].shape[1]
+    # runs of as many centers are taken together
+    groups = [(k, np.flatnonzero(np.array(sizes) == k)) for k in sorted(set(sizes))]
+    sent = points.sparkSession.sparkContext.broadcast(np.concatenate(centers))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        c = sent.value
+        squares = (c * c).sum(1)
+        sums, counts, costs = np.zeros(c.shape), np.zeros(len(c)), np.zeros(len(sizes))
+        for b in batches:
+            rows = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, width)
+            for lo in range(0, len(rows), CHUNK):
+                x = rows[lo:lo + CHUNK]
+                d = squares[None, :] - 2 * x @ c.T
+                own, at = (x * x).sum(1), np.arange(len(x))
+                member = np.zeros((len(x), len(c)))
+                for k, runs in groups:
+                    columns = ends[runs][:, None] + np.arange(k)[None, :]
+                    some = d[:, columns]                    # point, run, center
+                    nearest = some.argmin(2)
+                    least = np.take_along_axis(some, nearest[:, :, None], 2)[:, :, 0]
+                    costs[runs] += np.maximum(least + own[:, None], 0.0).sum(0)
+                    member[at[:, None], ends[runs][None, :] + nearest] = 1.0
+                sums += member.T @ x
+                counts += member.sum(0)
+        total = np.concatenate([sums.reshape(-1), counts, costs])
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                         ["slot", "vector"])
+    parts = points.mapInArrow(run, "slot int, vector binary")
+    found = sorted(tree_sum(parts, tasks).collect(), key=lambda r: r["slot"])
+    total = np.sum([np.frombuffer(r["vector"], dtype="<f8") for r in found], axis=0)
+    sent.unpersist()
+    n = int(ends[-1])
+    sums, counts, costs = total[:n * width].reshape(n, width), total[n * width:n * width + n], total[n * width + n:]
+    return [(sums[a:b], counts[a:b], float(costs[i])) for i, (a, b) in enumerate(zip(ends, ends[1:]))]
+
+
+def lloyd(points: DataFrame, starts: Sequence[np.ndarray], max_iter: int = 300, tol: float = 1e-4) -> list[tuple[np.ndarray, float]]:
+    """Centers and cost of each run of Lloyd's algorithm, from its first centers; all runs share the pass of a round.
+
+    ``points`` has one column, an array of coordinates.  As in Spark's K-Means, a run ends when no center moves by more than
+    ``tol``, a center without points stays, and the cost is that of the last assignment.
+    """
+    points = cut_lineage(points)
+    tasks = points.rdd.getNumPartitions()
+    out, left = [(np.asarray(c, dtype=float), 0.0) for c in starts], list(range(len(starts)))
+    for _ in range(max_iter):
+        again = []
+        for i, (sums, counts, cost) in zip(left, _round(points, tasks, [out[i][0] for i in left])):
+            old = out[i][0]
+            new = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1.0)[:, None], old)
+            out[i] = (new, cost)
+            if (((new - old) ** 2).sum(1) > tol * tol).any():
+                again.append(i)
+        left = again
+        if not left:
+            break
+    return out
+
+
+def nearest_center(vector: str, centers: np.ndarray) -> Column:
+    """The number of the center that is nearest to an array of coordinates; the first one of equally near ones."""
+    squares = []
+    for c in centers:
+        d = None
+        for i, v in enumerate(c):
+            gap = F.col(vector)[i] - F.lit(float(v))
+            d = gap * gap if d is None else d + gap * gap
+        squares.append(d)
+    return (F.array_position(F.array(*squares), F.array_min(F.array(*squares))) - 1).cast("int")
+
+
 def fit_clusters(features: DataFrame, k_max: int = 6, restarts: int = 25, seed: int = 42, parallel_fits: int = 8):
     """ML-20: k = 2..min(k_max, n-1); per k the lowest-cost of ``restarts`` seeds; best silhouette, then smaller k."""
     n = features.count()
@@ -51,27 +138,24 @@ def fit_clusters(features: DataFrame, k_max: int = 6, restarts: int = 25, seed:
     x.count()
     ks = list(range(2, min(k_max, n - 1) + 1))
 
-    def fit(job):
+    def start(job):
         k, r = job
-        m = KMeans(k=k, seed=seed + r, featuresCol="features", maxIter=300).fit(x)
-        cost = m.summary.trainingCost
-        m._java_obj.setSummary(SparkContext._jvm.scala.Option.empty())      # it holds the session (see propensity.without_summary)
-        return k, cost, r, m
+        return np.array(KMeans(k=k, seed=seed + r, featuresCol="features", maxIter=0).fit(x).clusterCenters())
 
-    # restarts are independent Spark jobs: submit them concurrently
+    # the first centers of the restarts are independent Spark jobs: submit them concurrently
+    jobs = [(k, r) for k in ks for r in range(restarts)]
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
-        fits = list(pool.map(fit, [(k, r) for k in ks for r in range(restarts)]))
-    models = {k: min((f for f in fits if f[0] == k), key=lambda f: (f[1], f[2]))[3] for k in ks}
-    points = x
-    for k in ks:
-        points = models[k].setPredictionCol(f"__k{k}").transform(points)
-    points = points.select(F.xxhash64("partner_id").alias("id"), vector_to_array("features").alias("vector"),
-                           F.array(*[F.col(f"__k{k}") for k in ks]).alias("labels"))
-    scores = list(zip(ks, silhouette.mean_silhouettes(points, ks)))
+        starts = list(pool.map(start, jobs))
+    points = x.withColumn("__vector", vector_to_array("features")).drop("features", "__raw")
+    fits = list(zip(jobs, lloyd(spread(points.select("__vector"), n), starts)))
+    centers = {k: min((f for f in fits if f[0][0] == k), key=lambda f: (f[1][1], f[0][1]))[1][0] for k in ks}
+    labels = F.array(*[nearest_center("__vector", centers[k]) for k in ks])
+    scores = list(zip(ks, silhouette.mean_silhouettes(
+        points.select(F.xxhash64("partner_id").alias("id"), F.col("__vector").alias("vector"), labels.alias("labels")), ks)))
     best_k = sorted(scores, key=lambda t: (-t[1], t[0]))[0][0]
-    labelled = models[best_k].setPredictionCol("prediction").transform(x).withColumn("cluster_id", F.col("prediction").cast("bigint"))
+    labelled = points.withColumn("cluster_id", nearest_center("__vector", centers[best_k]).cast("bigint"))
     x.unpersist()
-    return labelled.drop("prediction", "features", "__raw"), best_k, scores
+    return labelled.drop("__vector"), best_k, scores
 
 
 def cluster_profile(clustered: DataFrame) -> DataFrame:

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from kestrel.session import cut_lineage
 
-#: Points of a block; close pairs of points taken at once.
-BLOCK, CLOSE = 1024, 1 << 17
+#: Points of a block; rows of a block whose distances are held at once; close pairs of points taken at once.
+BLOCK, ROWS, CLOSE = 2048, 512, 1 << 17
+#: Pairs of blocks of a task at most, where there are tasks enough for all cores.
+PAIRS = 256
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -35,6 +37,12 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _matrix(lists: pa.ChunkedArray, n: int) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    flat = [c.flatten() for c in lists.chunks]
+    return np.concatenate([f.to_numpy(zero_copy_only=False) for f in flat]).reshape(n, -1) if n else np.zeros((0, 0))
+
+
 def cluster_sums(points: DataFrame, clusters: Sequence[int], block: int = BLOCK) -> DataFrame:
     """(id, labels, s0, s1, ...): for each point the sum of its distances to each cluster of each clustering.
 
@@ -53,20 +61,23 @@ def cluster_sums(points: DataFrame, clusters: Sequence[int], block: int = BLOCK)
     def meet(key: tuple, t: pa.Table) -> pa.Table:
         i, j = key[0].as_py(), key[1].as_py()
         side, ids = t.column("block").to_numpy(), t.column("id").to_numpy()
-        x = np.array(t.column("vector").to_pylist(), dtype=np.float64).reshape(len(ids), -1)
-        labels = np.array(t.column("labels").to_pylist(), dtype=np.int64).reshape(len(ids), -1)
+        x = _matrix(t.column("vector"), len(ids)).astype(np.float64)
+        labels = _matrix(t.column("labels"), len(ids)).astype(np.int64)
         member = np.zeros((len(ids), width))
         for k in range(labels.shape[1]):
             member[np.arange(len(ids)), first[k] + labels[:, k]] = 1
         left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
         sums = np.zeros((len(ids), width))
-        for lo in range(0, len(left), BLOCK):
-            some = left[lo:lo + BLOCK]
+        for lo in range(0, len(left), ROWS):
+            some = left[lo:lo + ROWS]
             d = _distances(x[some], x[right])
             sums[some] += d @ member[right]
             if i != j:
                 sums[right] += d.T @ member[some]
         return pa.table([pa.array(ids), *(pa.array(sums[:, k]) for k in range(width))], names=["id", *names])
+    # dealt by number: tasks planned by the bytes of the points would be few, and long
+    pairs, cores = blocks * (blocks + 1) // 2, points.sparkSession.sparkContext.defaultParallelism
+    rows = rows.repartition(min(pairs, max(4 * cores, pairs // PAIRS)), "i", "j")
     parts = rows.groupBy("i", "j").applyInArrow(meet, "id long, " + ", ".join(f"{n} double" for n in names))
     return parts.groupBy("id").agg(*[F.sum(n).alias(n) for n in names]).join(points.select("id", "labels"), "id")
 

@@ -241,6 +241,43 @@ def test_silhouettes_by_brute_force(spark):
         assert abs(have - np.mean(s)) < 1e-9
 
 
+def _entities(spark, n=400, seed=5):
+    r = np.random.default_rng(seed)
+    rows = [(i, *(float(v) for v in r.normal(3.0 * (i % 3), 1.0, len(segments.CLUSTER_FEATURES)))) for i in range(n)]
+    return spark.createDataFrame(rows, "partner_id long, " + ", ".join(f"{c} double" for c in segments.CLUSTER_FEATURES))
+
+
+def test_rounds_side_by_side_equal_spark_kmeans(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    x = VectorAssembler(inputCols=segments.CLUSTER_FEATURES, outputCol="features").transform(_entities(spark)).cache()
+    jobs = [(2, 7), (3, 7), (3, 8), (5, 9)]
+    fit = lambda k, s, m: KMeans(k=k, seed=s, maxIter=m).fit(x)
+    whole = [fit(k, s, 300) for k, s in jobs]
+    got = segments.lloyd(x.select(vector_to_array("features")).repartition(3), [np.array(fit(k, s, 0).clusterCenters()) for k, s in jobs])
+    for m, (centers, cost) in zip(whole, got):
+        np.testing.assert_allclose(centers, np.array(m.clusterCenters()), rtol=1e-9)
+        assert abs(cost - m.summary.trainingCost) < 1e-6 * cost
+    marked = x.withColumn("v", vector_to_array("features")).withColumn("near", segments.nearest_center("v", got[3][0]))
+    assert whole[3].transform(marked).where("near <> prediction").count() == 0
+    x.unpersist()
+
+
+def test_restarts_share_the_jobs_of_a_round(spark):
+    seen = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = seen()
+    clustered, k, scores = segments.fit_clusters(_entities(spark, 120), k_max=4, restarts=10)
+    assert k == 3 and len(scores) == 3 and clustered.count() == 120
+    assert seen() - before < 30 * 14         # some 11 draw the first centers of a restart
+
+
+def test_center_without_points_stays(spark):
+    points = spark.createDataFrame([([0.0, 0.0],), ([2.0, 0.0],)], "v array<double>")
+    (centers, cost), = segments.lloyd(points, [np.array([[1.0, 1.0], [90.0, 90.0]])])
+    assert centers.tolist() == [[1.0, 0.0], [90.0, 90.0]] and cost == 2.0
+
+
 def test_many_clusters_keep_names(spark):
     rows = [(i, 1.0 if i else 9.0, 0.0 if i else 1.0, 0.0 if not i else 0.5) for i in range(8)]
     prof = spark.createDataFrame([(i, v, n, c) for i, v, n, c in rows],
