@@ -138,3 +138,12 @@ def test_outcomes_of_another_session_and_hot_sessions(spark):
     t = fact_tables.deal(sessions, hot.where("session_id = 1"), bookings, hot=2, hot_rows=10)
     assert "Bucketed: true" not in _plan(facts.item_rollup(t.items))
     assert fact_tables.item_fact(t).count() == 80
+
+
+def test_raw_rows_are_not_cached_beside_the_tables(spark):
+    from kestrel.sources.views import domain_views
+    v = domain_views(spark, "/root/testdata/sf0.001")
+    for df in (v.searches, v.bookings):
+        assert "InMemoryTableScan" not in _plan(df.select("search_id"))
+    by_partner = _plan(v.searches.groupBy("partner_id").agg(F.min("search_ts")))
+    assert "l_extendedprice" not in by_partner and "date_format" not in by_partner
