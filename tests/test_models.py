@@ -4,10 +4,12 @@ import datetime as dt
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.functions import paths, special
 from kestrel.operators import anomaly, encoding, experiment, gram, model_bundle, neural, propensity, segments, silhouette
@@ -220,6 +222,32 @@ def test_permutation_importance_by_brute_force(spark):
         np.testing.assert_allclose(got[f], (np.mean(drops), np.std(drops)), atol=1e-9)
 
 
+def test_models_pass_once_over_rows_and_in_few_tasks(spark):
+    seen, tasks = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    class Counted(neural.NetworkModel):
+        def __init__(self):
+            pass
+
+        def transform(self, df):
+            def run(batches):
+                tasks.add(1)
+                for b in batches:
+                    seen.add(b.num_rows)
+                    p = [[1.0 - v / 20.0, v / 20.0] for v in b.column(b.schema.get_field_index("passengers")).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], [*b.schema.names, "probability"])
+            return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("probability", T.ArrayType(T.DoubleType()))]))
+    df = _frame(spark, 60).withColumns({"partner_id": F.col("session_id"), "session_ts": F.lit("2000-01-01")})
+    df = df.checkpoint()
+    scored = propensity.score_locked(Counted(), df, 0.2)
+    assert scored.agg(F.sum("probability_bin")).count() == 1 and scored.count() == 60
+    assert seen.value == 60
+    few, before = spark.sparkContext.defaultParallelism, tasks.value
+    propensity.permutation_importance(Counted(), df, propensity.FEATURES, repeats=6).collect()
+    # unshuffled rows, and copies that got another value, sampled and sorted from one aggregate
+    assert tasks.value - before <= df.rdd.getNumPartitions() + few
+
+
 def test_silhouettes_by_brute_force(spark):
     r = np.random.default_rng(7)
     x = np.concatenate([r.normal(0, 1, (40, 3)), r.normal(4, 1, (30, 3)), [[50.0, 0, 0]], np.zeros((5, 3))])
