@@ -81,6 +81,12 @@ def _window_minima(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(m[:len(m) - rest], m[rest:]) if rest else m
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values in order, by sorting: `np.unique` hashes them one by one into nodes that it allocates."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start, end, anchor hash and text number of each run of windows with one anchor.
 
@@ -102,8 +108,11 @@ def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     where = best & _MASK
     first = bounds[:-1]
     past = np.maximum(bounds[1:] - MIN_LENGTH + 1, first)         # first position without a window in its text
-    cuts = np.unique(np.concatenate([[0], np.flatnonzero(where[1:] != where[:-1]) + 1, first, past]))
-    cuts = cuts[cuts < n]
+    cut = np.empty(n, dtype=bool)
+    cut[0] = True
+    np.not_equal(where[1:], where[:-1], out=cut[1:])
+    cut[first[first < n]] = cut[past[past < n]] = True
+    cuts = np.flatnonzero(cut)
     ends = np.append(cuts[1:], n)
     text = np.searchsorted(bounds, cuts, side="right") - 1
     ok = cuts < past[np.minimum(text, len(past) - 1)]
@@ -218,7 +227,7 @@ def repeated_anchors(rows: DataFrame, groups: int) -> DataFrame:
             if not len(anchor):
                 continue
             uniq, number = np.unique(np.array([ids, parts], dtype=np.int64), axis=1, return_inverse=True)
-            pairs = np.unique((anchor << 24) | number.reshape(-1)[text])
+            pairs = _distinct((anchor << 24) | number.reshape(-1)[text])
             anchor, (owner, part) = pairs >> 24, uniq[:, pairs & 0xFFFFFF]
             first = np.concatenate([[True], anchor[1:] != anchor[:-1]])
             several = ~first
@@ -268,8 +277,10 @@ def marks(rows: DataFrame, wanted: DataFrame, groups: int) -> DataFrame:
             start, end, anchor, text = segments(data, bounds)
             _, number = np.unique(np.array([ids, hs], dtype=np.int64), axis=1, return_inverse=True)
             number = number.reshape(-1)
-            listed = np.unique(np.concatenate([(np.array(x, dtype=np.int64) << 24) | n for x, n in zip(anchors, number)]))
-            ok = np.isin((anchor << 24) | number[text], listed)
+            # the document first: neighbouring segments are looked up in one place of the list
+            listed = _distinct(np.concatenate([np.array(x, dtype=np.int64) | (n << ANCHOR_BITS) for x, n in zip(anchors, number)]))
+            sought = anchor | (number[text] << ANCHOR_BITS)
+            ok = listed[np.minimum(np.searchsorted(listed, sought), len(listed) - 1)] == sought
             start, end, anchor, text = start[ok], end[ok], anchor[ok], text[ok]
             if not len(start):
                 continue
@@ -285,10 +296,9 @@ def marks(rows: DataFrame, wanted: DataFrame, groups: int) -> DataFrame:
             stay = np.flatnonzero(~late)
             for b, m in _dealt((anchor[stay] * groups) >> ANCHOR_BITS):
                 i = stay[m]
-                names: dict[bytes, int] = {}
-                name = np.array([names.setdefault(strings[x], len(names)) for x in i])
-                out.append((int(b), 0, pack(name, own[i], h[i], at[i], np.array([len(s) for s in names])),
-                            zstandard.compress(b"".join(names), 3)))
+                names, name = np.unique(lead[i], return_inverse=True)       # a string's lead is in its bucket, and stays
+                out.append((int(b), 0, pack(name, own[i], h[i], at[i], (end - start)[names]),
+                            zstandard.compress(b"".join([strings[x] for x in names.tolist()]), 3)))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()),
                                               pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.binary())],
                                              ["bucket", "kind", "block", "strings"])

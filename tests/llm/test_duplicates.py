@@ -227,3 +227,22 @@ def test_pairs_inside_a_dense_third_of_the_vectors(spark):
     near = [np.flatnonzero(x[lo:lo + 2000] @ x.T >= 0.95) for lo in range(0, n, 2000)]
     assert sum(map(len, near)) == n + 800 and sum(v.n_links for v in got.values()) == 800
     assert all(got[400 + i].component_id == i for i in range(400))
+
+
+def test_segments_are_cut_by_sorts_and_masks(monkeypatch):
+    """`np.unique` hashes whole arrays, which took over half of the time of a chunk; texts of any length, also empty ones at the end."""
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 101, n, dtype=np.uint8)) for n in (0, 400, 49, 50, 700, 0, 3)]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    want = []
+    for k, t in enumerate(texts):       # each text by itself: one cut wherever the anchor moves
+        _, end, anchor, _ = suffix_dedup.segments(np.frombuffer(t, dtype=np.uint8), np.array([0, len(t)]))
+        want += [(int(e) + int(bounds[k]), int(a), k) for e, a in zip(end, anchor)]
+
+    def refused(*args, **kwargs):
+        raise AssertionError("np.unique over a chunk")
+    monkeypatch.setattr(np, "unique", refused)
+    start, end, anchor, text = suffix_dedup.segments(np.frombuffer(b"".join(texts), dtype=np.uint8), bounds)
+    assert list(zip(end.tolist(), anchor.tolist(), text.tolist())) == want and (np.diff(start) > 0).all()
+    x = rng.integers(-5, 5, 100)
+    assert suffix_dedup._distinct(x).tolist() == sorted(set(x.tolist())) and not len(suffix_dedup._distinct(x[:0]))
