@@ -1,7 +1,9 @@
 """Facts as written tables, bucketed by session (FC-03, FC-05).
 
 Items, units and outcomes are each dealt by session once, into tables of as many
-buckets as there are shuffle partitions.  The item fact, the unit fact and both
+buckets as their rows need: a bucket is what one task joins, so it has about
+``BUCKET_ROWS`` items however large the tables are.  Outcomes that are items themselves
+are read from the items' table.  The item fact, the unit fact and both
 rollups are joins and aggregates on these tables and need no further exchange of
 items; the facts are written bucketed as well, by the tasks that have joined them.
 
@@ -16,6 +18,7 @@ are counted while it is written, and if any is missing, it is built again by ite
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +31,16 @@ from kestrel.session import scratch_dir
 KEY = "session_id"
 #: A bucket over this many times the mean, and over so many rows, is a hot one.
 HOT, HOT_ROWS = 4, 1_000_000
+#: Items of a bucket, about: a task sorts them, wide, beside those of the other cores.
+BUCKET_ROWS = 250_000
 #: Joins on (session, ...) may use tables that are dealt by the session alone.
 _CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
 #: Where the rows to be dealt come out of a join by session, its exchange is the one of the write.  Merging its partitions
 #: would leave a few tasks that sort many buckets each, beyond their memory.
 _COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+_PARTITIONS = "spark.sql.shuffle.partitions"
+#: A task has rows of one bucket: it writes them as they come, where Spark would sort them by bucket first.
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 @dataclass
@@ -61,13 +69,14 @@ class _Setting:
 def _save(df: DataFrame, folder: str, name: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
     table = f"kestrel_{name}_{uuid.uuid4().hex}"
-    (df.write.mode("error").bucketBy(buckets, KEY).sortBy(KEY).option("path", f"{folder}/{name}").saveAsTable(table))
+    with _Setting(spark, _WRITERS, "2"):
+        df.write.mode("error").bucketBy(buckets, KEY).option("path", f"{folder}/{name}").saveAsTable(table)
     return spark.table(table)
 
 
 def _dealt(df: DataFrame, folder: str, name: str, buckets: int, hot: int, hot_rows: int) -> DataFrame:
     """The table by bucket; as plain files when one bucket has far more than its part."""
-    with _Setting(df.sparkSession, _COALESCE, "false"):
+    with _Setting(df.sparkSession, _COALESCE, "false"), _Setting(df.sparkSession, _PARTITIONS, str(buckets)):
         table = _save(df.repartition(buckets, KEY), folder, name, buckets)
     plain = df.sparkSession.read.parquet(f"{folder}/{name}")
     sizes = plain.groupBy(F.col("_metadata.file_path")).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
@@ -76,13 +85,21 @@ def _dealt(df: DataFrame, folder: str, name: str, buckets: int, hot: int, hot_ro
     return table
 
 
-def deal(sessions: DataFrame, searches: DataFrame, bookings: DataFrame, hot: int = HOT, hot_rows: int = HOT_ROWS) -> FactTables:
-    """Write items, units and outcomes by session."""
+def deal(sessions: DataFrame, searches: DataFrame, bookings: DataFrame | Callable[[DataFrame], DataFrame], hot: int = HOT,
+         hot_rows: int = HOT_ROWS, rows: int | None = None, bucket_rows: int = BUCKET_ROWS, carried: Sequence[str] = ()) -> FactTables:
+    """Write items, units and outcomes by session.
+
+    ``rows`` is about the number of items, which are counted if it is not given.  Where ``bookings`` is a function, it gives the
+    outcomes out of the dealt items; ``carried`` names what the items have for it alone.
+    """
     spark = sessions.sparkSession
-    buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = searches.count() if rows is None else rows
+    buckets = max(2, int(spark.conf.get(_PARTITIONS)), -(-rows // bucket_rows))
     folder = scratch_dir(spark, "facts")
-    named = (("items", searches), ("units", sessions), ("outcomes", bookings))
-    return FactTables(*[_dealt(df, folder, name, buckets, hot, hot_rows) for name, df in named], folder=folder, buckets=buckets)
+    items = _dealt(searches, folder, "items", buckets, hot, hot_rows)
+    units = _dealt(sessions, folder, "units", buckets, hot, hot_rows)
+    outcomes = bookings(items) if callable(bookings) else _dealt(bookings, folder, "outcomes", buckets, hot, hot_rows)
+    return FactTables(items.drop(*carried), units, outcomes, folder=folder, buckets=buckets)
 
 
 def item_fact_plan(t: FactTables, gate: Gate | None = None) -> DataFrame:

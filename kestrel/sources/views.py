@@ -66,6 +66,7 @@ class DomainViews:
     searches: DataFrame
     bookings: DataFrame
     partner_events: DataFrame
+    raw_searches: DataFrame     # searches with BOOKING_COLUMNS
 
 
 def nation_region(t: Tables) -> DataFrame:
@@ -151,9 +152,7 @@ def searches_view(t: Tables) -> DataFrame:
         (F.col("l_suppkey") % 4).cast("bigint").alias("alternatives_shown"),
         ((~no_result) & (F.col("l_linestatus") == "O")).cast("bigint").alias("selected_flag"),
         _variant(F.col("l_orderkey"), F.col("o_orderdate")).alias("experiment_variant"),
-        # carried for the booking view only
-        F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_extendedprice"),
-        F.col("l_discount"), F.col("l_tax"),
+        *BOOKING_COLUMNS,
     )
 
 
@@ -161,6 +160,8 @@ SEARCH_COLUMNS = ["search_id", "session_id", "partner_id", "search_ts", "origin_
                   "destination_station_id", "journey_type", "passengers", "days_before_travel",
                   "result_count", "no_result_flag", "search_latency_ms", "alternatives_shown",
                   "selected_flag", "experiment_variant"]
+#: What a search carries for the booking view only.
+BOOKING_COLUMNS = ["l_returnflag", "l_linestatus", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def bookings_view(raw_searches: DataFrame) -> DataFrame:
@@ -203,4 +204,5 @@ def domain_views(spark: SparkSession, base: str) -> DomainViews:
         searches=raw.select(*SEARCH_COLUMNS),
         bookings=bookings_view(raw),
         partner_events=partner_events_view(t),
+        raw_searches=raw,
     )

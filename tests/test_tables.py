@@ -147,3 +147,30 @@ def test_raw_rows_are_not_cached_beside_the_tables(spark):
         assert "InMemoryTableScan" not in _plan(df.select("search_id"))
     by_partner = _plan(v.searches.groupBy("partner_id").agg(F.min("search_ts")))
     assert "l_extendedprice" not in by_partner and "date_format" not in by_partner
+
+
+def test_buckets_grow_with_the_items(spark):
+    """A bucket is sorted by one task: a number of them fixed by the session's partitions spills at 60 times sf0.1."""
+    from kestrel.sources.views import BOOKING_COLUMNS, bookings_view, domain_views
+    v = domain_views(spark, "/root/testdata/sf0.001")
+    n, partitions = v.searches.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    t = fact_tables.deal(v.sessions, v.raw_searches, bookings_view, rows=n, bucket_rows=n // (4 * partitions), carried=BOOKING_COLUMNS)
+    assert t.buckets >= 4 * partitions and spark.conf.get("spark.sql.shuffle.partitions") == str(partitions)
+    assert fact_tables.deal(v.sessions, v.searches, v.bookings).buckets == partitions
+    assert t.items.columns == v.searches.columns
+    assert sorted(map(str, t.outcomes.collect())) == sorted(map(str, v.bookings.collect()))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with fact_tables.co_partitioned(spark):
+            for plan in (_plan(fact_tables.item_fact_plan(t)), _plan(facts.build_session_fact(t.units, t.items, t.outcomes))):
+                assert "Exchange" not in plan and "Bucketed: true" in plan
+        got, units = fact_tables.item_fact(t), fact_tables.unit_fact(t)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for name in ("items", "units", "item_fact", "unit_fact"):       # a task writes its bucket alone
+        assert len([f for f in os.listdir(f"{t.folder.removeprefix('file:')}/{name}") if f.endswith(".parquet")]) <= t.buckets
+    want = facts.build_search_fact(v.searches, v.sessions, v.bookings).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    want = facts.build_session_fact(v.sessions, v.searches, v.bookings).select(*units.columns)
+    assert sorted(map(str, units.collect())) == sorted(map(str, want.collect()))
