@@ -411,3 +411,28 @@ def test_rows_for_training_are_dealt_to_all_cores(spark):
     assert spread(many, FEW_ROWS * 3, "id").rdd.getNumPartitions() == min(cores, 3)
     assert spread(few, MANY_ROWS * cores * 2, "id").rdd.getNumPartitions() == cores * 2
     assert spread(many, FEW_ROWS * 3, "id").count() == FEW_ROWS * 3
+
+
+def test_a_fitted_candidate_is_scored_while_others_train(spark, monkeypatch):
+    """The network trains longest: it ends here only when the others have been scored."""
+    import threading
+    from types import SimpleNamespace
+    rows = spark.createDataFrame([(i, i % 2) for i in range(8)], "session_id long, booked_flag long")
+    scored, both = [], threading.Event()
+
+    def metric_row(df, name, split):
+        scored.append(name)
+        if {"LogisticRegression", "RandomForest"} <= set(scored):
+            both.set()
+        return spark.createDataFrame([(name, df.count())], "model string, rows long")
+
+    monkeypatch.setattr(propensity, "candidate_pipelines", lambda *a: {
+        "LogisticRegression": SimpleNamespace(fit=lambda df: "lr"), "RandomForest": None})
+    monkeypatch.setattr(propensity, "without_summary", lambda model: model)
+    monkeypatch.setattr(propensity, "fit_forest", lambda *a: "forest")
+    monkeypatch.setattr(propensity.neural, "fit", lambda *a, **k: ("network", both.wait(60)))
+    monkeypatch.setattr(propensity, "with_probability", lambda model, df, name="p": df.withColumn(name, F.lit(0.5)))
+    monkeypatch.setattr(propensity, "metric_row", metric_row)
+    fitted, comparison = propensity.fit_candidates(rows, rows)
+    assert fitted == {"LogisticRegression": "lr", "RandomForest": "forest", "MLP": ("network", True)}
+    assert [tuple(r) for r in comparison.collect()] == [(n, 8) for n in (*propensity.CANDIDATES, "Dummy")]
