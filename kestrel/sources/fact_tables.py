@@ -19,9 +19,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators import facts
@@ -74,15 +75,18 @@ def _save(df: DataFrame, folder: str, name: str, buckets: int) -> DataFrame:
     return spark.table(table)
 
 
+def _is_hot(sizes: Row, buckets: int, hot: int, hot_rows: int) -> bool:
+    """Whether the largest bucket has far more rows than its part of all."""
+    return bool(sizes["most"]) and sizes["most"] > hot_rows and sizes["most"] * buckets > hot * sizes["all"]
+
+
 def _dealt(df: DataFrame, folder: str, name: str, buckets: int, hot: int, hot_rows: int) -> DataFrame:
     """The table by bucket; as plain files when one bucket has far more than its part."""
     with _Setting(df.sparkSession, _COALESCE, "false"), _Setting(df.sparkSession, _PARTITIONS, str(buckets)):
         table = _save(df.repartition(buckets, KEY), folder, name, buckets)
     plain = df.sparkSession.read.parquet(f"{folder}/{name}")
     sizes = plain.groupBy(F.col("_metadata.file_path")).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
-    if sizes["most"] and sizes["most"] > hot_rows and sizes["most"] * buckets > hot * sizes["all"]:
-        return plain
-    return table
+    return plain if _is_hot(sizes, buckets, hot, hot_rows) else table
 
 
 def deal(sessions: DataFrame, searches: DataFrame, bookings: DataFrame | Callable[[DataFrame], DataFrame], hot: int = HOT,
@@ -129,6 +133,31 @@ def item_fact(t: FactTables) -> DataFrame:
     return table
 
 
+def over_items(sessions: DataFrame, searches: DataFrame, bookings: DataFrame, keys: DataFrame, use: Callable[[DataFrame], DataFrame],
+               hot: int = HOT, hot_rows: int = HOT_ROWS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """What ``use`` makes, and writes, of the item fact in one pass.
+
+    For a mart that reads the fact once, before the tables are dealt: only the columns that it needs are exchanged, by
+    session as in `deal`, and neither items nor fact are written.  Gates are those of `item_fact`; so is the way by item,
+    taken for a hot session or outcomes of another one.  ``keys`` has the session of every item at little cost.
+    """
+    spark = searches.sparkSession
+    parts = max(int(spark.conf.get(_PARTITIONS)), -(-keys.count() // bucket_rows))
+    sizes = keys.groupBy(F.pmod(F.hash(KEY), F.lit(parts))).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
+    ways = [False] if _is_hot(sizes, parts, hot, hot_rows) else [True, False]
+    for by_session in ways:
+        gate = Gate()
+        seen = gate.watch(bookings, "outcomes", F.count("booking_id").alias("n"))
+        fact = gate.watch(facts.build_search_fact(searches, sessions, seen, gate=gate, by_session=by_session),
+                          "taken", F.sum("booking_count").alias("n"))
+        with _Setting(spark, _PARTITIONS, str(parts)), co_partitioned(spark) if by_session else nullcontext():
+            out = use(fact)
+        gate.judge()
+        if not by_session or (gate.metrics("taken")["n"] or 0) == gate.metrics("outcomes")["n"]:
+            break
+    return out
+
+
 def unit_fact(t: FactTables) -> DataFrame:
     """The unit fact as a written table."""
     gate = Gate()

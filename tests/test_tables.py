@@ -174,3 +174,37 @@ def test_buckets_grow_with_the_items(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     want = facts.build_session_fact(v.sessions, v.searches, v.bookings).select(*units.columns)
     assert sorted(map(str, units.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_mart_that_reads_items_once_writes_no_fact(spark):
+    from kestrel.operators import metrics
+    from kestrel.plans.context import Context
+    sf = "/root/testdata/sf0.001"
+    c = Context(spark, sf)
+    got = c.routes
+    assert not {"dealt", "search_fact"} & set(c.__dict__)
+    v = c.views
+    want = metrics.route_performance(facts.build_search_fact(v.searches, v.sessions, v.bookings)).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    after = Context(spark, sf)
+    assert after.search_fact and sorted(map(str, after.routes.collect())) == sorted(map(str, want.collect()))
+
+
+def test_items_in_one_pass_by_session_or_by_item(spark):
+    sessions, searches, bookings = _frames(spark)
+    ts = dt.datetime(2024, 1, 3, 10, 0)
+    strange = bookings.unionByName(spark.createDataFrame([("b3", "s2", 3, 20, ts, 7.0, 1.0, 0, 0)], bookings.schema))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    for outcomes, hot, passes in ((bookings, {}, 1), (strange, {}, 2), (strange, {"hot": 0, "hot_rows": 1}, 1)):
+        made = []
+
+        def use(fact):
+            made.append(fact.localCheckpoint())
+            return made[-1]
+        got = fact_tables.over_items(sessions, searches, outcomes, searches.select("session_id"), use, **hot)
+        want = facts.build_search_fact(searches, sessions, outcomes).select(*got.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert len(made) == passes and spark.conf.get("spark.sql.shuffle.partitions") == partitions
+        assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    with pytest.raises(gates.GateFailed, match="item fact"):
+        fact_tables.over_items(sessions.unionByName(sessions), searches, bookings, searches.select("session_id"), lambda f: f.localCheckpoint())
