@@ -9,7 +9,7 @@ the regression (EX-11) sums products of its sparse rows in long form (`gram`).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,16 +57,39 @@ def in_range(ts: str, start: str, end: str) -> Column:
     return (F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & (F.col(ts) < F.lit(end).cast("timestamp_ntz"))
 
 
-def select_population(session_fact: DataFrame, search_fact: DataFrame, bookings: DataFrame,
-                      experiment: str, start: str, end: str, arm: str = "experiment_variant") -> dict[str, DataFrame]:
-    """EX-02: units by name + arm; items / outcomes by arm and their own ts (Q15); pre-period."""
+class Population(Mapping[str, DataFrame]):
+    """The parts of a population by name; a part is made when it is first read."""
+
+    def __init__(self, parts: dict[str, Callable[[], DataFrame]]):
+        self._parts, self._made = parts, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._parts[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._parts)
+
+    def __len__(self) -> int:
+        return len(self._parts)
+
+
+def select_population(session_fact: DataFrame, search_fact: DataFrame | Callable[[], DataFrame], bookings: DataFrame,
+                      experiment: str, start: str, end: str, arm: str = "experiment_variant") -> Population:
+    """EX-02: units by name + arm; items / outcomes by arm and their own ts (Q15); pre-period.
+
+    Where ``search_fact`` is a function, it is called when the items are read: writing their fact is most of the work,
+    and what is about units alone needs none of it.
+    """
     arms = F.col(arm).isin(*ARMS)
-    return {
-        "session": session_fact.filter((F.col("experiment_name") == experiment) & arms),
-        "searches": search_fact.filter(arms & in_range("search_ts", start, end)),
-        "bookings": bookings.filter(arms & in_range("booking_ts", start, end)),
-        "preperiod": session_fact.filter(F.col("session_ts") < F.lit(start).cast("timestamp_ntz")),
-    }
+    items = search_fact if callable(search_fact) else lambda: search_fact
+    return Population({
+        "session": lambda: session_fact.filter((F.col("experiment_name") == experiment) & arms),
+        "searches": lambda: items().filter(arms & in_range("search_ts", start, end)),
+        "bookings": lambda: bookings.filter(arms & in_range("booking_ts", start, end)),
+        "preperiod": lambda: session_fact.filter(F.col("session_ts") < F.lit(start).cast("timestamp_ntz")),
+    })
 
 
 def arm_summary(exp: DataFrame, arm: str = "experiment_variant") -> DataFrame:

@@ -122,8 +122,7 @@ CROSS JOIN (SELECT avg(-(label * ln(least(greatest(score, {EPS}), 1 - {EPS}))
 
 
 def ev(c):
-    return c.cuped_data.select(F.col("session_id").alias("key"), F.col("booked_flag").cast("bigint").alias("label"),
-                               F.col("pre_partner_conversion").alias("score"))
+    return c.evaluated
 
 
 MR6 = ("roc_auc", "pr_auc", "log_loss", "brier")

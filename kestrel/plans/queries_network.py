@@ -134,8 +134,9 @@ CROSS JOIN (SELECT * FROM n_cities WHERE market_rank = 1) ci
 CROSS JOIN (SELECT arg_min(partner_id, partner_route_rank) AS partner_id FROM n_partner_routes) p""",
               ON.ENRICHED, ON.STATIONS_SCORED, ON.ROUTES_SCORED, ON.CITIES, ON.PARTNER_ROUTES))
 def q_net_findings(c):
+    items = c.search_fact       # first: the route mart reads it where it is written
     ro = c.route_opportunities
-    return N.network_findings(_stations(c, c.strength_centrality), ro, N.city_markets(ro), N.partner_route_opportunities(c.search_fact, ro))
+    return N.network_findings(_stations(c, c.strength_centrality), ro, N.city_markets(ro), N.partner_route_opportunities(items, ro))
 
 
 @register("nw15_endpoint_count", ids=("NW-15",), sql=sql("""

@@ -208,3 +208,18 @@ def test_items_in_one_pass_by_session_or_by_item(spark):
         assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
     with pytest.raises(gates.GateFailed, match="item fact"):
         fact_tables.over_items(sessions.unionByName(sessions), searches, bookings, searches.select("session_id"), lambda f: f.localCheckpoint())
+
+
+def test_what_is_about_units_alone_needs_no_items(spark):
+    from kestrel.plans.context import Context
+    from kestrel.plans.queries_ml import q_scored_units
+    from kestrel.plans.registry import load_all
+    load_all()
+    c = Context(spark, "/root/testdata/sf0.001")
+    got = q_scored_units(c)
+    assert got.count() == c.cuped_data.count() > 0
+    assert "search_fact" not in c.__dict__ and "Join" not in _plan(c.evaluated)
+    pop = c.experiment
+    assert list(pop) == ["session", "searches", "bookings", "preperiod"] and "search_fact" not in c.__dict__
+    items = c.views.searches.where("experiment_variant IN ('control', 'variant') AND year(search_ts) = 1998").count()
+    assert pop["searches"].count() == items and "search_fact" in c.__dict__
