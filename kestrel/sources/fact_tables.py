@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators import facts
-from kestrel.operators.gates import Gate
+from kestrel.operators.gates import Gate, GateFailed
 from kestrel.session import scratch_dir
 
 KEY = "session_id"
@@ -133,6 +133,14 @@ def item_fact(t: FactTables) -> DataFrame:
     return table
 
 
+def judge_units(t: FactTables) -> None:
+    """What the gate of the item fact rules out, an item with several units, for a reader of units alone."""
+    on = [KEY, "partner_id"]
+    twice = t.units.groupBy(*on).count().where("count > 1")
+    if twice.limit(1).count() and t.items.join(twice, on, "left_semi").limit(1).count():
+        raise GateFailed([("item fact: as many rows as items", "units repeated")])
+
+
 def over_items(sessions: DataFrame, searches: DataFrame, bookings: DataFrame, keys: DataFrame, use: Callable[[DataFrame], DataFrame],
                hot: int = HOT, hot_rows: int = HOT_ROWS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """What ``use`` makes, and writes, of the item fact in one pass.

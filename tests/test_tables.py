@@ -223,3 +223,7 @@ def test_what_is_about_units_alone_needs_no_items(spark):
     assert list(pop) == ["session", "searches", "bookings", "preperiod"] and "search_fact" not in c.__dict__
     items = c.views.searches.where("experiment_variant IN ('control', 'variant') AND year(search_ts) = 1998").count()
     assert pop["searches"].count() == items and "search_fact" in c.__dict__
+    sessions, searches, bookings = _frames(spark)
+    fact_tables.judge_units(fact_tables.deal(sessions, searches, bookings))
+    with pytest.raises(gates.GateFailed, match="item fact"):
+        fact_tables.judge_units(fact_tables.deal(sessions.unionByName(sessions), searches, bookings))
