@@ -1,88 +1,148 @@
 """Mean Euclidean silhouette of several clusterings at once (ML-20).
 
 The silhouette of a point needs its mean distance to every cluster, so all
-distances are taken.  Points are dealt to blocks by a hash; a task takes a pair of
-blocks, multiplies their distances by the memberships of all clusterings and
-sends on only sums: for each point one number for each cluster.  Each point
-travels once for each block.
+distances are taken.  Points are dealt to blocks, a task for each; slabs of blocks, of bounded
+size, are broadcast.  Within a slab a pair of blocks is met by one of its two tasks, which adds
+up its distances for the points of both; points of other slabs are met from each side.  Only sums
+leave a task, a few for each point: what is exchanged grows with the points and the cores, not with
+the pairs of points.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import cut_lineage
+from kestrel.session import FEW_ROWS, cut_lineage
 
-#: Points of a block; rows of a block whose distances are held at once; close pairs of points taken at once.
-BLOCK, ROWS, CLOSE = 2048, 512, 1 << 17
-#: Pairs of blocks of a task at most, where there are tasks enough for all cores.
-PAIRS = 256
+#: Points of a slab; rows and columns whose distances are held at once.
+SLAB, ROWS, COLUMNS = 1 << 20, 128, 256
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of rows, by differences where the product form would cancel."""
-    square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
-    near = square < 1e-6 * ((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :])
-    out = np.sqrt(np.maximum(square, 0.0))
-    i, j = np.nonzero(near)
-    for lo in range(0, len(i), CLOSE):
-        u, v = i[lo:lo + CLOSE], j[lo:lo + CLOSE]
-        out[u, v] = np.sqrt(((a[u] - b[v]) ** 2).sum(1))
-    return out
-
-
-def _matrix(lists: pa.ChunkedArray, n: int) -> np.ndarray:
+def _matrix(lists: pa.Array | pa.ChunkedArray, n: int) -> np.ndarray:
     """Lists of one length as the rows of a matrix."""
-    flat = [c.flatten() for c in lists.chunks]
+    flat = [c.flatten() for c in (lists.chunks if isinstance(lists, pa.ChunkedArray) else [lists])]
     return np.concatenate([f.to_numpy(zero_copy_only=False) for f in flat]).reshape(n, -1) if n else np.zeros((0, 0))
 
 
-def cluster_sums(points: DataFrame, clusters: Sequence[int], block: int = BLOCK) -> DataFrame:
-    """(id, labels, s0, s1, ...): for each point the sum of its distances to each cluster of each clustering.
-
-    ``points`` has id (a long of its own for each row), vector and labels, one label from 0 on for each clustering;
-    ``clusters`` says how many clusters each has.
+@dataclass
+class Block:
+    """Points with their numbers and labels, points of equal labels (a group) side by side."""
+    at: np.ndarray
+    points: np.ndarray
+    labels: np.ndarray
+    groups: np.ndarray
+
+    @classmethod
+    def of(cls, t: pa.Table) -> Block:
+        at, points = t.column("at").to_numpy(), _matrix(t.column("vector"), t.num_rows).astype(np.float64)
+        labels = _matrix(t.column("labels"), t.num_rows).astype(np.int32)
+        groups = np.unique(labels, axis=0, return_inverse=True)[1].reshape(-1)
+        order = np.argsort(groups, kind="stable")
+        return cls(at[order], points[order], labels[order], groups[order])
+
+    def chunks(self, size: int, clusters: Sequence[int]) -> list[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """By slices: points, their squares, to which group of the slice each belongs, and to which clusters each group."""
+        first, out = np.cumsum([0, *clusters])[:-1], []
+        for lo in range(0, len(self.at), size):
+            part = slice(lo, lo + size)
+            x, found = self.points[part], np.unique(self.groups[part], return_index=True)[1]
+            one = np.zeros((len(x), len(found)))
+            one[np.arange(len(x)), np.searchsorted(found, np.arange(len(x)), side="right") - 1] = 1
+            member = np.zeros((len(found), sum(clusters)))
+            member[np.arange(len(found))[:, None], first[None, :] + self.labels[lo + found]] = 1
+            out.append((part, x, (x * x).sum(1), one, member))
+        return out
+
+
+def meet(a: Block, b: Block, clusters: Sequence[int], to_a: np.ndarray, to_b: np.ndarray | None) -> None:
+    """Add to ``to_a`` for each point of ``a`` its distances to the clusters of ``b``, and the other way round to ``to_b``."""
+    left = [(*c, np.column_stack([-2 * c[1], c[2], np.ones(len(c[1]))])) for c in a.chunks(ROWS, clusters)]
+    for cols, y, yy, one_y, member_y in b.chunks(COLUMNS, clusters):
+        # the squared distance as one product: (-2x, xx, 1) . (y, 1, yy)
+        right, most = np.ascontiguousarray(np.column_stack([y, np.ones(len(y)), yy]).T), yy.max()
+        for rows, x, xx, one_x, member_x, said in left:
+            d = said @ right
+            # by differences where the product form would cancel
+            least = 1e-6 * (xx + most)
+            close = np.flatnonzero(d.min(1) < least)
+            if len(close):
+                i, j = np.nonzero(d[close] < least[close, None])
+                i = close[i]
+                d[i, j] = ((x[i] - y[j]) ** 2).sum(1)
+            np.sqrt(d, out=d)
+            to_a[rows] += (d @ one_y) @ member_y
+            if to_b is not None:
+                to_b[cols] += (d.T @ one_x) @ member_x
+
+
+def turn(own: int, other: int, blocks: int) -> bool:
+    """Whether of two blocks of a slab it is ``own`` whose task takes the pair; each block has half of the others."""
+    ahead = (other - own) % blocks
+    return 2 * ahead < blocks or 2 * ahead == blocks and own < other
+
+
+def partial_sums(points: DataFrame, clusters: Sequence[int], blocks: int, slab: int) -> DataFrame:
+    """(at, labels, s0, s1, ...): sums that one task has for a point, of distances to points of one slab.
+
+    ``points`` are written in as many partitions as there are blocks in all, ``blocks`` for each slab.
     """
-    points = cut_lineage(points.select("id", "vector", "labels"))
-    n, width = points.count(), sum(clusters)
-    blocks = max(1, math.ceil(n / block))
-    first = np.cumsum([0, *clusters])[:-1]
-    rows = points.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
-        F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "id", "vector", "labels")
-    names = [f"s{k}" for k in range(width)]
-
-    def meet(key: tuple, t: pa.Table) -> pa.Table:
-        i, j = key[0].as_py(), key[1].as_py()
-        side, ids = t.column("block").to_numpy(), t.column("id").to_numpy()
-        x = _matrix(t.column("vector"), len(ids)).astype(np.float64)
-        labels = _matrix(t.column("labels"), len(ids)).astype(np.int64)
-        member = np.zeros((len(ids), width))
-        for k in range(labels.shape[1]):
-            member[np.arange(len(ids)), first[k] + labels[:, k]] = 1
-        left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-        sums = np.zeros((len(ids), width))
-        for lo in range(0, len(left), ROWS):
-            some = left[lo:lo + ROWS]
-            d = _distances(x[some], x[right])
-            sums[some] += d @ member[right]
-            if i != j:
-                sums[right] += d.T @ member[some]
-        return pa.table([pa.array(ids), *(pa.array(sums[:, k]) for k in range(width))], names=["id", *names])
-    # dealt by number: tasks planned by the bytes of the points would be few, and long
-    pairs, cores = blocks * (blocks + 1) // 2, points.sparkSession.sparkContext.defaultParallelism
-    rows = rows.repartition(min(pairs, max(4 * cores, pairs // PAIRS)), "i", "j")
-    parts = rows.groupBy("i", "j").applyInArrow(meet, "id long, " + ", ".join(f"{n} double" for n in names))
-    return parts.groupBy("id").agg(*[F.sum(n).alias(n) for n in names]).join(points.select("id", "labels"), "id")
-
-
-def mean_silhouettes(points: DataFrame, clusters: Sequence[int], block: int = BLOCK) -> list[float]:
+    names = [f"s{k}" for k in range(sum(clusters))]
+    mine = F.shiftright("at", 33)
+    t = points.where(mine.between(slab * blocks, (slab + 1) * blocks - 1)).select("at", "vector", "labels").toArrow()
+    of = t.column("at").to_numpy() >> 33
+    sent = points.sparkSession.sparkContext.broadcast({int(p): Block.of(t.filter(pa.array(of == p))) for p in np.unique(of)})
+
+    def rows(b: Block, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(b.at), 10_000):
+            part = slice(lo, lo + 10_000)
+            yield pa.RecordBatch.from_arrays([pa.array(b.at[part]), pa.array(list(b.labels[part]), pa.list_(pa.int32())),
+                                              *(pa.array(c) for c in sums[part].T.copy())], ["at", "labels", *names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = [b for b in batches if b.num_rows]
+        if not have:
+            return
+        own = Block.of(pa.Table.from_batches(have))
+        me = int(own.at[0] >> 33)
+        to_own = np.zeros((len(own.at), len(names)))
+        for p, other in sent.value.items():
+            if p == me or me not in sent.value:
+                meet(own, other, clusters, to_own, None)
+            elif turn(me, p, blocks):
+                to_other = np.zeros((len(other.at), len(names)))
+                meet(own, other, clusters, to_own, to_other)
+                yield from rows(other, to_other)
+        yield from rows(own, to_own)
+    return points.mapInArrow(run, "at long, labels array<int>, " + ", ".join(f"{n} double" for n in names))
+
+
+def cluster_sums(points: DataFrame, clusters: Sequence[int], slab: int = SLAB) -> DataFrame:
+    """(labels, s0, s1, ...): for each point the sum of its distances to each cluster of each clustering.
+
+    ``points`` has vector and labels, one label from 0 on for each clustering; ``clusters`` says how many clusters each has.
+    """
+    points = cut_lineage(points.select("vector", "labels"))
+    n, cores = points.count(), points.sparkSession.sparkContext.defaultParallelism
+    slabs = max(1, -(-n // slab))
+    blocks = max(1, min(2 * cores, -(-n // (slabs * FEW_ROWS))))
+    # points may be equal: they are numbered where they are written
+    dealt = cut_lineage(cut_lineage(points.repartition(slabs * blocks)).withColumn("at", F.monotonically_increasing_id()))
+    out = None
+    for s in range(slabs):
+        parts = partial_sums(dealt, clusters, blocks, s)
+        some = parts if out is None else out.unionByName(parts)
+        out = some.groupBy("at").agg(F.first("labels").alias("labels"), *[F.sum(c).alias(c) for c in parts.columns[2:]])
+        out = cut_lineage(out) if slabs > 1 else out
+    return out
+
+
+def mean_silhouettes(points: DataFrame, clusters: Sequence[int], block: int = SLAB) -> list[float]:
     """The mean silhouette of each clustering; a point alone in its cluster counts 0."""
     first = np.cumsum([0, *clusters])[:-1].tolist()
     sums = cluster_sums(points, clusters, block)

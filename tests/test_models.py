@@ -269,6 +269,23 @@ def test_silhouettes_by_brute_force(spark):
         assert abs(have - np.mean(s)) < 1e-9
 
 
+def test_points_of_silhouettes_are_not_copied_for_each_block(spark, monkeypatch):
+    """Points stay where they are, equal ones too; blocks and slabs give the same sums."""
+    r = np.random.default_rng(8)
+    x = np.concatenate([r.normal(0, 1, (150, 2)), np.ones((30, 2))])
+    labels = np.stack([np.arange(180) % 2, np.arange(180) % 3], 1)
+    points = spark.createDataFrame([(i // 2, v, k) for i, (v, k) in enumerate(zip(x.tolist(), labels.tolist()))],
+                                   "id long, vector array<double>, labels array<int>")
+    assert "explode" not in silhouette.cluster_sums(points, [2, 3])._jdf.queryExecution().toString()
+    monkeypatch.setattr(silhouette, "FEW_ROWS", 10)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    want = sorted((*k, *(d[i][labels[:, c] == m].sum() for c, n in enumerate((2, 3)) for m in range(n))) for i, k in enumerate(labels.tolist()))
+    for slab in (1000, 70):
+        sums = silhouette.cluster_sums(points, [2, 3], slab).collect()
+        got = sorted((*row["labels"], *(row[f"s{k}"] for k in range(5))) for row in sums)
+        np.testing.assert_allclose(got, want, atol=1e-6)
+
+
 def _entities(spark, n=400, seed=5):
     r = np.random.default_rng(seed)
     rows = [(i, *(float(v) for v in r.normal(3.0 * (i % 3), 1.0, len(segments.CLUSTER_FEATURES)))) for i in range(n)]
