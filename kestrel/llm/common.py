@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.session import cut_lineage, ensure_checkpoint_dir
+from kestrel.session import ensure_checkpoint_dir, staged  # noqa: F401
 
 #: Rows per Arrow batch handed to Python; bounds a worker's memory when texts are long.
 ARROW_ROWS = 1000
@@ -29,20 +29,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write an intermediate result to the shared checkpoint folder and go on from there.
-
-    The shuffle files that it came from are deleted once it is written: nothing reads them again.
-    """
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, None)
-    conf.set(key, "true")
-    try:
-        return cut_lineage(df.select("*"))      # a new statement: the setting counts when a statement is made
-    finally:
-        conf.unset(key) if before is None else conf.set(key, before)
-
-
 def text_of(col: str) -> Column:
     """The text, or the empty text for null."""
     return F.coalesce(F.col(col), F.lit(""))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.functions import paths, special
-from kestrel.operators import anomaly, encoding, experiment, gram, model_bundle, neural, propensity, segments, silhouette
+from kestrel.operators import anomaly, encoding, experiment, forest, gram, model_bundle, neural, propensity, segments, silhouette
 
 
 def test_normal_distribution_function(spark):
@@ -420,6 +420,69 @@ def test_forest_is_fitted_in_groups_of_trees(spark, monkeypatch, tmp_path):
     assert sorted(again.transform(train).select(*key).collect()) == sorted(model.transform(train).select(*key).collect())
 
 
+def test_a_tree_takes_the_best_split_of_each_node():
+    r = np.random.default_rng(3)
+    columns = [forest.Column(0, 3), forest.Column(3, 0, np.arange(4) + 0.5), forest.Column(4, 0, np.array([]))]
+    codes = np.stack([r.integers(0, 4, 500), r.integers(0, 5, 500), np.zeros(500)]).astype(np.uint8)
+    y = ((codes[0] == 1) ^ (codes[1] > 2) ^ (r.random(500) < 0.2)).astype(np.uint8)
+    t = forest.grow(codes, y, columns, [1, 2], 4, 5, 5)
+    w = np.random.default_rng([1, 2]).poisson(1.0, 500).astype(float)
+    gini = lambda v: 1 - ((v / v.sum()) ** 2).sum()
+    count = lambda some: np.bincount(y[some], weights=w[some], minlength=2)
+    reach, inner = {0: np.ones(500, dtype=bool)}, 0
+    for k in range(len(t.left)):
+        rows = reach[k]
+        whole = count(rows)
+        assert whole.tolist() == t.counts[k].tolist()
+        gains = []
+        for up in [*(codes[0] == v for v in range(3)), *(codes[1] > v for v in range(4))]:
+            a, b = count(rows & ~up), count(rows & up)
+            if a.sum() >= 5 and b.sum() >= 5:
+                gains.append(gini(whole) - (a.sum() * gini(a) + b.sum() * gini(b)) / whole.sum())
+        if t.left[k] < 0:
+            continue
+        inner += 1
+        assert abs(t.gain[k] - max(gains)) < 1e-9
+        up = codes[0] == t.code[k] if t.column[k] == 0 else codes[1] > t.code[k]
+        reach[t.left[k]], reach[t.left[k] + 1] = rows & ~up, rows & up
+    assert inner >= 3 and len(reach) == len(t.left)
+    short = forest.pruned(t)
+    assert len(short.left) < len(t.left)
+
+    def answer(tree, k, row):
+        while tree.left[k] >= 0:
+            k = tree.left[k] + int(codes[0, row] == tree.code[k] if tree.column[k] == 0 else codes[1, row] > tree.code[k])
+        return tree.counts[k].argmax()
+    assert all(answer(t, 0, row) == answer(short, 0, row) for row in range(100))
+    pairs = [k for k in range(len(short.left)) if short.left[k] >= 0 and (short.left[short.left[k]:short.left[k] + 2] < 0).all()]
+    assert pairs and all(short.counts[short.left[k]].argmax() != short.counts[short.left[k] + 1].argmax() for k in pairs)
+
+
+def test_forest_of_many_rows_is_grown_in_tasks(spark, monkeypatch, tmp_path):
+    """Without a pass of Spark's over the rows for each level; the forest is one that Spark scores, explains and stores."""
+    train = _frame(spark, 400).repartition(5).withColumn("label", F.col("booked_flag").cast("double"))
+    pipe = propensity.candidate_pipelines(400, rf_trees=41)["RandomForest"]
+    plain = propensity.fit_forest(train, pipe, 400)
+    monkeypatch.setattr(propensity, "MANY_ROWS", 300)
+    fitted = []
+    plainly = type(pipe.getStages()[-1])._fit
+    monkeypatch.setattr(type(pipe.getStages()[-1]), "_fit", lambda self, df: fitted.append(self.getNumTrees()) or plainly(self, df))
+    model = propensity.fit_forest(train, pipe, 400)
+    assert fitted == [1]
+    trees = model.stages[-1]
+    assert trees.getNumTrees == len(trees.trees) == 41 and trees.getOrDefault("numTrees") == 41
+    assert trees.getOrDefault("maxDepth") == 14 and trees.getOrDefault("seed") == 42 and trees.getOrDefault("minInstancesPerNode") == 5
+    assert trees.numFeatures == plain.stages[-1].numFeatures and max(t.depth for t in trees.trees) <= 14
+    assert len({t.toDebugString.partition("\n")[2] for t in trees.trees}) == 41
+    assert abs(sum(trees.featureImportances.toArray()) - 1) < 1e-9
+    score = lambda m: np.array([r.probability[1] for r in m.transform(train).orderBy("session_id").collect()])
+    y = np.array([r.label for r in train.orderBy("session_id").collect()])
+    one, two = score(model), score(plain)
+    assert np.corrcoef(one, two)[0, 1] > 0.85 and abs(((one - y) ** 2).mean() - ((two - y) ** 2).mean()) < 0.02
+    model.write().save(str(tmp_path / "forest"))
+    assert score(type(model).load(str(tmp_path / "forest"))).tolist() == one.tolist()
+
+
 def test_rows_for_training_are_dealt_to_all_cores(spark):
     from kestrel.session import FEW_ROWS, MANY_ROWS, spread
     cores = spark.sparkContext.defaultParallelism
