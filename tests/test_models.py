@@ -463,7 +463,7 @@ def test_forest_of_many_rows_is_grown_in_tasks(spark, monkeypatch, tmp_path):
     train = _frame(spark, 400).repartition(5).withColumn("label", F.col("booked_flag").cast("double"))
     pipe = propensity.candidate_pipelines(400, rf_trees=41)["RandomForest"]
     plain = propensity.fit_forest(train, pipe, 400)
-    monkeypatch.setattr(propensity, "MANY_ROWS", 300)
+    monkeypatch.setattr(forest, "LEAST_ROWS", 300)
     fitted = []
     plainly = type(pipe.getStages()[-1])._fit
     monkeypatch.setattr(type(pipe.getStages()[-1]), "_fit", lambda self, df: fitted.append(self.getNumTrees()) or plainly(self, df))
